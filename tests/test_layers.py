@@ -1,0 +1,282 @@
+"""Sources, sinks, silver and the daily run on small files."""
+
+import json
+import os
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tsmedallion.operators import quality, silver
+from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily
+from tsmedallion.schemas import BRONZE, CATALOGUE, SILVER, check_schema, default_catalogue, schema_drift
+from tsmedallion.session import require_utc
+from tsmedallion.sources import bronze, landing, tables
+
+RUN_AT = datetime(2024, 2, 1, 6, tzinfo=timezone.utc)
+
+
+def _record(day, value, as_of="2024-02-01"):
+    return {"realtime_start": as_of, "realtime_end": "9999-12-31", "date": day, "value": value}
+
+
+def _land(root, ingest_date, series_id, document):
+    folder = os.path.join(root, f"ingest_date={ingest_date}", f"series_id={series_id}")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "doc.json"), "w") as f:
+        json.dump(document, f, indent=1)
+
+
+def _months(n, start=2020):
+    return [f"{start + i // 12}-{i % 12 + 1:02d}-01" for i in range(n)]
+
+
+def _bronze_row(series_id, day, value, name="Name", at="2024-02-01T06:00:00"):
+    return ("2024-02-01", "9999-12-31", day, value, series_id, name, at)
+
+
+def test_documents_are_flattened(spark, tmp_path):
+    root = str(tmp_path)
+    _land(root, "2024-02-01", "GDP", {"units": "x", "observations": [
+        _record("2019-12-01", "1"), _record("2020-01-01", "2"), _record("2020-02-01", ".")]})
+    _land(root, "2024-02-01", "DFF", {"error": "no array here"})
+    _land(root, "2024-02-01", "X1", {"observations": []})
+    _land(root, "2024-01-31", "GDP", {"observations": [_record("2020-01-01", "9")]})
+    docs = landing.read_documents(spark, root, "2024-02-01")
+    rows = landing.explode_documents(docs, "2020-01-01")
+    assert [(r["series_id"], r["date"], r["value"]) for r in rows.orderBy("date").collect()] == [
+        ("GDP", "2020-01-01", "2"),
+        ("GDP", "2020-02-01", "."),
+    ]
+    assert landing.explode_documents(docs).count() == 3
+    named = landing.to_bronze(rows, default_catalogue(spark), "2024-02-01T06:00:00").first()
+    assert named["series_name"] == "Gross Domestic Product"
+    assert named["ingestion_timestamp"] == "2024-02-01T06:00:00"
+
+
+def test_a_malformed_document_fails_the_read(spark, tmp_path):
+    folder = tmp_path / "ingest_date=2024-02-01" / "series_id=GDP"
+    folder.mkdir(parents=True)
+    (folder / "doc.json").write_text('{"observations": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.explode_documents(landing.read_documents(spark, str(tmp_path))).collect()
+
+
+def test_bronze_rerun_replaces_only_its_partitions(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+
+    def write(ingest_date, series, values):
+        rows = [_bronze_row(series, "2024-01-01", v) for v in values]
+        bronze.write_bronze(
+            spark.createDataFrame(rows, BRONZE).withColumn("ingest_date", F.lit(ingest_date)), path
+        )
+
+    write("2024-02-01", "GDP", ["1", "2"])
+    write("2024-02-01", "DFF", ["3"])
+    write("2024-02-02", "GDP", ["4"])
+    write("2024-02-01", "GDP", ["5"])
+    found = bronze.read_bronze(spark, path).select("ingest_date", "series_id", "value").collect()
+    assert sorted(tuple(r) for r in found) == [
+        ("2024-02-01", "DFF", "3"),
+        ("2024-02-01", "GDP", "5"),
+        ("2024-02-02", "GDP", "4"),
+    ]
+
+
+def test_audit_reports_and_raises(spark):
+    rows = spark.createDataFrame([_bronze_row("GDP", "2024-01-01", "1")] * 3, BRONZE)
+    audited = bronze.audit(rows, default_catalogue(spark))
+    found = {r["series_id"]: (r["found"], r["n_rows"]) for r in audited.collect()}
+    assert found["GDP"] == (True, 3) and found["DFF"] == (False, 0) and len(found) == 5
+    assert bronze.require_any_series(audited) == {
+        "series_found": 1,
+        "series_expected": 5,
+        "total_rows": 3,
+    }
+    with pytest.raises(ValueError, match="no expected series"):
+        bronze.require_any_series(bronze.audit(rows.limit(0), default_catalogue(spark)))
+
+
+def test_silver_flags(spark):
+    texts = [".", "abc", None, " 1.5 ", "1e3", "NaN", "Infinity", "1,000"]
+    rows = spark.createDataFrame([_bronze_row("S", "2024-01-01", t) for t in texts], BRONZE)
+    cleaned = silver.clean(rows)
+    assert schema_drift(cleaned, SILVER) == []
+    flags = {r["value_raw"]: (r["is_missing"], r["is_valid"]) for r in cleaned.collect()}
+    assert flags == {
+        ".": (True, False),
+        "abc": (False, False),
+        None: (False, False),
+        " 1.5 ": (False, True),
+        "1e3": (False, True),
+        "NaN": (False, True),
+        "Infinity": (False, True),
+        "1,000": (False, False),
+    }
+    summary = silver.quality_summary(cleaned).first()
+    assert (summary["total_records"], summary["valid_records"]) == (8, 4)
+    assert summary["missing_records"] + summary["valid_records"] + summary[
+        "unparseable_records"
+    ] == summary["total_records"]
+    assert (summary["valid_pct"], summary["missing_pct"]) == (50.0, 12.5)
+
+
+def test_summary_of_nothing(spark):
+    summary = silver.quality_summary(silver.clean(spark.createDataFrame([], BRONZE))).first()
+    assert summary["total_records"] == 0
+    assert summary["valid_pct"] is None
+
+
+def test_silver_keys_keep_their_text(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = [_bronze_row(s, "2024-01-01", "1") for s in ("001", "002", "")]
+    tables.write_silver(silver.clean(spark.createDataFrame(rows, BRONZE)), path)
+    found = tables.read_silver(spark, path)
+    assert found.columns == SILVER.names
+    assert sorted((r["series_id"] or "null") for r in found.collect()) == ["001", "002", "null"]
+
+
+def test_a_hot_series_is_written_as_several_files(spark, tmp_path):
+    """Two thirds of the rows in one series must not become one task's work."""
+    path = str(tmp_path / "silver")
+    rows = spark.range(300_000).select(
+        F.lit("2024-02-01").alias("realtime_start"),
+        F.sha2(F.col("id").cast("string"), 256).alias("realtime_end"),
+        F.lit("2024-01-01").alias("date"),
+        F.col("id").cast("string").alias("value"),
+        F.when(F.col("id") % 3 < 2, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 20)).alias(
+            "series_id"
+        ),
+        F.lit("Name").alias("series_name"),
+        F.lit("2024-02-01T06:00:00").alias("ingestion_timestamp"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        tables.write_silver(silver.clean(rows.repartition(8)), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(f"{path}/series_id=HOT") if f.endswith(".parquet")]
+    cold = [
+        len([f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")])
+        for folder in os.listdir(path)
+        if folder.startswith("series_id=S")
+    ]
+    assert len(hot) > 3
+    # A series that shares the hot one's hash partition is split along with it.
+    assert sorted(cold)[len(cold) // 2] == 1
+    assert tables.read_silver(spark, path).count() == 300_000
+
+
+def test_schema_drift(spark):
+    drifted = spark.createDataFrame([("a", 1)], "series_id string, value bigint")
+    problems = schema_drift(drifted, SILVER)
+    assert "column value is bigint, expected double" in problems
+    assert "missing column is_valid boolean" in problems
+    with pytest.raises(ValueError, match="schema drift"):
+        check_schema(drifted, SILVER)
+
+
+def test_missing_tables(spark):
+    spark.range(1).createOrReplaceTempView("dim_time_here")
+    assert tables.missing_tables(spark, ["dim_time_here", "not_there"]) == ["not_there"]
+
+
+def test_require_utc(spark):
+    require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_csv_export(spark, tmp_path):
+    data = spark.createDataFrame([("a, b", 1.5), (None, 2.25)], "name string, value double")
+    path = tables.export_csv(data, str(tmp_path), date(2024, 2, 1))
+    assert path.endswith("economic_indicators_20240201.csv")
+    back = spark.read.schema(data.schema).option("header", True).csv(path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, data.collect()))
+
+
+def _run(tmp_path, **changes):
+    settings = dict(
+        landing=str(tmp_path / "landing"),
+        lake=str(tmp_path / "lake"),
+        ingest_date="2024-02-01",
+        run_at=RUN_AT,
+    )
+    return DailyRun(**{**settings, **changes})
+
+
+def test_daily_run_and_rerun(spark, tmp_path):
+    months = _months(26)
+    for series, scale in (("GDP", 2), ("UNRATE", 3)):
+        _land(str(tmp_path / "landing"), "2024-02-01", series, {"observations": [
+            _record(m, "." if i == 5 else str(100 + scale * i)) for i, m in enumerate(months)]})
+    run = _run(tmp_path)
+    first = run_daily(spark, run)
+    assert first["audit"] == {"series_found": 2, "series_expected": 5, "total_rows": 52}
+    assert first["quality"]["missing_records"] == 2
+    fact = tables.read_gold(spark, run.path("gold"), "fct_observations")
+    before = sorted(map(tuple, fact.collect()), key=str)
+    assert len(before) == 50
+    gdp = {r["date_key"]: r for r in fact.filter("indicator_id = 'GDP'").collect()}
+    january = gdp[date(2021, 1, 1)]
+    assert january["observation_value"] == 124.0
+    assert january["previous_value"] == 122.0
+    assert january["value_year_ago"] is None
+    february = gdp[date(2021, 2, 1)]
+    assert february["value_year_ago"] == 100.0 and february["yoy_change_pct"] == 26.0
+
+    run_daily(spark, run)
+    again = tables.read_gold(spark, run.path("gold"), "fct_observations")
+    assert sorted(map(tuple, again.collect()), key=str) == before
+
+
+def test_second_run_date_adds_a_vintage(spark, tmp_path):
+    for ingest_date, value in (("2024-02-01", "10"), ("2024-02-02", "11")):
+        _land(str(tmp_path / "landing"), ingest_date, "GDP", {"observations": [
+            _record("2020-01-01", value, ingest_date), _record("2020-02-01", "20", ingest_date)]})
+    run_daily(spark, _run(tmp_path))
+    later = _run(tmp_path, ingest_date="2024-02-02", run_at=datetime(2024, 2, 2, 6))
+    run_daily(spark, later)
+    fact = tables.read_gold(spark, later.path("gold"), "fct_observations")
+    rows = {r["date_key"]: r for r in fact.collect()}
+    assert len(rows) == 2
+    assert rows[date(2020, 1, 1)]["observation_value"] == 11.0
+    assert rows[date(2020, 2, 1)]["previous_value"] == 11.0
+
+    everything = _run(
+        tmp_path, ingest_date="2024-02-02", run_at=datetime(2024, 2, 2, 6), vintages="all"
+    )
+    run_daily(spark, everything)
+    fact = tables.read_gold(spark, everything.path("gold"), "fct_observations")
+    ordered = fact.orderBy("date_key", "data_as_of_date").collect()
+    assert [r["observation_value"] for r in ordered] == [10.0, 11.0, 20.0, 20.0]
+    assert [r["previous_value"] for r in ordered] == [None, 10.0, 11.0, 20.0]
+
+
+def test_daily_run_fails_on_a_failed_data_test(spark, tmp_path):
+    """A series the catalogue does not name has a NULL name."""
+    for series in ("GDP", "UNKNOWN"):
+        _land(str(tmp_path / "landing"), "2024-02-01", series, {"observations": [
+            _record("2020-01-01", "10")]})
+    with pytest.raises(DataTestError, match="not_null stg_observations.series_name: 1 failures"):
+        run_daily(spark, _run(tmp_path))
+
+
+def test_daily_run_fails_without_any_expected_series(spark, tmp_path):
+    _land(str(tmp_path / "landing"), "2024-02-01", "UNKNOWN", {"observations": [
+        _record("2020-01-01", "10")]})
+    with pytest.raises(ValueError, match="no expected series"):
+        run_daily(spark, _run(tmp_path))
+
+
+def test_a_renamed_series_fails_the_unique_test(spark):
+    names = spark.createDataFrame(
+        [("GDP", "Old", None, None), ("GDP", "New", None, None), ("DFF", "D", None, None)],
+        CATALOGUE,
+    ).withColumnRenamed("series_id", "indicator_id")
+    report = quality.unique(names, "dim_indicators", "indicator_id")
+    assert quality.failed(report) == ["unique dim_indicators.indicator_id: 1 failures"]

@@ -2,9 +2,8 @@
 
 ``F.lag`` over ``Window.partitionBy(series)`` sorts a whole series in one task.
 Where a series is bounded (one row per day) that is the best plan. Where it is
-not, ``chunked_lag`` cuts the totally ordered rows into even chunks, hands every
-chunk the few rows that precede it, and lets the ordinary window run per
-(series, chunk).
+not, ``chunked_lag`` sorts all rows over the cluster into even chunks, hands
+every chunk the few rows that precede it, and runs the window per chunk.
 """
 
 from __future__ import annotations
@@ -14,12 +13,8 @@ from pyspark.sql import functions as F
 
 from tsmedallion.session import materialise
 
-
-def _ordered(names: list[str], nulls_last: list[str]) -> list[Column]:
-    return [
-        F.col(c).asc_nulls_last() if c in nulls_last else F.col(c).asc_nulls_first()
-        for c in names
-    ]
+# monotonically_increasing_id() keeps the row's place in its task in 33 bits.
+ROW_IN_TASK = (1 << 33) - 1
 
 
 def chunked_lag(
@@ -35,64 +30,63 @@ def chunked_lag(
     1. A range exchange on (key, order) makes even chunks whatever the key
        skew. Rows equal on all of ``order`` are told apart by a row number, so
        even one group of copies spreads over several chunks.
-    2. The chunked rows are written once: chunk bounds come from a sample, so
-       they must not be computed twice.
-    3. The last ``max(n)`` rows of each chunk, for keys that go on into a later
-       chunk, are the only rows exchanged between chunks: at most ``max(n)``
-       per chunk, whatever the size of the data.
+    2. The sorted chunks are written once, with each row's place in its chunk:
+       chunk bounds come from a sample, so they must not be computed twice.
+    3. A row looks back ``max(n)`` rows at most, so a chunk needs that many rows
+       from before its start, and nothing else, from other chunks.
+
+    ``df`` should come straight from a table scan, whose rows a retried task
+    reads in the same order.
     """
     depth = max(offsets.values())
-    order = [*order, "copy_no"]
-    rows = _ordered(order, nulls_last)
+    sorting = [F.col(key).asc_nulls_first()] + [
+        F.col(c).asc_nulls_last() if c in nulls_last else F.col(c).asc_nulls_first()
+        for c in [*order, "copy_no"]
+    ]
     chunked = materialise(
         df.withColumn("copy_no", F.monotonically_increasing_id())
-        .repartitionByRange(F.col(key).asc_nulls_first(), *rows)
-        .withColumn("chunk", F.spark_partition_id()),
+        .repartitionByRange(*sorting)
+        .sortWithinPartitions(*sorting)
+        .withColumn("chunk", F.spark_partition_id())
+        .withColumn("pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_TASK)))
+        .drop("copy_no"),
         "chunked",
     )
 
-    # Chunks whose key goes on into a later chunk. Chunks are contiguous in
-    # (key, order), so there are fewer of them than chunks.
-    by_chunk = Window.partitionBy(key).orderBy("chunk")
-    spans = (
-        chunked.select(key, "chunk")
-        .distinct()
-        .withColumn("next_chunk", F.lead("chunk").over(by_chunk))
-        .filter(F.col("next_chunk").isNotNull())
-        .select(F.col(key).alias("span_key"), F.col("chunk").alias("span_chunk"), "next_chunk")
-    )
-    newest_first = Window.partitionBy(key, "chunk").orderBy(
-        *[
-            F.col(c).desc_nulls_first() if c in nulls_last else F.col(c).desc_nulls_last()
-            for c in order
-        ]
+    # One row per chunk, hence at most one per shuffle partition: small enough
+    # for one window task and for a broadcast, whatever the size of the data.
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.broadcast(
+        chunked.groupBy("chunk")
+        .agg(F.count("*").alias("n_rows"))
+        .withColumn("start", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
     )
-    kept = [value, *[c for c in order if c != value]]
     tails = (
-        chunked.select(key, "chunk", *kept)
-        .join(
-            spans,
-            F.col(key).eqNullSafe(F.col("span_key")) & (F.col("chunk") == F.col("span_chunk")),
-        )
-        .withColumn("back", F.row_number().over(newest_first))
-        .filter(F.col("back") <= depth)
-    )
-    # A chunk may hold fewer than ``depth`` rows: look back over the tails of
-    # all earlier chunks, which together hold every row that can matter.
-    back_over = (
-        Window.partitionBy(key).orderBy("chunk", F.col("back").desc()).rowsBetween(1 - depth, 0)
+        chunked.select("chunk", "pos", key, value)
+        .join(starts, "chunk")
+        .filter(F.col("pos") >= F.col("n_rows") - depth)
+        .select(key, value, (F.col("start") + F.col("pos")).alias("row_no"))
     )
+    # A tail row goes to every chunk that starts within ``depth`` rows after it:
+    # the next one, and further ones where chunks are shorter than that.
+    reach = F.sequence(F.col("row_no") + 1, F.col("row_no") + depth)
     carried = (
-        tails.withColumn("carry", F.collect_list(F.struct(*kept)).over(back_over))
-        .filter(F.col("back") == 1)
-        .select(F.col(key), F.col("next_chunk").alias("chunk"), F.inline("carry"))
-        .withColumn("is_carry", F.lit(True))
+        tails.withColumn("start", F.explode(reach))
+        .join(starts.select("chunk", "start"), "start")
+        .select(key, value, "chunk", (F.col("row_no") - F.col("start")).alias("pos"))
     )
 
-    in_chunk = Window.partitionBy(key, "chunk").orderBy(*rows)
-    lagged = (
-        chunked.withColumn("is_carry", F.lit(False))
-        .unionByName(carried, allowMissingColumns=True)
-        .withColumns({name: F.lag(value, n).over(in_chunk) for name, n in offsets.items()})
+    # Chunks are contiguous in (key, order), so the place in the chunk is the
+    # order, and a row of another key marks the start of the partition.
+    in_chunk = Window.partitionBy("chunk").orderBy("pos")
+
+    def lagged(n: int) -> Column:
+        same_key = F.lag(key, n).over(in_chunk).eqNullSafe(F.col(key))
+        return F.when(same_key, F.lag(value, n).over(in_chunk))
+
+    return (
+        chunked.unionByName(carried, allowMissingColumns=True)
+        .withColumns({name: lagged(n) for name, n in offsets.items()})
+        .filter(F.col("pos") >= 0)
+        .drop("chunk", "pos")
     )
-    return lagged.filter(~F.col("is_carry")).drop("is_carry", "chunk", "copy_no")

@@ -13,7 +13,9 @@ from tsmedallion.functions.scalar import at
 # Rows that agree on all four are copies of each other.
 VINTAGE_ORDER = ["data_as_of_date", "ingested_at", "series_name", "value"]
 
-KEY = ["series_id", "observation_date"]
+# The date comes first because the aggregation sorts by these columns, and a
+# date compares as one machine word where a series id is text.
+KEY = ["observation_date", "series_id"]
 
 
 def stage(silver: DataFrame, transformed_at: datetime | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from tsmedallion.sources.tables import gold_path
 
 
 def bronze_stream(
-    spark: SparkSession, path: str, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, path: str, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """New bronze files, in batches of bounded size if a bound is given."""
     reader = spark.readStream.schema(BRONZE_AT_REST)
