@@ -88,16 +88,18 @@ def test_labels(spark):
         "N/A",
         "N/A",
     ]
-    assert _values(spark, [3.14159, None], scalar.two_decimals(F.col("t")), "t double") == [
-        "3.14",
-        None,
-    ]
+
+
+def test_two_decimals_round_like_python(spark):
+    values = [3.14159, None, 2.675, 0.125, 0.375, 258.115, -0.001, 1234567.891, math.nan, -math.inf]
+    found = _values(spark, values, scalar.two_decimals(F.col("t")), "t double")
+    assert found == [None if v is None else f"{v:.2f}" for v in values]
 
 
 def test_share_of_nothing_is_null(spark):
-    rows = spark.createDataFrame([(1, 3), (0, 0)], "a bigint, b bigint")
+    rows = spark.createDataFrame([(1, 3), (0, 0), (1, 800)], "a bigint, b bigint")
     found = rows.select(scalar.pct_of(F.col("a"), F.col("b")).alias("p")).collect()
-    assert [r["p"] for r in found] == [33.33, None]
+    assert [r["p"] for r in found] == [33.33, None, 0.12]
 
 
 def test_export_name():

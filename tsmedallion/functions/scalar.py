@@ -35,7 +35,7 @@ def pct_change(current: Column, previous: Column) -> Column:
 
 def pct_of(part: Column, whole: Column) -> Column:
     """Share in percent with two decimals; NULL for an empty whole."""
-    return F.round(F.try_divide(F.lit(100) * part, whole), 2)
+    return two_decimals(F.try_divide(F.lit(100) * part, whole)).cast("double")
 
 
 def day_of_week(d: Column) -> Column:
@@ -53,13 +53,24 @@ def period_start(d: Column, unit: str) -> Column:
 
 
 def two_decimals(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.format_string("%.2f", value))
+    """Text with two decimals, rounded from the exact binary value.
+
+    ``format_number`` rounds half to even on the exact value, as C and Python
+    do; ``format_string`` and ``round`` start from the shortest decimal text
+    and give 2.68 for 2.675.
+    """
+    return (
+        F.when(F.isnan(value), "nan")
+        .when(value == float("inf"), "inf")
+        .when(value == float("-inf"), "-inf")
+        .otherwise(F.call_function("format_number", value, F.lit("0.00")))
+    )
 
 
 def change_label(pct: Column) -> Column:
     """``12.34% YoY``, or ``N/A`` where there is no change to show."""
     return F.when(pct.isNull() | F.isnan(pct), "N/A").otherwise(
-        F.format_string("%.2f%% YoY", pct)
+        F.concat(two_decimals(pct), F.lit("% YoY"))
     )
 
 

@@ -261,8 +261,10 @@ SELECT COUNT(*) AS total_records,
        COUNT(*) FILTER (WHERE is_valid) AS valid_records,
        COUNT(*) FILTER (WHERE is_missing) AS missing_records,
        COUNT(*) FILTER (WHERE NOT is_valid AND NOT is_missing) AS unparseable_records,
-       ROUND(100 * COUNT(*) FILTER (WHERE is_valid) / CAST(COUNT(*) AS DOUBLE), 2) AS valid_pct,
-       ROUND(100 * COUNT(*) FILTER (WHERE is_missing) / CAST(COUNT(*) AS DOUBLE), 2) AS missing_pct
+       CAST(printf('%.2f', 100 * COUNT(*) FILTER (WHERE is_valid)
+                           / CAST(COUNT(*) AS DOUBLE)) AS DOUBLE) AS valid_pct,
+       CAST(printf('%.2f', 100 * COUNT(*) FILTER (WHERE is_missing)
+                           / CAST(COUNT(*) AS DOUBLE)) AS DOUBLE) AS missing_pct
 FROM daily_silver"""
 
 YOY = """

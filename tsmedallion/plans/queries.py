@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tsmedallion.operators import correlation, dashboard, marts, quality, silver, staging
 from tsmedallion.plans import daily, fixtures
 from tsmedallion.schemas import FCT_OBSERVATIONS, SILVER, default_catalogue
-from tsmedallion.session import scratch_path
+from tsmedallion.session import materialise, scratch_path
 from tsmedallion.sources import bronze, landing, tables
 from tsmedallion.streaming import silver_stream
 
@@ -113,7 +113,8 @@ def bronze_explode(spark: SparkSession, sf: str) -> DataFrame:
     rows = landing.explode_documents(
         landing.read_documents(spark, landed, multi_line=False), "2024-01-10"
     )
-    return landing.to_bronze(rows, fixtures.catalogue_of(raw), RUN_AT.isoformat())
+    catalogue = materialise(fixtures.catalogue_of(raw), "catalogue")
+    return landing.to_bronze(rows, catalogue, RUN_AT.isoformat())
 
 
 @query
@@ -124,7 +125,7 @@ def bronze_audit(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "bronze")
     bronze.write_bronze(raw, path)
     expected = raw.select("series_id").distinct().union(
-        spark.createDataFrame([("never",)], "series_id string")
+        spark.range(1).select(F.lit("never"))
     )
     return bronze.audit(bronze.read_bronze(spark, path), expected)
 
@@ -447,7 +448,7 @@ def daily_run(spark: SparkSession, sf: str) -> DataFrame:
         run_at=RUN_AT,
         observation_start="1996-01-01",
         multi_line=False,
-        catalogue=fixtures.catalogue_of(raw),
+        catalogue=materialise(fixtures.catalogue_of(raw), "catalogue"),
     )
     daily.run_daily(spark, run)
     return tables.read_gold(spark, run.path("gold"), "fct_observations").drop("created_at")

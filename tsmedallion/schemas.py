@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -115,8 +117,17 @@ DEFAULT_CATALOGUE = [
 DEFAULT_OBSERVATION_START = "2020-01-01"
 
 
+def local_table(
+    spark: SparkSession, rows: list[tuple], schema: T.StructType
+) -> DataFrame:
+    """A small literal table. Passed as Arrow it becomes a local relation of
+    known size, so that joins can broadcast it."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema)))
+
+
 def default_catalogue(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_CATALOGUE, CATALOGUE)
+    return local_table(spark, DEFAULT_CATALOGUE, CATALOGUE)
 
 
 def schema_drift(df: DataFrame, expected: T.StructType) -> list[str]:

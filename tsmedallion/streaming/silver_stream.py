@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tsmedallion.operators import marts, silver
 from tsmedallion.schemas import BRONZE_AT_REST
+from tsmedallion.session import materialise
 from tsmedallion.sources.tables import gold_path
 
 
@@ -48,8 +49,12 @@ def refresh_fact(
     vintages: str = "current",
     created_at: datetime | None = None,
 ) -> None:
-    """Rebuild the fact of the touched series only; other folders stay."""
-    series = touched.select("series_id").distinct()
+    """Rebuild the fact of the touched series only; other folders stay.
+
+    The series list is written first: its size is then known, so Catalyst can
+    broadcast it and prune the silver folders of all other series.
+    """
+    series = materialise(touched.select("series_id").distinct(), "touched")
     fact = marts.fct_observations(
         staged.join(series, "series_id", "left_semi"), vintages, created_at
     )
