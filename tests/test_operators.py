@@ -131,7 +131,7 @@ def test_unknown_vintage_mode(spark):
 def _brute_force_lags(rows):
     """(series, date, as_of, ingested, name, value) rows with lag 1 and 12."""
     def order(r):
-        return (r[1] is None, r[1] or date.min, r[2], r[3], r[4], r[5])
+        return (r[1] is None, r[1] or date.min, r[2], r[3], r[5], r[4])
 
     found = []
     for series in {r[0] for r in rows}:

@@ -90,8 +90,12 @@ def fct_observations(
     ``all``: every vintage is a row, ordered by date and then by age. A series
     is unbounded there, hence the chunked lag.
     """
+    # Only what the fact shows: the exchanges below carry nothing else.
+    observations = staged.select(
+        "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
+    )
     if vintages == "current":
-        one_per_day = current_vintage(staged)
+        one_per_day = current_vintage(observations)
         by_date = Window.partitionBy("series_id").orderBy(
             F.col("observation_date").asc_nulls_last()
         )
@@ -100,9 +104,9 @@ def fct_observations(
         )
     elif vintages == "all":
         lagged = chunked_lag(
-            staged,
+            observations,
             key="series_id",
-            order=["observation_date", *VINTAGE_ORDER],
+            order=["observation_date", *(c for c in VINTAGE_ORDER if c in observations.columns)],
             value="value",
             offsets=LAGS,
             nulls_last=["observation_date"],
@@ -124,7 +128,10 @@ def yoy_calendar(staged: DataFrame) -> DataFrame:
              RANGE BETWEEN INTERVAL '1' YEAR PRECEDING AND INTERVAL '1' YEAR PRECEDING)"""
     )
     value = F.col("value")
-    looked_up = current_vintage(staged).withColumn(
+    observations = staged.select(
+        "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
+    )
+    looked_up = current_vintage(observations).withColumn(
         "value_12_months_ago", F.when(F.col("observation_date").isNotNull(), year_ago)
     )
     return looked_up.select(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tsmedallion.functions.scalar import at
 
 # Age order of the vintages of one (series, date), oldest first, NULL first.
-# Rows that agree on all four are copies of each other.
-VINTAGE_ORDER = ["data_as_of_date", "ingested_at", "series_name", "value"]
+# Rows that agree on all four are copies of each other. The name comes last, so
+# that leaving it out, as the fact does, changes no value.
+VINTAGE_ORDER = ["data_as_of_date", "ingested_at", "value", "series_name"]
 
 # The date comes first because the aggregation sorts by these columns, and a
 # date compares as one machine word where a series id is text.
@@ -42,18 +43,13 @@ def current_vintage(staged: DataFrame) -> DataFrame:
     with any number of vintages sends one row per task. The result has at most
     one row per series and calendar day.
     """
+    aged = [c for c in VINTAGE_ORDER if c in staged.columns]
+    constant = ["transformed_at"] if "transformed_at" in staged.columns else []
     newest = staged.groupBy(*KEY).agg(
-        F.max(F.struct(*VINTAGE_ORDER)).alias("newest"),
-        F.max("transformed_at").alias("transformed_at"),
+        F.max(F.struct(*aged)).alias("newest"), *[F.max(c).alias(c) for c in constant]
     )
     return newest.select(
-        "series_id",
-        F.col("newest.series_name").alias("series_name"),
-        "observation_date",
-        F.col("newest.value").alias("value"),
-        F.col("newest.data_as_of_date").alias("data_as_of_date"),
-        F.col("newest.ingested_at").alias("ingested_at"),
-        "transformed_at",
+        *[F.col(f"newest.{c}").alias(c) if c in aged else F.col(c) for c in staged.columns]
     )
 
 

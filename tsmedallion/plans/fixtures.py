@@ -60,23 +60,28 @@ def obs_daily(lineitem: DataFrame, *extra: Column) -> DataFrame:
     series = F.lit(None).cast("string")
     for code, series_id in DAILY_SERIES.items():
         series = F.when(pair == code, series_id).otherwise(series)
-    revised = F.date_format(
-        F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber")), "yyyy-MM-dd"
+    shipped = F.to_date("l_shipdate")
+    # Named first and used below, so that each is computed once per row.
+    named = lineitem.withColumns(
+        {
+            "series_id": series,
+            "revised": F.date_add(shipped, F.col("l_linenumber")).cast("string"),
+        }
     )
     value = (
         F.when(F.col("l_quantity") == 7, ".")
         .when(F.col("l_quantity") == 23, "n/a")
         .otherwise(_money("l_extendedprice").cast("string"))
     )
-    return lineitem.select(
-        revised.alias("realtime_start"),
+    return named.select(
+        F.col("revised").alias("realtime_start"),
         F.lit("9999-12-31").alias("realtime_end"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+        shipped.cast("string").alias("date"),
         value.alias("value"),
-        series.alias("series_id"),
-        F.concat(F.lit("Series "), series).alias("series_name"),
-        F.concat(revised, F.lit("T06:00:00")).alias("ingestion_timestamp"),
-        revised.alias("ingest_date"),
+        "series_id",
+        F.concat(F.lit("Series "), "series_id").alias("series_name"),
+        F.concat("revised", F.lit("T06:00:00")).alias("ingestion_timestamp"),
+        F.col("revised").alias("ingest_date"),
         *extra,
     )
 

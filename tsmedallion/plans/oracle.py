@@ -66,7 +66,7 @@ def _current(name: str, where: str = "true") -> str:
   SELECT series_id, series_name, observation_date, value, data_as_of_date, ingested_at
   FROM (SELECT *, ROW_NUMBER() OVER (
                  PARTITION BY series_id, observation_date
-                 ORDER BY data_as_of_date DESC, ingested_at DESC, series_name DESC, value DESC
+                 ORDER BY data_as_of_date DESC, ingested_at DESC, value DESC, series_name DESC
                ) AS age
         FROM {name}_staged WHERE {where})
   WHERE age = 1)"""
@@ -111,7 +111,7 @@ def _fact(source: str, name: str) -> str:
         FROM {source}
         WINDOW w AS (PARTITION BY series_id
                      ORDER BY observation_date NULLS LAST, data_as_of_date NULLS FIRST,
-                              ingested_at NULLS FIRST, series_name NULLS FIRST, value)))"""
+                              ingested_at NULLS FIRST, value)))"""
 
 
 DIM_INDICATORS = """
