@@ -32,7 +32,7 @@ def _rows(table: pa.Table) -> list[tuple]:
 
 def differences(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     ours = result.toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     found = {f.name: _plain(f.type) for f in ours.schema}
     wanted = {f.name: _plain(f.type) for f in theirs.schema}
     if found != wanted:

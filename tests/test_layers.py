@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from tsmedallion.operators import quality, silver
 from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily
-from tsmedallion.schemas import BRONZE, CATALOGUE, SILVER, check_schema, default_catalogue, schema_drift
+from tsmedallion.schemas import (
+    BRONZE,
+    CATALOGUE,
+    SILVER,
+    check_at_rest,
+    check_schema,
+    default_catalogue,
+    schema_drift,
+)
 from tsmedallion.session import require_utc
 from tsmedallion.sources import bronze, landing, tables
 
@@ -176,6 +184,16 @@ def test_schema_drift(spark):
         check_schema(drifted, SILVER)
 
 
+def test_schema_at_rest(spark, tmp_path):
+    rows = spark.createDataFrame([_bronze_row("001", "2024-01-01", "1")], BRONZE)
+    cleaned = silver.clean(rows)
+    tables.write_silver(cleaned, str(tmp_path / "good"))
+    check_at_rest(spark, str(tmp_path / "good"), SILVER, ("series_id",))
+    tables.write_silver(cleaned.drop("value_raw"), str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="missing column value_raw"):
+        check_at_rest(spark, str(tmp_path / "bad"), SILVER, ("series_id",))
+
+
 def test_missing_tables(spark):
     spark.range(1).createOrReplaceTempView("dim_time_here")
     assert tables.missing_tables(spark, ["dim_time_here", "not_there"]) == ["not_there"]

@@ -257,6 +257,25 @@ def test_star_drops_rows_without_a_dimension(gold):
     assert dashboard.star(fct, indicators, time.filter("year = 2020")).count() == 24
 
 
+def test_dashboard_over_empty_gold(spark):
+    empty = [spark.createDataFrame([], s) for s in (FCT_OBSERVATIONS, DIM_INDICATORS, DIM_TIME)]
+    data = dashboard.star(*empty, with_age=True)
+    assert tuple(dashboard.date_bounds(data).first()) == (None, None)
+    deduped = dashboard.dedupe_last(data)
+    for result in (
+        dashboard.indicator_list(empty[1]),
+        dashboard.filter_range(data, _month(0), _month(1)),
+        dashboard.latest_metrics(data),
+        dashboard.time_series(data),
+        dashboard.yoy_series(data),
+        dashboard.top_recent(data),
+        deduped,
+        dashboard.pivot_wide(deduped, {"a": "a"}),
+    ):
+        assert result.count() == 0
+    assert set(_matrix(correlation.corr_matrix(deduped, ["a", "b"])).values()) == {(0, None)}
+
+
 def test_filter_range(gold):
     data = dashboard.star(*gold)
     assert dashboard.filter_range(data, _month(1), _month(3)).count() == 6

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsmedallion.operators import marts, quality, silver, staging
-from tsmedallion.schemas import DEFAULT_OBSERVATION_START, default_catalogue
+from tsmedallion.schemas import (
+    BRONZE_AT_REST,
+    DEFAULT_OBSERVATION_START,
+    check_at_rest,
+    default_catalogue,
+)
 from tsmedallion.session import require_utc
 from tsmedallion.sources import bronze, landing, tables
 
@@ -41,6 +46,12 @@ def ingest(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> dict[str
     bronze.write_bronze(
         landing.to_bronze(rows, catalogue, run.run_at.isoformat()), run.path("bronze")
     )
+    check_at_rest(
+        spark,
+        f"{run.path('bronze')}/ingest_date={run.ingest_date}",
+        BRONZE_AT_REST,
+        ("ingest_date", "series_id"),
+    )
     written = bronze.read_bronze(spark, run.path("bronze")).filter(
         F.col("ingest_date") == run.ingest_date
     )

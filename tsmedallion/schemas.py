@@ -149,3 +149,14 @@ def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     if problems:
         raise ValueError("schema drift: " + "; ".join(problems))
     return df
+
+
+def check_at_rest(
+    spark: SparkSession, path: str, expected: T.StructType, partition_cols: tuple[str, ...] = ()
+) -> None:
+    """Compare files with the declared schema; reads one footer, no rows.
+
+    A declared schema alone would read a missing column as NULL.
+    """
+    declared = T.StructType([f for f in expected.fields if f.name not in partition_cols])
+    check_schema(spark.read.parquet(path).drop(*partition_cols), declared)
