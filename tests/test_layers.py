@@ -291,6 +291,12 @@ def test_daily_run_fails_without_any_expected_series(spark, tmp_path):
         run_daily(spark, _run(tmp_path))
 
 
+def test_daily_run_fails_without_observations(spark, tmp_path):
+    _land(str(tmp_path / "landing"), "2024-02-01", "GDP", {"error": "none"})
+    with pytest.raises(ValueError, match="no observation was ingested for 2024-02-01"):
+        run_daily(spark, _run(tmp_path))
+
+
 def test_a_renamed_series_fails_the_unique_test(spark):
     names = spark.createDataFrame(
         [("GDP", "Old", None, None), ("GDP", "New", None, None), ("DFF", "D", None, None)],

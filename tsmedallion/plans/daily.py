@@ -6,8 +6,8 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tsmedallion.operators import marts, quality, silver, staging
 from tsmedallion.schemas import (
@@ -46,15 +46,18 @@ def ingest(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> dict[str
     bronze.write_bronze(
         landing.to_bronze(rows, catalogue, run.run_at.isoformat()), run.path("bronze")
     )
-    check_at_rest(
-        spark,
-        f"{run.path('bronze')}/ingest_date={run.ingest_date}",
-        BRONZE_AT_REST,
-        ("ingest_date", "series_id"),
-    )
-    written = bronze.read_bronze(spark, run.path("bronze")).filter(
-        F.col("ingest_date") == run.ingest_date
-    )
+    try:
+        check_at_rest(
+            spark,
+            bronze.run_folder(run.path("bronze"), run.ingest_date),
+            BRONZE_AT_REST,
+            ("ingest_date", "series_id"),
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"no observation was ingested for {run.ingest_date}") from error
+    written = bronze.read_bronze(spark, run.path("bronze"), run.ingest_date)
     return bronze.require_any_series(bronze.audit(written, catalogue))
 
 

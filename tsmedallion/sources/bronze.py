@@ -23,9 +23,18 @@ def write_bronze(bronze: DataFrame, path: str) -> None:
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Every run and series under ``path``, without deduplication."""
-    return spark.read.schema(BRONZE_AT_REST).parquet(path)
+def run_folder(root: str, ingest_date: str) -> str:
+    return f"{root.rstrip('/')}/ingest_date={ingest_date}"
+
+
+def read_bronze(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
+    """Every run and series under ``path``, without deduplication, or one run,
+    of which only the own folder is listed."""
+    return (
+        spark.read.schema(BRONZE_AT_REST)
+        .option("basePath", path)
+        .parquet(path if ingest_date is None else run_folder(path, ingest_date))
+    )
 
 
 def audit(bronze: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsmedallion.schemas import BRONZE, DOCUMENT
+from tsmedallion.sources.bronze import run_folder
 
 
 def read_documents(
@@ -21,8 +22,9 @@ def read_documents(
 ) -> DataFrame:
     """Documents with the ``ingest_date`` and ``series_id`` of their folder.
 
-    A malformed document fails the read. ``multi_line=False`` reads one
-    document per line, which Spark splits inside a file.
+    Given a run date, only that date's folder is listed. A malformed document
+    fails the read. ``multi_line=False`` reads one document per line, which
+    Spark splits inside a file.
     """
     schema = T.StructType(
         DOCUMENT.fields
@@ -31,13 +33,13 @@ def read_documents(
             T.StructField("series_id", T.StringType()),
         ]
     )
-    docs = (
+    return (
         spark.read.schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
-        .json(landing)
+        .option("basePath", landing)
+        .json(landing if ingest_date is None else run_folder(landing, ingest_date))
     )
-    return docs if ingest_date is None else docs.filter(F.col("ingest_date") == ingest_date)
 
 
 def explode_documents(docs: DataFrame, observation_start: str | None = None) -> DataFrame:
