@@ -175,6 +175,22 @@ def test_a_hot_series_is_written_as_several_files(spark, tmp_path):
     assert tables.read_silver(spark, path).count() == 300_000
 
 
+def test_clustered_layout(spark, tmp_path):
+    """No folders, the same rows, and an id filter that reaches the row groups."""
+    rows = [_bronze_row(f"{s:03d}", f"2024-01-{d:02d}", "1") for s in range(40) for d in range(1, 9)]
+    rows += [_bronze_row("HOT", f"2024-01-{d % 28 + 1:02d}", str(d)) for d in range(400)]
+    cleaned = silver.clean(spark.createDataFrame(rows, BRONZE))
+    path = str(tmp_path / "silver")
+    tables.write_silver(cleaned, path, "clustered")
+    assert not [f for f in os.listdir(path) if f.startswith("series_id")]
+    found = tables.read_silver(spark, path)
+    assert found.exceptAll(cleaned).count() == 0 and found.count() == len(rows)
+    plan = found.filter("series_id = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(series_id,007)" in plan
+    with pytest.raises(ValueError, match="layout"):
+        tables.write_silver(cleaned, path, "piles")
+
+
 def test_schema_drift(spark):
     drifted = spark.createDataFrame([("a", 1)], "series_id string, value bigint")
     problems = schema_drift(drifted, SILVER)
@@ -252,6 +268,19 @@ def test_daily_run_and_rerun(spark, tmp_path):
     assert sorted(map(tuple, again.collect()), key=str) == before
 
 
+def test_daily_run_gives_the_same_fact_in_either_layout(spark, tmp_path):
+    for series in ("GDP", "DFF"):
+        _land(str(tmp_path / "landing"), "2024-02-01", series, {"observations": [
+            _record(m, str(i)) for i, m in enumerate(_months(20))]})
+    facts = []
+    for layout in ("folders", "clustered"):
+        run = _run(tmp_path, lake=str(tmp_path / layout), layout=layout)
+        run_daily(spark, run)
+        fact = tables.read_gold(spark, run.path("gold"), "fct_observations")
+        facts.append(sorted(map(tuple, fact.collect()), key=str))
+    assert facts[0] == facts[1] and len(facts[0]) == 40
+
+
 def test_second_run_date_adds_a_vintage(spark, tmp_path):
     for ingest_date, value in (("2024-02-01", "10"), ("2024-02-02", "11")):
         _land(str(tmp_path / "landing"), ingest_date, "GDP", {"observations": [

@@ -32,6 +32,7 @@ class DailyRun:
     run_at: datetime
     observation_start: str | None = DEFAULT_OBSERVATION_START
     vintages: str = "current"
+    layout: str = "folders"
     multi_line: bool = True
     catalogue: DataFrame | None = None
 
@@ -64,7 +65,7 @@ def ingest(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> dict[str
 def refine(spark: SparkSession, run: DailyRun) -> dict[str, Any]:
     """All of bronze to silver; returns the quality summary."""
     cleaned = silver.clean(bronze.read_bronze(spark, run.path("bronze")))
-    tables.write_silver(cleaned, run.path("silver"))
+    tables.write_silver(cleaned, run.path("silver"), run.layout)
     written = tables.read_silver(spark, run.path("silver"))
     return silver.quality_summary(written).first().asDict()
 
@@ -78,7 +79,10 @@ def build_gold(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> None
     )
     tables.write_gold(marts.dim_time(staged), gold, "dim_time")
     tables.write_gold(
-        marts.fct_observations(staged, run.vintages, run.run_at), gold, "fct_observations"
+        marts.fct_observations(staged, run.vintages, run.run_at),
+        gold,
+        "fct_observations",
+        run.layout,
     )
 
 

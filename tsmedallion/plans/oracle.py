@@ -348,6 +348,7 @@ SQL = {
     "silver_clean_events": _with(EVENTS, "SELECT * FROM events_silver"),
     "silver_dq_summary": _with(DAILY, SUMMARY),
     "silver_partition_roundtrip": _with(EVENTS, "SELECT * FROM events_silver"),
+    "silver_clustered_roundtrip": _with(DAILY, "SELECT * FROM daily_silver"),
     "silver_stream_roundtrip": _with(EVENTS, "SELECT * FROM events_silver"),
     "stg_observations": _with(DAILY_STAGED, "SELECT * FROM daily_staged"),
     "stg_view": _with(EVENTS_STAGED, "SELECT * FROM events_staged"),

@@ -165,6 +165,13 @@ def silver_partition_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_silver(spark, path)
 
 
+@query
+def silver_clustered_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "silver")
+    tables.write_silver(silver.clean(_daily(spark, sf)), path, "clustered")
+    return tables.read_silver(spark, path)
+
+
 @query
 def silver_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows through the streaming form of silver."""

@@ -4,49 +4,70 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from tsmedallion.functions.scalar import export_name
 from tsmedallion.schemas import GOLD, SILVER
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
-    """Overwrite silver, one folder per series.
+LAYOUTS = ("folders", "clustered")
 
-    The rebalance puts a series' rows together, so that thousands of series do
-    not become (tasks x series) files, and splits a hot series by size.
+
+def _clustered(df: DataFrame, *columns: str) -> DataFrameWriter:
+    """Even files, each a narrow range of ``columns``, without folders.
+
+    Row-group bounds then prune a filter on the leading column. The later
+    columns let the range exchange split a hot leading value.
     """
-    silver.hint("rebalance", "series_id").write.mode("overwrite").partitionBy(
-        "series_id"
-    ).parquet(path)
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns).write
 
 
-def read_partitioned(
-    spark: SparkSession, path: str, schema: T.StructType, partition_col: str
-) -> DataFrame:
-    """Read with a declared schema: keys that look like numbers stay text."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+def _check_layout(layout: str) -> None:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+
+
+def write_silver(silver: DataFrame, path: str, layout: str = "folders") -> None:
+    """Overwrite silver, by default with one folder per series.
+
+    The rebalance puts a series' rows together, so that thousands of series do
+    not become (tasks x series) files, and splits a hot series by size. With
+    more series than a file system lists well, ``clustered`` needs no folders.
+    """
+    _check_layout(layout)
+    if layout == "clustered":
+        writer = _clustered(silver, "series_id", "observation_date")
+    else:
+        writer = silver.hint("rebalance", "series_id").write.partitionBy("series_id")
+    writer.mode("overwrite").parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return read_partitioned(spark, path, SILVER, "series_id")
+    """Either layout. With the declared schema, keys that look like numbers
+    stay text."""
+    return spark.read.schema(SILVER).parquet(path).select(*SILVER.names)
 
 
 def gold_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_gold(df: DataFrame, root: str, table: str) -> None:
-    """Rebuild a gold table; the fact gets one folder per indicator.
+def write_gold(df: DataFrame, root: str, table: str, layout: str = "folders") -> None:
+    """Rebuild a gold table; the fact gets one folder per indicator or is
+    clustered by indicator and date.
 
-    The fact arrives partitioned by its window keys (series, or series and
-    chunk), so this write adds no shuffle.
+    The fact arrives partitioned by its window keys (series, or chunk), so the
+    folders add no shuffle.
     """
-    writer = df.write.mode("overwrite")
+    _check_layout(layout)
+    writer = df.write
     if table.startswith("fct_"):
-        writer = writer.partitionBy("indicator_id")
-    writer.parquet(gold_path(root, table))
+        if layout == "clustered":
+            writer = _clustered(df, "indicator_id", "date_key")
+        else:
+            writer = writer.partitionBy("indicator_id")
+    writer.mode("overwrite").parquet(gold_path(root, table))
 
 
 def read_gold(
