@@ -229,6 +229,45 @@ def test_calendar_yoy(spark):
     assert len(found) == len(rows)
 
 
+def test_resample(spark):
+    rows = [
+        ("S", date(2024, 1, 1), 1.0, "2024-01-02"),
+        ("S", date(2024, 1, 1), 2.0, "2024-01-03"),
+        ("S", date(2024, 1, 31), 4.0),
+        ("S", date(2024, 2, 1), 9.0),
+        ("S", None, 100.0),
+    ]
+    found = marts.resample(_staged(spark, rows), "month").orderBy("period_start").collect()
+    assert [tuple(r) for r in found] == [
+        ("S", date(2024, 1, 1), 2, 2.0, 4.0, 2.0, 4.0, 3.0),
+        ("S", date(2024, 2, 1), 1, 9.0, 9.0, 9.0, 9.0, 9.0),
+    ]
+    (year,) = marts.resample(_staged(spark, rows), "year").collect()
+    assert year["n_observations"] == 3 and year["last_value"] == 9.0
+    with pytest.raises(ValueError, match="unit"):
+        marts.resample(_staged(spark, rows), "week")
+
+
+def test_indicator_history(spark):
+    day = _month(0)
+    rows = [
+        ("S", day, 1.0, "2024-01-01", NOW, "Old"),
+        ("S", day, 1.0, "2024-01-02", NOW, "Old"),
+        ("S", day, 1.0, "2024-01-03", NOW, "Mid"),
+        ("S", day, 1.0, "2024-01-03", NOW + timedelta(hours=1), "New"),
+        ("S", day, 1.0, "2024-01-04", NOW, "New"),
+        ("S", day, 1.0, "2024-01-05", NOW, "Old"),
+        ("T", day, 1.0, "2024-01-04", NOW, "Only"),
+    ]
+    found = marts.indicator_history(_staged(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == [
+        ("S", "New", "2024-01-03", "2024-01-05", False),
+        ("S", "Old", "2024-01-01", "2024-01-03", False),
+        ("S", "Old", "2024-01-05", None, True),
+        ("T", "Only", "2024-01-04", None, True),
+    ]
+
+
 # --- Dashboard --------------------------------------------------------------
 
 
@@ -458,6 +497,18 @@ def test_suite_finds_each_fault(spark, sound, fault, failing):
     assert {k: v for k, v in report.items() if v} == failing
 
 
+def test_in_range(spark):
+    staged = _staged(spark, [("A", _month(i), float(i)) for i in range(5)] + [("B", _month(0), 99.0)])
+    bounds = spark.createDataFrame(
+        [("A", 1.0, 3.0), ("C", 0.0, 0.0)], "series_id string, min_value double, max_value double"
+    )
+    report = quality.in_range(staged, "staged", "series_id", "value", bounds)
+    assert quality.failed(report) == ["in_range staged.value: 2 failures"]
+    open_ended = bounds.withColumn("max_value", F.lit(None).cast("double"))
+    report = quality.in_range(staged, "staged", "series_id", "value", open_ended)
+    assert report.first()["failures"] == 1
+
+
 def test_key_nulls_and_orphans(spark, sound):
     _, indicators, _, fact = sound
     bad = (

@@ -141,3 +141,62 @@ def yoy_calendar(staged: DataFrame) -> DataFrame:
         "value_12_months_ago",
         pct_change(value, F.col("value_12_months_ago")).alias("yoy_calendar_pct"),
     )
+
+
+def resample(staged: DataFrame, unit: str) -> DataFrame:
+    """Current vintage per series and month, quarter or year.
+
+    All buffers are numbers and dates, so this is a hash aggregation on top of
+    at most one row per series and day.
+    """
+    if unit not in ("month", "quarter", "year"):
+        raise ValueError(f"unit must be month, quarter or year, not {unit!r}")
+    dated = staged.filter(F.col("observation_date").isNotNull()).select(
+        "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
+    )
+    return (
+        current_vintage(dated)
+        .groupBy(
+            F.col("series_id").alias("indicator_id"),
+            period_start(F.col("observation_date"), unit).alias("period_start"),
+        )
+        .agg(
+            F.count("*").alias("n_observations"),
+            F.min_by("value", "observation_date").alias("first_value"),
+            F.max_by("value", "observation_date").alias("last_value"),
+            F.min("value").alias("min_value"),
+            F.max("value").alias("max_value"),
+            F.avg("value").alias("mean_value"),
+        )
+    )
+
+
+def indicator_history(staged: DataFrame) -> DataFrame:
+    """Names an indicator has had, each with the as-of dates it was valid for.
+
+    The name of an as-of date is that of its last ingestion. ``valid_to`` is
+    the date of the next name, exclusive, and NULL for the current one. Names
+    are combined per as-of date before the shuffle, so a series has as many
+    rows in its window as there are such dates.
+    """
+    per_date = staged.groupBy(
+        F.col("data_as_of_date").alias("valid_from"), F.col("series_id").alias("indicator_id")
+    ).agg(F.max(F.struct("ingested_at", "series_name")).alias("last"))
+    by_date = Window.partitionBy("indicator_id").orderBy(F.col("valid_from").asc_nulls_first())
+    name = F.col("last.series_name")
+    changes = (
+        per_date.withColumn("indicator_name", name)
+        .withColumn("before", F.lag(F.struct("indicator_name")).over(by_date))
+        .filter(
+            F.col("before").isNull()
+            | ~F.col("before.indicator_name").eqNullSafe(F.col("indicator_name"))
+        )
+    )
+    valid_to = F.lead("valid_from").over(by_date)
+    return changes.select(
+        "indicator_id",
+        "indicator_name",
+        "valid_from",
+        valid_to.alias("valid_to"),
+        valid_to.isNull().alias("is_current"),
+    )

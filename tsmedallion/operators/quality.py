@@ -78,6 +78,21 @@ def key_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.count_if(any_null).alias("null_count"))
 
 
+def in_range(df: DataFrame, table: str, key: str, value: str, bounds: DataFrame) -> DataFrame:
+    """Rows whose value lies outside its key's ``min_value`` and ``max_value``.
+
+    A missing bound, and a key without bounds, limits nothing. ``bounds`` has
+    one row per key; Catalyst broadcasts it while it is small.
+    """
+    limits = bounds.select(F.col(key), "min_value", "max_value")
+    below = F.coalesce(F.col(value) < F.col("min_value"), F.lit(False))
+    above = F.coalesce(F.col(value) > F.col("max_value"), F.lit(False))
+    outside = df.select(key, value).join(limits, key).agg(
+        F.count_if(below | above).alias("failures")
+    )
+    return _row(outside, "in_range", table, value)
+
+
 def run_suite(
     staged: DataFrame, dim_indicators: DataFrame, dim_time: DataFrame, fct: DataFrame
 ) -> DataFrame:

@@ -277,6 +277,34 @@ LEFT JOIN {source} p
   ON c.series_id = p.series_id
  AND p.observation_date = CAST(c.observation_date - INTERVAL 1 YEAR AS DATE)"""
 
+RESAMPLE = """
+SELECT series_id AS indicator_id,
+       CAST(date_trunc('{unit}', observation_date) AS DATE) AS period_start,
+       COUNT(*) AS n_observations,
+       ARG_MIN(value, observation_date) AS first_value,
+       ARG_MAX(value, observation_date) AS last_value,
+       MIN(value) AS min_value,
+       MAX(value) AS max_value,
+       ROUND(AVG(value), 6) AS mean_value
+FROM daily_current
+GROUP BY series_id, date_trunc('{unit}', observation_date)"""
+
+HISTORY = """
+renamed AS (
+  SELECT series_id, data_as_of_date, ingested_at,
+         CASE WHEN data_as_of_date >= '1998-01-01'
+               AND NOT (data_as_of_date >= '2000-01-01' AND series_id IN ('GDP', 'DFF'))
+              THEN series_name || ' rebased' ELSE series_name END AS name
+  FROM daily_staged),
+per_date AS (
+  SELECT series_id, data_as_of_date, ARG_MAX(name, ingested_at) AS name
+  FROM renamed GROUP BY series_id, data_as_of_date),
+changes AS (
+  SELECT * FROM (
+    SELECT *, LAG(name) OVER (PARTITION BY series_id ORDER BY data_as_of_date) AS before
+    FROM per_date)
+  WHERE before IS NULL OR before <> name)"""
+
 THREE = "('GDP', 'UNRATE', 'CPIAUCSL')"
 
 SERIES_COLUMNS = {
@@ -372,6 +400,16 @@ SQL = {
   SELECT * FROM monthly_current WHERE EXTRACT(MONTH FROM observation_date) <> 7)""",
         YOY.format(source="gappy"),
     ),
+    "resample_month": _with(DAILY_CURRENT, RESAMPLE.format(unit="month")),
+    "resample_year": _with(DAILY_CURRENT, RESAMPLE.format(unit="year")),
+    "indicator_history": _with(
+        DAILY_STAGED + "," + HISTORY,
+        """SELECT series_id AS indicator_id, name AS indicator_name,
+                  data_as_of_date AS valid_from,
+                  LEAD(data_as_of_date) OVER w AS valid_to,
+                  LEAD(data_as_of_date) OVER w IS NULL AS is_current
+           FROM changes WINDOW w AS (PARTITION BY series_id ORDER BY data_as_of_date)""",
+    ),
     "star_join": _with(
         STARS, f"SELECT {STAR_COLUMNS} FROM star WHERE indicator_id IN {THREE}"
     ),
@@ -462,6 +500,18 @@ SQL = {
             _broken("fct_observations", "fct", "indicator_id", "catalogue", "series_id"),
         ),
     ),
+    "dq_in_range": _with(
+        DAILY_STAGED,
+        _test(
+            "in_range",
+            "stg_observations",
+            "value",
+            """SELECT COUNT(*) FROM daily_staged
+               WHERE series_id = 'GDP' AND (value < 2000 OR value > 90000)
+                  OR series_id = 'DFF' AND value > 50000
+                  OR series_id = 'UNRATE' AND (value < 0 OR value > 1000000)""",
+        ),
+    ),
     "dq_key_nulls": _with(
         EVENTS,
         """SELECT COUNT(*) AS null_count FROM events_silver

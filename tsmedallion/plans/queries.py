@@ -7,10 +7,11 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tsmedallion.operators import correlation, dashboard, marts, quality, silver, staging
 from tsmedallion.plans import daily, fixtures
-from tsmedallion.schemas import FCT_OBSERVATIONS, SILVER, default_catalogue
+from tsmedallion.schemas import FCT_OBSERVATIONS, SILVER, default_catalogue, local_table
 from tsmedallion.session import materialise, scratch_path
 from tsmedallion.sources import bronze, landing, tables
 from tsmedallion.streaming import silver_stream
@@ -271,6 +272,34 @@ def yoy_calendar_gaps(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def resample_month(spark: SparkSession, sf: str) -> DataFrame:
+    return _resampled(spark, sf, "month")
+
+
+@query
+def resample_year(spark: SparkSession, sf: str) -> DataFrame:
+    return _resampled(spark, sf, "year")
+
+
+def _resampled(spark: SparkSession, sf: str, unit: str) -> DataFrame:
+    means = marts.resample(_staged_daily(spark, sf), unit)
+    return means.withColumn("mean_value", F.round("mean_value", 6))
+
+
+@query
+def indicator_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Series renamed with the vintages of 1998, some of them back in 2000."""
+    staged = _staged_daily(spark, sf)
+    as_of_date, name = F.col("data_as_of_date"), F.col("series_name")
+    renamed = F.when(
+        (as_of_date >= "1998-01-01")
+        & ~((as_of_date >= "2000-01-01") & F.col("series_id").isin("GDP", "DFF")),
+        F.concat(name, F.lit(" rebased")),
+    ).otherwise(name)
+    return marts.indicator_history(staged.withColumn("series_name", renamed))
+
+
 # --- Dashboard --------------------------------------------------------------
 
 
@@ -427,6 +456,18 @@ def dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def dq_in_range(spark: SparkSession, sf: str) -> DataFrame:
+    bounds = local_table(
+        spark,
+        [("GDP", 2000.0, 90000.0), ("DFF", None, 50000.0), ("UNRATE", 0.0, 1000000.0)],
+        T.StructType.fromDDL("series_id string, min_value double, max_value double"),
+    )
+    return quality.in_range(
+        _staged_daily(spark, sf), "stg_observations", "series_id", "value", bounds
+    )
+
+
 @query
 def dq_key_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return quality.key_nulls(silver.clean(_events(spark, sf)), ["series_id", "value"])

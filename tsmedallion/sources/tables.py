@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsmedallion.functions.scalar import export_name
@@ -17,10 +18,16 @@ LAYOUTS = ("folders", "clustered")
 def _clustered(df: DataFrame, *columns: str) -> DataFrameWriter:
     """Even files, each a narrow range of ``columns``, without folders.
 
-    Row-group bounds then prune a filter on the leading column. The later
-    columns let the range exchange split a hot leading value.
+    Row-group bounds then prune a filter on the leading column. The row number
+    lets the range exchange split even a group of rows equal on ``columns``.
     """
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns).write
+    return (
+        df.withColumn("copy_no", F.monotonically_increasing_id())
+        .repartitionByRange(*columns, "copy_no")
+        .sortWithinPartitions(*columns)
+        .drop("copy_no")
+        .write
+    )
 
 
 def _check_layout(layout: str) -> None:
