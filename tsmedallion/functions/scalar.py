@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Fixed value: the text a source sends for "no observation".
 MISSING_MARK = "."
 
+# Fixed value: the name of an export, with the day it was made.
+EXPORT_NAME = "economic_indicators_%Y%m%d.csv"
+
 
 def parse_date(text: Column) -> Column:
     """ISO text to date; text that is no date gives NULL, also in ANSI mode."""
@@ -80,4 +83,4 @@ def at(moment: datetime | None) -> Column:
 
 
 def export_name(day: date) -> str:
-    return f"economic_indicators_{day:%Y%m%d}.csv"
+    return day.strftime(EXPORT_NAME)

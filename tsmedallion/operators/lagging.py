@@ -41,11 +41,11 @@ def chunked_lag(
     depth = max(offsets.values())
     sorting = [F.col(key).asc_nulls_first()] + [
         F.col(c).asc_nulls_last() if c in nulls_last else F.col(c).asc_nulls_first()
-        for c in [*order, "copy_no"]
+        for c in order
     ]
     chunked = materialise(
         df.withColumn("copy_no", F.monotonically_increasing_id())
-        .repartitionByRange(*sorting)
+        .repartitionByRange(*sorting, "copy_no")
         .sortWithinPartitions(*sorting)
         .withColumn("chunk", F.spark_partition_id())
         .withColumn("pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_TASK)))
