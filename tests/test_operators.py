@@ -356,6 +356,7 @@ def test_dedupe_last(spark):
     rows = [
         ("S", "Name", day, 1.0, 5.0, "2024-01-02", NOW),
         ("S", "Name", day, 2.0, None, "2024-01-03", NOW),
+        ("S", "Name", day, math.nan, math.nan, "2024-01-04", NOW),
         ("S", None, day, 3.0, 1.0, "2024-01-04", NOW),
         ("S", "Name", None, 4.0, 1.0, "2024-01-04", NOW),
     ]
@@ -386,15 +387,27 @@ def _matrix(df):
     return {(r["indicator_x"], r["indicator_y"]): (r["n_pairs"], r["r"]) for r in df.collect()}
 
 
-def test_correlation_edges(spark):
+@pytest.fixture(params=["expressions", "matrix", "matrix blocks"])
+def corr_way(request, monkeypatch):
+    if request.param != "expressions":
+        monkeypatch.setattr(correlation, "FEW", 1)
+    if request.param == "matrix blocks":
+        monkeypatch.setattr(correlation, "BLOCK", 2)
+        monkeypatch.setattr(correlation, "SLICE", 3)
+
+
+def test_correlation_edges(spark, corr_way):
     points = _points(spark, {
         "up": [1.0, 2.0, 3.0, None],
-        "down": [3.0, 2.0, 1.0, 7.0],
-        "flat": [5.0, 5.0, 5.0, 5.0],
+        "down": [3.0, 2.0, 1.0, 7.0, math.nan],
+        "flat": [0.1, 0.1, 0.1, 0.1],
         "one": [1.0],
+        "later": [None, None, None, None, 2.0, 3.0],
+        "flat where up": [0.1, 0.1, 0.1, 5.0],
     })
-    found = _matrix(correlation.corr_matrix(points, ["up", "down", "flat", "one"]))
-    assert len(found) == 16
+    names = ["up", "down", "flat", "one", "later", "flat where up"]
+    found = _matrix(correlation.corr_matrix(points, names))
+    assert len(found) == 36
     assert found[("up", "down")][0] == 3
     assert found[("up", "down")][1] == pytest.approx(-1.0)
     assert found[("up", "up")][1] == pytest.approx(1.0)
@@ -402,25 +415,28 @@ def test_correlation_edges(spark):
     assert found[("flat", "flat")] == (4, None)
     assert found[("one", "one")] == (1, None)
     assert found[("up", "one")] == (1, None)
+    assert found[("up", "later")] == (0, None)
+    assert found[("up", "flat where up")] == (3, None)
+    assert found[("down", "flat where up")][0] == 4
     assert all(found[(x, y)] == found[(y, x)] for x, y in found)
     with pytest.raises(ValueError, match="at least two"):
         correlation.corr_matrix(points, ["up"])
 
 
-def test_correlation_in_blocks(spark):
+def test_correlation_of_many_series(spark):
     rng = random.Random(3)
-    names = [f"s{i:02d}" for i in range(correlation.BLOCK * 2 + 1)]
-    series = {n: [rng.choice([None, rng.gauss(1000, 1)]) for _ in range(40)] for n in names}
+    names = [f"s{i:02d}" for i in range(30)]
+    series = {n: [rng.choice([None, rng.gauss(1000, 1)]) for _ in range(60)] for n in names}
     found = _matrix(correlation.corr_matrix(_points(spark, series), names))
     assert len(found) == len(names) ** 2
-    for x, y in [("s00", "s16"), ("s03", "s09"), ("s16", "s16"), ("s10", "s02")]:
+    for x, y in found:
         both = [(a, b) for a, b in zip(series[x], series[y]) if a is not None and b is not None]
         n = len(both)
         mx, my = sum(a for a, _ in both) / n, sum(b for _, b in both) / n
         cov = sum((a - mx) * (b - my) for a, b in both)
         var = math.sqrt(sum((a - mx) ** 2 for a, _ in both) * sum((b - my) ** 2 for _, b in both))
         assert found[(x, y)][0] == n
-        assert found[(x, y)][1] == pytest.approx(cov / var)
+        assert found[(x, y)][1] == pytest.approx(cov / var, abs=1e-9)
 
 
 # --- Data tests -------------------------------------------------------------

@@ -96,24 +96,28 @@ def yoy_series(data: DataFrame) -> DataFrame:
     )
 
 
-def _last_of(column: str) -> Column:
-    """Newest non-NULL value; among rows of one age the greatest."""
+def _last_of(column: str, dtype: str) -> Column:
+    """Newest present value; among rows of one age the greatest."""
+    present = F.col(column).isNotNull()
+    if dtype == "double":
+        present = present & ~F.isnan(column)
     aged = F.struct(*AGE, F.col(column).alias("last"))
-    return F.max(F.when(F.col(column).isNotNull(), aged)).getField("last")
+    return F.max(F.when(present, aged)).getField("last")
 
 
 def dedupe_last(data: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Last non-NULL value of each column per (date, name), by age.
+    """Last value of each column that is not NULL or NaN, per (date, name).
 
     ``data`` is the star result ``with_age``. NULL keys are dropped. The
     aggregation combines before its shuffle, so a date with any number of
     vintages sends one row per task.
     """
     columns = columns or [c for c in STAR if c not in ("date_key", "indicator_name")]
+    dtypes = dict(data.dtypes)
     return (
         data.filter(F.col("date_key").isNotNull() & F.col("indicator_name").isNotNull())
         .groupBy("date_key", "indicator_name")
-        .agg(*[_last_of(c).alias(c) for c in columns])
+        .agg(*[_last_of(c, dtypes[c]).alias(c) for c in columns])
     )
 
 

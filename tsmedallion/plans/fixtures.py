@@ -108,6 +108,23 @@ def obs_monthly(orders: DataFrame) -> DataFrame:
     )
 
 
+def nation_points(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Monthly order totals per customer nation as (date, name, value)."""
+    by_customer = orders.groupBy(
+        F.col("o_custkey").alias("c_custkey"), F.trunc("o_orderdate", "month").alias("date_key")
+    ).agg(F.sum(_money("o_totalprice")).alias("total"))
+    return (
+        by_customer.join(customer.select("c_custkey", "c_nationkey"), "c_custkey")
+        .groupBy(
+            "date_key",
+            F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")).alias(
+                "indicator_name"
+            ),
+        )
+        .agg(F.sum("total").cast("double").alias("observation_value"))
+    )
+
+
 def documents(bronze: DataFrame, ingest_date: str | None = None) -> DataFrame:
     """Pack bronze rows into landed JSON documents, one per run, series and page.
 

@@ -448,6 +448,15 @@ SQL = {
     "pivot_monthly": _with(MONTHLY_POINTS, _pivot(PRIORITY_COLUMNS)),
     "corr_matrix": _with(STARS + "," + DEDUPED, CORR),
     "corr_monthly": _with(MONTHLY_POINTS, CORR),
+    "corr_nations": _with(
+        """deduped AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date_key,
+         'Nation ' || c_nationkey AS indicator_name,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS observation_value
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  GROUP BY date_trunc('month', o_orderdate), c_nationkey)""",
+        CORR,
+    ),
     "latest_50": _with(
         STARS,
         """SELECT indicator_name, date_key, observation_value, yoy_change_pct FROM star

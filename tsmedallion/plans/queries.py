@@ -387,6 +387,15 @@ def corr_monthly(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(correlation.corr_matrix(_monthly_points(spark, sf), list(PRIORITIES)))
 
 
+@query
+def corr_nations(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty-five series, by matrix products."""
+    points = fixtures.nation_points(
+        fixtures.table(spark, sf, "orders"), fixtures.table(spark, sf, "customer")
+    )
+    return _rounded(correlation.corr_matrix(points, [f"Nation {i}" for i in range(25)]))
+
+
 @query
 def latest_50(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.top_recent(_star(spark, sf))
