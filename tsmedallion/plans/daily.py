@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -36,6 +36,14 @@ class DailyRun:
     multi_line: bool = True
     catalogue: DataFrame | None = None
 
+    @property
+    def ingestion_timestamp(self) -> str:
+        """The run's time as text in UTC, without a zone, as bronze keeps it."""
+        moment = self.run_at
+        if moment.tzinfo is not None:
+            moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+        return moment.isoformat()
+
     def path(self, layer: str) -> str:
         return f"{self.lake.rstrip('/')}/{layer}"
 
@@ -45,7 +53,7 @@ def ingest(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> dict[str
     documents = landing.read_documents(spark, run.landing, run.ingest_date, run.multi_line)
     rows = landing.explode_documents(documents, run.observation_start)
     bronze.write_bronze(
-        landing.to_bronze(rows, catalogue, run.run_at.isoformat()), run.path("bronze")
+        landing.to_bronze(rows, catalogue, run.ingestion_timestamp), run.path("bronze")
     )
     try:
         check_at_rest(
