@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tsmedallion import __main__ as command_line
+from tsmedallion import session
 from tsmedallion.operators import quality, silver
 from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily
 from tsmedallion.schemas import (
@@ -302,19 +303,31 @@ def test_command_line(spark, tmp_path, capsys):
 
 
 def test_scratch_folder(spark):
-    def session(master, conf=None, checkpoint=None):
+    def fake(master, conf=None, checkpoint=None):
         return SimpleNamespace(
             conf=SimpleNamespace(get=lambda key, default: conf or default),
             sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint),
         )
 
-    assert scratch_root(session("yarn", conf="hdfs://shared")) == "hdfs://shared"
-    assert scratch_root(session("yarn", checkpoint="hdfs://set")) == "hdfs://set"
+    assert scratch_root(fake("yarn", conf="hdfs://shared")) == "hdfs://shared"
+    assert scratch_root(fake("yarn", checkpoint="hdfs://set")) == "hdfs://set"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(session("yarn"))
+        scratch_root(fake("yarn"))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+def test_scope_drops_only_its_own_scratch_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    folder = tmp_path / "tsmedallion"
+    kept = session.materialise(spark.range(5), "kept")
+    with pytest.raises(KeyError), session.scratch_scope(spark):
+        assert session.materialise(spark.range(7), "dropped").count() == 7
+        assert len(list(folder.iterdir())) == 2
+        raise KeyError
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["kept"]
+    assert kept.count() == 5
+
+
 def test_second_run_date_adds_a_vintage(spark, tmp_path):
     for ingest_date, value in (("2024-02-01", "10"), ("2024-02-02", "11")):
         _land(str(tmp_path / "landing"), ingest_date, "GDP", {"observations": [

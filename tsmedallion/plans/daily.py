@@ -16,7 +16,7 @@ from tsmedallion.schemas import (
     check_at_rest,
     default_catalogue,
 )
-from tsmedallion.session import require_utc
+from tsmedallion.session import require_utc, scratch_scope
 from tsmedallion.sources import bronze, landing, tables
 
 
@@ -110,10 +110,11 @@ def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, Any]:
     """Run the layers in order; a failed audit or data test raises."""
     require_utc(spark)
     catalogue = default_catalogue(spark) if run.catalogue is None else run.catalogue
-    audited = ingest(spark, run, catalogue)
-    summary = refine(spark, run)
-    build_gold(spark, run, catalogue)
-    failures = quality.failed(data_tests(spark, run))
+    with scratch_scope(spark):
+        audited = ingest(spark, run, catalogue)
+        summary = refine(spark, run)
+        build_gold(spark, run, catalogue)
+        failures = quality.failed(data_tests(spark, run))
     if failures:
         raise DataTestError("; ".join(failures))
     return {"audit": audited, "quality": summary}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +50,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _join(scratch_root(spark), "tsmedallion", f"{name}-{uuid.uuid4().hex}")
 
 
+# Tables written by ``materialise`` inside the innermost scope of this thread.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop, at the end, the tables that ``materialise`` wrote inside.
+
+    For a run that has written its results. Without a scope the tables stay, as
+    a DataFrame returned to the caller may still read them.
+    """
+    written: list[str] = []
+    token = _scope.set(written)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for name in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
@@ -54,5 +79,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     prune columns, and survives the loss of any executor.
     """
     path = scratch_path(df.sparkSession, name)
+    written = _scope.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tsmedallion.operators import marts, silver
 from tsmedallion.schemas import BRONZE_AT_REST
-from tsmedallion.session import materialise
+from tsmedallion.session import materialise, scratch_scope
 from tsmedallion.sources.tables import gold_path
 
 
@@ -54,13 +54,15 @@ def refresh_fact(
     The series list is written first: its size is then known, so Catalyst can
     broadcast it and prune the silver folders of all other series.
     """
-    series = materialise(touched.select("series_id").distinct(), "touched")
-    fact = marts.fct_observations(
-        staged.join(series, "series_id", "left_semi"), vintages, created_at
-    )
-    (
-        fact.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("indicator_id")
-        .parquet(gold_path(gold, "fct_observations"))
-    )
+    spark = staged.sparkSession
+    with scratch_scope(spark):
+        series = materialise(touched.select("series_id").distinct(), "touched")
+        fact = marts.fct_observations(
+            staged.join(series, "series_id", "left_semi"), vintages, created_at
+        )
+        (
+            fact.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("indicator_id")
+            .parquet(gold_path(gold, "fct_observations"))
+        )
