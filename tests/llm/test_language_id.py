@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from tsmedallion.llm import language_id as li
+from tsmedallion.llm.queries import op10_language_id
+
+TRAIN = [
+    ("en", "the house and the garden were quiet in the morning when they walked to the river with their friends"),
+    ("de", "das haus und der garten waren ruhig am morgen als sie mit ihren freunden zum fluss gingen und sprachen"),
+    ("ru", "дом и сад были тихими утром когда они шли к реке с друзьями"),
+    ("el", "το σπίτι και ο κήπος ήταν ήσυχα το πρωί όταν περπατούσαν στο ποτάμι"),
+]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return li.train(spark.createDataFrame(TRAIN * 5, "lang string, text string"))
+
+
+def test_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = op10_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == r.lang for r in held) / len(held) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_spans_of_mixed_text(model):
+    mixed = "the garden and the house were quiet der garten und das haus waren ruhig дом и сад"
+    lang, score, spans = li.label(model, [mixed])[0]
+    assert [(a, b, x) for a, b, x in spans] == [(0, 7, "en"), (7, 14, "de"), (14, 17, "ru")]
+    assert lang in ("en", "de") and 0 < score < 1
+
+
+def test_script_narrows_the_candidates(model):
+    words = li.words_of(["сад house κήπος 中文"])
+    scores = model.word_scores(words)
+    able = [{model.languages[k] for k in np.nonzero(s > li.BARRED / 2)[0]} for s in scores]
+    assert able == [{"ru"}, {"de", "en"}, {"el"}, {"de", "el", "en", "ru"}]
+
+
+def test_viterbi_against_all_paths():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n, m = rng.integers(1, 7), rng.integers(1, 4)
+        scores = rng.normal(0, 4, (n, m))
+        value = lambda p: scores[np.arange(n), list(p)].sum() - 5.0 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        best = max(value(p) for p in itertools.product(range(m), repeat=n))
+        assert value(li.viterbi(scores, 5.0)) == pytest.approx(best)
+
+
+def test_texts_without_letters_and_without_a_model(model):
+    assert li.label(model, ["", "12 ☃ !?", "\U0001f600"]) == [("und", 0.0, [])] * 3
+    empty = li.Model([], np.zeros((li.BUCKETS, 0)), np.zeros((len(li.SCRIPT_NAMES), 0), bool))
+    assert li.label(empty, ["words"]) == [("und", 0.0, [])]
+    assert [x[0] for x in li.label(model, ["", "haus", "12", "house"])] == ["und", "de", "und", "en"]
+
+
+def test_labels_do_not_depend_on_the_batch(model):
+    texts = ["İstanbul the house", "ǅ garten", "und", "", "the", *[t for _, t in TRAIN]]
+    assert li.label(model, texts) == [li.label(model, [t])[0] for t in texts]
+
+
+def test_lang_source_and_id_are_not_inputs(spark):
+    docs = spark.createDataFrame([(1, "the house", "en"), (2, "das haus", "de"), (3, "the house", "de"), (3, None, "fr")], "doc_id long, text string, lang string")
+    model = li.train(docs)
+    found = li.identify(docs.drop("lang"), model).collect()
+    assert found[0][2:] == found[2][2:]
+
+
+def test_more_languages_than_allowed_are_refused(spark):
+    docs = spark.createDataFrame([(f"l{i}", "".join(map(chr, range(97 + i, 120)))) for i in range(3)], "lang string, text string")
+    assert len(li.train(docs, max_languages=3).languages) == 3

@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+from tsmedallion.llm.line_dedup import boilerplate, drop_boilerplate
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def plain(rows, max_ratio, min_pages):
+    pages = defaultdict(set)
+    for _, text, source in rows:
+        if text is not None:
+            pages[source].add(text)
+    with_line = defaultdict(set)
+    for source, texts in pages.items():
+        for text in texts:
+            for line in text.split("\n"):
+                with_line[source, line.strip(" \t\r")].add(text)
+    drops = {
+        k for k, v in with_line.items() if k[1] and len(v) >= min_pages and len(v) > max_ratio * len(pages[k[0]])
+    }
+    return {
+        i: None if t is None else "\n".join(x for x in t.split("\n") if (s, x.strip(" \t\r")) not in drops)
+        for i, t, s in rows
+    }
+
+
+def rows():
+    out = [(i, f"menu\nstory {i}\n \nfoot {i % 2}", "a") for i in range(20)]
+    out += [(i, f" menu\t\r\nother {i}", None) for i in range(20, 30)]
+    out += [(i, "menu\ncopied", "b") for i in range(30, 60)]  # copies of one page
+    out += [(60, None, "a"), (61, "", "a"), (62, "menu", "a"), (63, "x\n\n", None)]
+    return out
+
+
+def test_against_plain_python(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    for ratio, least in ((0.1, 5), (0.45, 5), (0.6, 2), (0.0, 1)):
+        found = drop_boilerplate(docs, max_ratio=ratio, min_pages=least)
+        assert {r.doc_id: r.text for r in found.collect()} == plain(rows(), ratio, least)
+    assert found.columns == docs.columns
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    hosts = {r.host_key: len(r.lines) for r in boilerplate(docs, max_ratio=0.1, min_pages=5).collect()}
+    assert hosts == {"#a": 3, "": 1}
+
+
+def test_a_host_list_is_bounded_by_lines_per_page_over_ratio(spark):
+    docs = spark.createDataFrame([(i, "\n".join(f"l{(i + k) % 40}" for k in range(8)), "h") for i in range(40)], SCHEMA)
+    (row,) = boilerplate(docs, max_ratio=0.1, min_pages=1).collect()
+    assert len(row.lines) <= 8 / 0.1
