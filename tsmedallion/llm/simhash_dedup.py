@@ -10,10 +10,11 @@ The fingerprint is cut into segments of 23, 23 and 18 bits. Of at most four erro
 
 * some segment has none, and of the other two one has at most two: the pair agrees in that
   segment's exact bits and shares a Golay key of the other (six ordered choices), or
-* every segment has at least one, so none has more than two: the pair shares a Golay key in
-  the first and in the second segment.
+* every segment has at least one, so two have exactly one and the third has one or two: the
+  pair shares a Golay key of the third and agrees in a half of each of the others (three
+  choices of the third, four of the halves).
 
-So a fingerprint has about 60 keys, and linked fingerprints share at least one. Candidates
+So a fingerprint has about 90 keys of over 32 bits, and linked fingerprints share at least one. Candidates
 are joined by key and verified by their distance. Only connectivity is asked for, so no
 bucket is paired out:
 
@@ -49,6 +50,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
+PRINTS_PER_TASK = 16_384
 
 # The generator polynomial of the binary Golay code, and the segments'
 # first bits and widths.
@@ -121,11 +123,14 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 row, key = golay[a]
                 rows.append(row)
                 keys.append((np.int64(3 * a + b) << 40) | (key << 23) | parts[b][row])
-    (row_a, key_a), (row_b, key_b) = golay[0], golay[1]
-    first, n = np.searchsorted(row_b, row_a), np.bincount(row_b, minlength=len(prints))[row_a]
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    rows.append(np.repeat(row_a, n))
-    keys.append((np.repeat(key_a, n) << 12) | key_b[np.repeat(first, n) + inside])
+    halves = [(p & ((1 << w // 2) - 1), p >> w // 2) for p, (_, w) in zip(parts, SEGMENTS)]
+    for third, (row, key) in enumerate(golay):
+        x, y = (i for i in range(3) if i != third)
+        for i in range(2):
+            for j in range(2):
+                rows.append(row)
+                tag = np.int64(9 + 4 * third + 2 * i + j) << 40
+                keys.append(tag | (key << 24) | (halves[x][i][row] << 12) | halves[y][j][row])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -192,7 +197,8 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
     prints = materialise(prints, "prints")
-    keyed = materialise(prints.mapInArrow(expand, "key long, fp long"), "keys")
+    dealt = prints.repartition(prints.count() // PRINTS_PER_TASK + 1, "fp")  # each row becomes 90
+    keyed = materialise(dealt.mapInArrow(expand, "key long, fp long"), "keys")
     heads = keyed.groupBy("key").agg(F.min("fp").alias("head"), F.count("*").alias("n")).where("n > 1")
     shared = materialise(keyed.join(heads.drop("n"), "key"), "shared-keys")
 
