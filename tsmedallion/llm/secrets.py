@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsmedallion.llm.common import strings
+from tsmedallion.session import materialise
 
 
 @dataclass(frozen=True)
@@ -153,10 +154,11 @@ def scan(
             yield pa.RecordBatch.from_arrays(columns, names=["blob", "rules", "spans"])
 
     ledger.append(unseen.mapInArrow(search, LEDGER))
-    found = (
+    found = materialise(
         ledger.read()
         .select("blob", F.filter("spans", lambda s: s.rule.isin(*by_name)).alias("spans"))
-        .where(F.size("spans") > 0)
+        .where(F.size("spans") > 0),
+        "findings",
     )
     return catalog.join(found, "blob", "left").select(
         F.col("path").alias(path_col),
