@@ -57,8 +57,11 @@ class ForwardTrie:
     """Pre-tokens, with the best score and its token count at every prefix."""
 
     def __init__(self, pieces: Mapping[str, float], max_nodes: int = MAX_NODES):
-        self.pieces, self.max_nodes = pieces, max_nodes
-        self.longest = max(map(len, pieces), default=0)
+        self.max_nodes = max_nodes
+        # Every end of a piece, with its score if it is a piece itself: a search for the
+        # pieces that end at a place stops at the first end that none has.
+        self.ends: dict[str, float | None] = {p[i:]: None for p in pieces for i in range(len(p))}
+        self.ends.update(pieces)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_BELOW
         self._clear()
 
@@ -88,8 +91,11 @@ class ForwardTrie:
         before = path[end - 1]
         best = self.score[before] + self.unknown
         tokens = self.tokens[before] + len(word[end - 1].encode())
-        for start in range(max(0, end - self.longest), end):
-            piece = self.pieces.get(word[start:end])
+        for start in range(end - 1, -1, -1):
+            part = word[start:end]
+            if part not in self.ends:
+                break
+            piece = self.ends[part]
             if piece is not None:
                 score, n = self.score[path[start]] + piece, self.tokens[path[start]] + 1
                 if score > best or score == best and n < tokens:
