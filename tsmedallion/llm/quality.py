@@ -7,8 +7,9 @@ documents, and each hands the documents it is surest of, with their pseudo-label
 other's training set. At the end each view is calibrated on labelled documents held out of
 training, and the calibrated log odds are added (less the prior that both contain).
 
-Features are computed once and written to the scratch folder; a round is one pass over
-them, in which a task keeps its surest documents and Spark merges these to the surest of all.
+Features are computed once, joined with the labels and written to the scratch folder; a
+round is one pass over them without a join, in which a task keeps its surest documents and
+Spark merges these, by salts and then as a whole, to the surest of all.
 The driver fits on a bounded sample: at most ``MAX_LABELLED`` labelled documents (those with
 the smallest hash of their id) and ``PSEUDO`` pseudo-labelled ones a view and round. The
 scoring, the choice of pseudo-labels and the statistics cover every document.
@@ -38,6 +39,7 @@ MAX_LABELLED = 20_000
 ROUNDS = 3
 PSEUDO = 400
 SURE = 0.95
+SALTS = 16
 HELD_PART = 5  # one in so many labelled documents calibrates
 RIDGE = 1.0
 PAIR_BUCKETS = 64
@@ -161,6 +163,16 @@ def features(
     return rows.mapInArrow(run, f"id {kind}, text_view binary, meta_view binary")
 
 
+def with_labels(vectors: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``vectors`` with y: 1 or 0, or null where there is no label."""
+    marked = (
+        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("id"))
+        .agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
+    )
+    return vectors.join(marked, "id", "left").select("id", "text_view", "meta_view", "y")
+
+
 def _matrix(column: list[bytes] | pa.ChunkedArray, size: int) -> np.ndarray:
     values = column if isinstance(column, list) else column.to_pylist()
     return np.frombuffer(b"".join(values), np.float32).reshape(-1, size)
@@ -186,37 +198,22 @@ def _surest(rows: DataFrame, views: tuple[Logistic, Logistic], n: dict[int, int]
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"view int, y int, odds double, id {kind}, text_view binary, meta_view binary")
-    order = Window.partitionBy("view", "y").orderBy(F.desc("odds"), "id")
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    for keys in (["view", "y", salt], ["view", "y"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("odds"), "id")
+        found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(n.values()))
     most = F.when(F.col("y") == 1, F.lit(n[1])).otherwise(F.lit(n[0]))
-    return (
-        found.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= max(n.values()))
-        .where(F.col("place") <= most)
-        .select("view", "y", "text_view", "meta_view")
-        .toArrow()
-    )
+    return found.where(F.col("place") <= most).select("view", "y", "text_view", "meta_view").toArrow()
 
 
 def co_train(
-    vectors: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    label_col: str = "quality",
-    max_labelled: int = MAX_LABELLED,
-    rounds: int = ROUNDS,
-    pseudo: int = PSEUDO,
+    vectors: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, pseudo: int = PSEUDO
 ) -> CoModel:
-    """Learn from ``labels`` and the unlabelled rows of ``vectors`` (written features)."""
-    marked = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("id"))
-        .agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
-    )
+    """Learn from the labelled and the unlabelled rows of ``vectors`` (written features)."""
     sample = (
-        vectors.join(marked, "id")
+        vectors.where("y is not null")
         .orderBy(F.xxhash64("id"), "id", "text_view", "meta_view")
         .limit(max_labelled)
-        .select("id", "y", "text_view", "meta_view")
         .toArrow()
     )
     y = sample.column("y").to_numpy().astype(np.float64)
@@ -230,7 +227,7 @@ def co_train(
     train_x = [v[~held] for v in x]
     train_y = [y[~held], y[~held]]
     views = tuple(fit(a, b) for a, b in zip(train_x, train_y))
-    unlabelled = vectors.where("id is not null").join(marked, "id", "left_anti").select("id", "text_view", "meta_view")
+    unlabelled = vectors.where("id is not null and y is null").select("id", "text_view", "meta_view")
     n = {1: max(1, round(pseudo * prior)), 0: max(1, round(pseudo * (1 - prior)))}
     for _ in range(rounds):
         found = _surest(unlabelled, views, n)
@@ -273,5 +270,6 @@ def classify(
     max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
     """Co-train on ``docs`` and ``labels`` and score every row of ``docs``."""
-    vectors = materialise(features(docs, id_col, text_col, source_col, lang_col, length_col), "quality-features")
-    return score(vectors, co_train(vectors, labels, id_col, label_col, max_labelled), id_col)
+    vectors = features(docs, id_col, text_col, source_col, lang_col, length_col)
+    vectors = materialise(with_labels(vectors, labels, id_col, label_col), "quality-features")
+    return score(vectors, co_train(vectors, max_labelled), id_col)
