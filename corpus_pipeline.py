@@ -16,7 +16,7 @@ from tsmedallion.llm import decontaminate, language_id, line_dedup, mixing, simh
 from tsmedallion.llm.common import table, unused
 from tsmedallion.session import materialise
 
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 1 / 3
 
 
 def _only(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def _only(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and those whose main language has under half the letters.
+    """Rejects texts without letters and those whose main language has under a third of the letters.
 
     Learns from all rows that have a language. If none has, nothing can be judged and only
     texts without letters go.
