@@ -3,14 +3,16 @@
 import json
 import os
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tsmedallion import __main__ as command_line
 from tsmedallion import session
-from tsmedallion.operators import quality, silver
+from tsmedallion.operators import marts, quality, silver
 from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily
 from tsmedallion.schemas import (
     BRONZE,
@@ -229,11 +231,32 @@ def test_require_utc(spark):
 
 
 def test_csv_export(spark, tmp_path):
-    data = spark.createDataFrame([("a, b", 1.5), (None, 2.25)], "name string, value double")
+    names = ["a, b", None, "", " lead ", 'say "hi"', "two\nlines", "back\\slash", '"', "\\"]
+    data = spark.createDataFrame([(n, i + 0.5) for i, n in enumerate(names)], "name string, value double")
     path = tables.export_csv(data, str(tmp_path), date(2024, 2, 1))
     assert path.endswith("economic_indicators_20240201.csv")
-    back = spark.read.schema(data.schema).option("header", True).csv(path)
-    assert sorted(map(str, back.collect())) == sorted(map(str, data.collect()))
+    back = tables.read_csv(spark, path, data.schema)
+    expected = data.replace("", None, subset=["name"])
+    assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_csv_export_of_one_file_for_other_tools(spark, tmp_path):
+    import pandas as pd
+
+    names = ["a, b", " lead ", 'say "hi"', "two\nlines", "back\\slash"]
+    data = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, value int").repartition(3)
+    path = tables.export_csv(data, str(tmp_path), date(2024, 2, 1), single_file=True)
+    (part,) = Path(path).glob("part-*")
+    found = pd.read_csv(part)
+    assert sorted(zip(found["name"], found["value"])) == sorted(zip(names, range(5)))
+
+
+def test_time_dimension_is_written_in_order(spark, tmp_path):
+    days = spark.range(400).selectExpr("date_add(DATE '2024-01-01', CAST((id * 7) % 400 AS INT)) AS observation_date")
+    tables.write_gold(marts.dim_time(days.repartition(5)), str(tmp_path), "dim_time")
+    parts = sorted((tmp_path / "dim_time").glob("part-*"))
+    found = [d for p in parts for d in pq.read_table(p).column("date_key").to_pylist()]
+    assert found == sorted(found) and len(found) == 400
 
 
 def _run(tmp_path, **changes):

@@ -43,8 +43,8 @@ def _month(i):
 
 def test_stage_keeps_valid_rows(spark):
     rows = [
-        ("S", "Name", date(2024, 1, 1), 1.0, "1.0", False, True, "2024-01-05", "x", "2024-01-06T07:08:09.123456"),
-        ("S", "Name", date(2024, 1, 2), None, ".", True, False, "2024-01-05", "x", "2024-01-06T07:08:09"),
+        ("S", "Name", date(2024, 1, 1), 1.0, "1.0", False, True, "2024-01-05", "x", "2024-01-06T07:08:09.123456", "2024-01-01"),
+        ("S", "Name", date(2024, 1, 2), None, ".", True, False, "2024-01-05", "x", "2024-01-06T07:08:09", "2024-01-02"),
     ]
     staged = staging.stage(spark.createDataFrame(rows, SILVER), NOW)
     assert schema_drift(staged, STAGING) == []
@@ -62,14 +62,29 @@ def test_current_vintage_takes_the_newest(spark):
         ("T", day, 4.0),
         ("T", None, 5.0),
         ("T", None, 6.0),
+        ("T", None, 6.0),
     ])
     found = staging.current_vintage(staged)
     assert found.columns == STAGING.names
-    assert {(r["series_id"], r["observation_date"]): r["value"] for r in found.collect()} == {
-        ("S", day): 3.0,
-        ("T", day): 4.0,
-        ("T", None): 6.0,
-    }
+    # Rows without a date are not vintages of one another.
+    assert sorted((r["series_id"], str(r["observation_date"]), r["value"]) for r in found.collect()) == [
+        ("S", str(day), 3.0),
+        ("T", str(day), 4.0),
+        ("T", "None", 5.0),
+        ("T", "None", 6.0),
+        ("T", "None", 6.0),
+    ]
+
+
+def test_rows_without_a_date_reach_the_fact_and_are_reported(spark):
+    bronze_rows = _bronze(spark, "2024-02-01", [("A", "2024-01-01", "1"), ("A", "bad1", "2"), ("A", "bad2", "3")])
+    cleaned = silver.clean(bronze_rows)
+    assert {r["date_raw"] for r in cleaned.collect()} == {"2024-01-01", "bad1", "bad2"}
+    staged = staging.stage(cleaned, NOW)
+    fact = marts.fct_observations(staged, created_at=NOW)
+    assert sorted((r["observation_value"], r["previous_value"] or 0) for r in fact.collect()) == [(1, 0), (2, 1), (3, 2)]
+    report = quality.not_null(staged, "staged", ["observation_date"])
+    assert report.first()["failures"] == 2
 
 
 def test_as_of_ignores_younger_vintages(spark):
@@ -336,6 +351,19 @@ def test_latest_metrics(gold):
     assert [r["indicator_id"] for r in dashboard.latest_metrics(nothing).collect()] == ["GDP"]
 
 
+def test_newest_vintage_counts_not_the_largest_value(spark):
+    staged = _staged(spark, [
+        ("GDP", _month(0), 9.0, "2024-01-02", datetime(2024, 1, 2)),
+        ("GDP", _month(0), 5.0, "2024-01-20", datetime(2024, 1, 20)),
+    ])
+    indicators, time = marts.dim_indicators(staged, default_catalogue(spark), NOW), marts.dim_time(staged)
+    for vintages in ("current", "all"):
+        fact = marts.fct_observations(staged, vintages, NOW)
+        data = dashboard.star(fact, indicators, time, with_age=True)
+        assert [r["latest_value"] for r in dashboard.latest_metrics(data).collect()] == [5.0]
+        assert dashboard.top_recent(data).first()["observation_value"] == 5.0
+
+
 def test_series_and_yoy(gold):
     data = dashboard.star(*gold)
     days = [r["date_key"] for r in dashboard.time_series(data.filter("indicator_id = 'GDP'")).collect()]
@@ -387,11 +415,9 @@ def _matrix(df):
     return {(r["indicator_x"], r["indicator_y"]): (r["n_pairs"], r["r"]) for r in df.collect()}
 
 
-@pytest.fixture(params=["expressions", "matrix", "matrix blocks"])
+@pytest.fixture(params=["one block", "blocks"])
 def corr_way(request, monkeypatch):
-    if request.param != "expressions":
-        monkeypatch.setattr(correlation, "FEW", 1)
-    if request.param == "matrix blocks":
+    if request.param == "blocks":
         monkeypatch.setattr(correlation, "BLOCK", 2)
         monkeypatch.setattr(correlation, "SLICE", 3)
 
@@ -423,6 +449,31 @@ def test_correlation_edges(spark, corr_way):
         correlation.corr_matrix(points, ["up"])
 
 
+def test_correlation_leaves_out_what_is_not_finite(spark):
+    """As for any other missing value, and alike for few and for many series."""
+    rng = random.Random(4)
+    names = [f"s{i}" for i in range(10)]
+    series = {n: [rng.gauss(5, 1) for _ in range(14)] for n in names}
+    series["s0"][3], series["s0"][5], series["s1"][7] = math.inf, math.nan, -math.inf
+    points = _points(spark, series)
+    many = _matrix(correlation.corr_matrix(points, names))
+    few = _matrix(correlation.corr_matrix(points.filter("indicator_name < 's5'"), names[:5]))
+    assert many[("s0", "s1")][0] == 11 and many[("s0", "s2")][0] == 12
+    assert many[("s0", "s0")][1] == pytest.approx(1.0)
+    for pair, (n, r) in few.items():
+        assert many[pair][0] == n and many[pair][1] == pytest.approx(r)
+
+
+def test_correlation_plan_does_not_grow_with_the_blocks(spark, monkeypatch):
+    points = _points(spark, {f"s{i}": [1.0, 2.0, float(i)] for i in range(8)})
+    sizes = []
+    for block in (8, 1):
+        monkeypatch.setattr(correlation, "BLOCK", block)
+        plan = correlation.corr_matrix(points, [f"s{i}" for i in range(8)])
+        sizes.append(len(plan._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert sizes[0] == sizes[1]
+
+
 def test_correlation_of_many_series(spark):
     rng = random.Random(3)
     names = [f"s{i:02d}" for i in range(30)]
@@ -552,9 +603,7 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("bronze", "silver", "state"))
 
     def run():
-        silver_stream.stream_silver(
-            silver_stream.bronze_stream(spark, source, 1 << 30), target, state
-        ).awaitTermination()
+        silver_stream.stream_silver(spark, source, target, state, 1 << 30).awaitTermination()
         return sorted(
             (r["series_id"], r["value_raw"], r["is_valid"])
             for r in tables.read_silver(spark, target).collect()
@@ -565,21 +614,38 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     assert run() == [("A", "1", True), ("B", ".", False)]
     bronze.write_bronze(_bronze(spark, "2024-02-02", [("A", "2024-01-02", "2")]), source)
     assert run() == [("A", "1", True), ("A", "2", True), ("B", ".", False)]
+    # A rerun of the first date withdraws a row and revises the other.
+    bronze.write_bronze(_bronze(spark, "2024-02-01", [("A", "2024-01-01", "9")]), source)
+    assert run() == [("A", "2", True), ("A", "9", True), ("B", ".", False)]
+    batch = silver.clean(bronze.read_bronze(spark, source))
+    streamed = tables.read_silver(spark, target)
+    assert sorted(map(str, streamed.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
 
 
-def test_refresh_rebuilds_touched_series_only(spark, tmp_path):
+@pytest.mark.parametrize("layout", ["folders", "clustered"])
+@pytest.mark.parametrize("vintages", ["current", "all"])
+def test_refresh_keeps_other_series_and_completes_the_star(spark, tmp_path, layout, vintages):
     root = str(tmp_path)
-    old = _staged(spark, [("A", _month(0), 1.0), ("B", _month(0), 5.0)])
-    tables.write_gold(marts.fct_observations(old, created_at=NOW), root, "fct_observations")
-    new = _staged(spark, [("A", _month(0), 1.0), ("A", _month(1), 2.0), ("B", _month(0), 7.0)])
-    touched = spark.createDataFrame([("A",)], "series_id string")
-    silver_stream.refresh_fact(new, touched, root, created_at=NOW)
-    found = tables.read_gold(spark, root, "fct_observations").collect()
-    assert sorted((r["indicator_id"], r["observation_value"], r["previous_value"] or 0) for r in found) == [
+    old = _staged(spark, [("A", _month(0), 1.0), ("B", _month(0), 5.0), ("C/d", _month(0), 6.0)])
+    catalogue = default_catalogue(spark)
+    tables.write_gold(marts.dim_indicators(old, catalogue, NOW), root, "dim_indicators")
+    tables.write_gold(marts.dim_time(old), root, "dim_time")
+    tables.write_gold(marts.fct_observations(old, vintages, NOW), root, "fct_observations", layout)
+    assert tables.gold_layout(spark, root, "fct_observations") == layout
+    new = _staged(spark, [("A", _month(0), 1.0), ("A", _month(1), 2.0), ("B", _month(0), 7.0), ("N", _month(2), 8.0)])
+    touched = spark.createDataFrame([("A",), ("C/d",), ("N",)], "series_id string")
+    silver_stream.refresh_gold(new, touched, catalogue, root, vintages, NOW)
+    fact, indicators, time = (
+        tables.read_gold(spark, root, t) for t in ("fct_observations", "dim_indicators", "dim_time")
+    )
+    assert sorted((r["indicator_id"], r["observation_value"], r["previous_value"] or 0) for r in fact.collect()) == [
         ("A", 1.0, 0),
         ("A", 2.0, 1.0),
         ("B", 5.0, 0),
+        ("N", 8.0, 0),
     ]
+    assert dashboard.star(fact, indicators, time).count() == 4
+    assert tables.gold_layout(spark, root, "fct_observations") == layout
 
 
 def test_row_order_does_not_matter(spark):

@@ -33,9 +33,8 @@ def test_missing_mark_is_not_the_same_as_null(spark):
 
 
 def test_missing_values_of_a_column(spark):
-    parsed = _values(spark, ["100", "200", ".", "400"], scalar.parse_value(F.col("t")))
-    assert sum(v is None for v in parsed) == 1
-    assert sum(v is not None for v in parsed) == 3
+    parsed = _values(spark, ["-7", ".", "0.25", "..", "1e-3", "."], scalar.parse_value(F.col("t")))
+    assert parsed == [-7.0, None, 0.25, None, 0.001, None]
 
 
 def test_date_text(spark):
@@ -51,11 +50,11 @@ def test_date_text(spark):
 
 def test_pct_change(spark):
     rows = spark.createDataFrame(
-        [(100.0, 90.0), (100.0, 0.0), (100.0, None), (None, 90.0), (50.0, -100.0)],
+        [(13.0, 8.0), (4.0, 0.0), (4.0, None), (None, 8.0), (50.0, -100.0)],
         "v double, p double",
     ).select(scalar.pct_change(F.col("v"), F.col("p")).alias("c"))
     found = [r["c"] for r in rows.collect()]
-    assert round(found[0], 2) == 11.11
+    assert found[0] == 62.5
     assert found[1:4] == [None, None, None]
     assert found[4] == -150.0
 

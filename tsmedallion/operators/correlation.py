@@ -2,201 +2,88 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsmedallion.operators.dashboard import pivot_wide
 from tsmedallion.schemas import local_table
 from tsmedallion.session import materialise
 
-# Up to this many series, every pair is an aggregate expression. The number of
-# expressions is quadratic, and so is the time to plan and compile them.
-FEW = 8
-
 # Series per matrix block: bounds the memory of a task to BLOCK**2 cells.
 BLOCK = 512
 
 # Dates per matrix product.
 SLICE = 4096
 
+# Below this share of its sum of squares, a variance is rounding.
+ROUNDING = 1e-12
+
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+MOMENTS = "i int, j int, " + ", ".join(f"{c} double" for c in SUMS)
+NUMBERING = T.StructType(
+    [T.StructField("number", T.IntegerType()), T.StructField("indicator_name", T.StringType())]
+)
+
 
 def corr_matrix(deduped: DataFrame, names: list[str]) -> DataFrame:
     """Long-form matrix: indicator_x, indicator_y, n_pairs, r.
 
-    ``deduped`` has one row per (date, name), so there are at most as many
-    dates as the calendar has, and as many values per date as names. No series
-    is joined with another, and no pair is emitted per date: a date is one row,
-    and pairs are sums over rows. Only x <= y is computed; the rest is mirrored.
+    ``deduped`` has one row per (date, name). Values that are not finite are left out,
+    pair by pair. Series are dealt into blocks; the points of a slice of dates and a pair
+    of blocks make two date-by-series matrices in one task, whose products are the sums
+    that every pair of their series needs. A point goes to one task per block, and the
+    plan is the same for any number of series. Only pairs of blocks in order are
+    computed; the rest is mirrored.
+
+    One pair, or a series that does not vary over the shared dates, gives NULL.
     """
     if len(names) < 2:
         raise ValueError("a correlation needs at least two series")
     names = sorted(set(names))
+    spark = deduped.sparkSession
     value = F.col("observation_value")
-    points = deduped.filter(value.isNotNull() & ~F.isnan(value))
-    if len(names) <= FEW:
-        return _by_expression(points, names)
-    return _by_matrix(points, names)
-
-
-def _pair(x: str, y: str, name_x: str, name_y: str) -> Column:
-    """Moments over rows where both are present; NULL for n < 2 or no variance."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xs, ys = F.when(both, F.col(x)), F.when(both, F.col(y))
-    r = F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
-    return F.struct(
-        F.lit(name_x).alias("indicator_x"),
-        F.lit(name_y).alias("indicator_y"),
-        F.count(xs).alias("n_pairs"),
-        r.alias("r"),
-    )
-
-
-def _by_expression(points: DataFrame, names: list[str]) -> DataFrame:
-    columns = {name: f"c{i}" for i, name in enumerate(names)}
-    pairs = [_pair(columns[x], columns[y], x, y) for x in names for y in names if x <= y]
-    upper = (
-        pivot_wide(points, columns)
-        .agg(F.array(*pairs).alias("pairs"))
-        .select(F.inline("pairs"))
-    )
-    # Both orientations of a row at once, so the aggregates run a single time.
-    here = F.struct("indicator_x", "indicator_y")
-    there = F.struct(
-        F.col("indicator_y").alias("indicator_x"), F.col("indicator_x").alias("indicator_y")
-    )
-    orientations = F.when(
-        F.col("indicator_x") == F.col("indicator_y"), F.array(here)
-    ).otherwise(F.array(here, there))
-    return upper.withColumn("cell", F.explode(orientations)).select(
-        "cell.indicator_x", "cell.indicator_y", "n_pairs", "r"
-    )
-
-
-SUMS = ["sx", "sy", "sxx", "syy", "sxy"]
-MOMENTS = T.StructType(
-    [T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType())]
-    + [T.StructField("n", T.LongType())]
-    + [
-        T.StructField(c, T.DoubleType())
-        for c in [*SUMS, "min_x", "max_x", "min_y", "max_y"]
-    ]
-)
-NUMBERING = T.StructType(
-    [T.StructField("number", T.IntegerType()), T.StructField("indicator_name", T.StringType())]
-)
-
-
-def _partial_moments(
-    left: tuple[int, int], right: tuple[int, int]
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per task: sums over its dates for every pair of a left and a right series.
-
-    A batch has one row per date with the series numbers and values observed.
-    """
-
-    def dense(batch: pa.RecordBatch, first: int, last: int) -> np.ndarray:
-        series, values = batch.column("series"), batch.column("values")
-        row = np.repeat(np.arange(len(series)), np.diff(series.offsets.to_numpy()))
-        number = series.flatten().to_numpy()
-        wanted = (number >= first) & (number < last)
-        out = np.full((len(series), last - first), np.nan)
-        out[row[wanted], number[wanted] - first] = values.flatten().to_numpy()[wanted]
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = (left[1] - left[0], right[1] - right[0])
-        sums = {c: np.zeros(shape) for c in ["n", *SUMS]}
-        low = {c: np.full(shape, np.inf) for c in ("min_x", "min_y")}
-        high = {c: np.full(shape, -np.inf) for c in ("max_x", "max_y")}
-        for whole in batches:
-            for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
-                x, y = dense(batch, *left), dense(batch, *right)
-                in_x, in_y = ~np.isnan(x), ~np.isnan(y)
-                x0, y0 = np.where(in_x, x, 0.0), np.where(in_y, y, 0.0)
-                mx, my = in_x.astype(float), in_y.astype(float)
-                sums["n"] += mx.T @ my
-                sums["sx"] += x0.T @ my
-                sums["sy"] += mx.T @ y0
-                sums["sxx"] += (x0 * x0).T @ my
-                sums["syy"] += mx.T @ (y0 * y0)
-                sums["sxy"] += x0.T @ y0
-                for i in range(shape[0]):
-                    both = in_x[:, i : i + 1] & in_y
-                    xi = x0[:, i : i + 1]
-                    low["min_x"][i] = np.minimum(
-                        low["min_x"][i], np.where(both, xi, np.inf).min(axis=0)
-                    )
-                    high["max_x"][i] = np.maximum(
-                        high["max_x"][i], np.where(both, xi, -np.inf).max(axis=0)
-                    )
-                    low["min_y"][i] = np.minimum(
-                        low["min_y"][i], np.where(both, y0, np.inf).min(axis=0)
-                    )
-                    high["max_y"][i] = np.maximum(
-                        high["max_y"][i], np.where(both, y0, -np.inf).max(axis=0)
-                    )
-        i, j = np.nonzero(sums["n"])
-        upper = i + left[0] <= j + right[0]
-        i, j = i[upper], j[upper]
-        cells = {"i": (i + left[0]).astype(np.int32), "j": (j + right[0]).astype(np.int32)}
-        cells |= {c: m[i, j] for c, m in {**sums, **low, **high}.items()}
-        cells["n"] = cells["n"].astype(np.int64)
-        yield pa.RecordBatch.from_pydict({c: cells[c] for c in MOMENTS.names})
-
-    return run
-
-
-def _by_matrix(points: DataFrame, names: list[str]) -> DataFrame:
-    """Products of date-by-series matrices inside tasks, summed over tasks."""
-    spark = points.sparkSession
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
     numbering = local_table(spark, list(enumerate(names)), NUMBERING)
     numbered = materialise(
-        points.join(numbering, "indicator_name").select(
-            "date_key", "number", F.col("observation_value").alias("value")
-        ),
+        deduped.filter(finite & F.col("date_key").isNotNull())
+        .join(numbering, "indicator_name")
+        .select("date_key", "number", value.alias("value")),
         "points",
     )
     # Sums of squares cancel less around the mean.
     means = numbered.groupBy("number").agg(F.avg("value").alias("mean"))
-    cells = F.struct("number", (F.col("value") - F.col("mean")).alias("value"))
-    by_date = materialise(
+    slices = numbered.agg(F.count_distinct("date_key")).first()[0] // SLICE + 1
+    own = F.floor(F.col("number") / BLOCK).cast("int")
+    others = F.sequence(F.lit(0), F.lit((len(names) - 1) // BLOCK))
+    points = (
         numbered.join(means, "number")
-        .groupBy("date_key")
-        .agg(F.collect_list(cells).alias("cells"))
-        .select(F.col("cells.number").alias("series"), F.col("cells.value").alias("values")),
-        "dates",
+        .select(
+            F.pmod(F.hash("date_key"), F.lit(slices)).alias("slice"),
+            "date_key",
+            "number",
+            (F.col("value") - F.col("mean")).alias("value"),
+            F.explode(others).alias("other"),
+        )
+        .withColumns({"left": F.least(own, "other"), "right": F.greatest(own, "other")})
+        .drop("other")
     )
-
-    bounds = [(a, min(a + BLOCK, len(names))) for a in range(0, len(names), BLOCK)]
-    partials = [
-        by_date.mapInArrow(_partial_moments(left, right), MOMENTS)
-        for k, left in enumerate(bounds)
-        for right in bounds[k:]
-    ]
-    totals = reduce(DataFrame.unionByName, partials).groupBy("i", "j")
-    moments = totals.agg(
-        *[F.sum(c).alias(c) for c in ["n", *SUMS]],
-        *[F.min(c).alias(c) for c in ("min_x", "min_y")],
-        *[F.max(c).alias(c) for c in ("max_x", "max_y")],
+    sums = (
+        points.groupBy("left", "right", "slice")
+        .applyInArrow(_moments(BLOCK), MOMENTS)
+        .groupBy("i", "j")
+        .agg(*[F.sum(c).alias(c) for c in SUMS])
     )
     n = F.col("n")
     spread_x = F.col("sxx") - F.col("sx") * F.col("sx") / n
     spread_y = F.col("syy") - F.col("sy") * F.col("sy") / n
-    varies = (F.col("max_x") > F.col("min_x")) & (F.col("max_y") > F.col("min_y"))
-    r = F.when(
-        varies,
-        F.try_divide(
-            F.col("sxy") - F.col("sx") * F.col("sy") / n, F.sqrt(spread_x * spread_y)
-        ),
-    )
-    upper = moments.select("i", "j", n.alias("n_pairs"), r.alias("r"))
+    varies = (spread_x > ROUNDING * F.col("sxx")) & (spread_y > ROUNDING * F.col("syy"))
+    product = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    r = F.when(varies, F.try_divide(product, F.sqrt(spread_x) * F.sqrt(spread_y)))
+    upper = sums.select("i", "j", n.cast("long").alias("n_pairs"), r.alias("r"))
 
     # Every cell of the matrix, in both orientations, also without a pair.
     size = len(names)
@@ -214,3 +101,37 @@ def _by_matrix(points: DataFrame, names: list[str]) -> DataFrame:
             "indicator_x", "indicator_y", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"), "r"
         )
     )
+
+
+def _moments(block: int) -> Callable[[pa.Table], pa.Table]:
+    """Sums for every pair of a series of the left and one of the right block."""
+
+    def run(points: pa.Table) -> pa.Table:
+        left, right = (points.column(c)[0].as_py() * block for c in ("left", "right"))
+        number, value = points.column("number").to_numpy(), points.column("value").to_numpy()
+        dates, row = np.unique(points.column("date_key").to_numpy(), return_inverse=True)
+
+        def matrices(first: int) -> tuple[np.ndarray, np.ndarray]:
+            here = (number >= first) & (number < first + block)
+            cells = np.zeros((len(dates), number[here].max(initial=first) - first + 1))
+            there = np.zeros_like(cells)
+            at = row[here], number[here] - first
+            cells[at], there[at] = value[here], 1.0
+            return cells, there
+
+        (x, in_x), (y, in_y) = matrices(left), matrices(right)
+        sums = {
+            "n": in_x.T @ in_y,
+            "sx": x.T @ in_y,
+            "sy": in_x.T @ y,
+            "sxx": (x * x).T @ in_y,
+            "syy": in_x.T @ (y * y),
+            "sxy": x.T @ y,
+        }
+        i, j = np.nonzero(sums["n"])
+        upper = i + left <= j + right
+        i, j = i[upper], j[upper]
+        cells = {"i": (i + left).astype(np.int32), "j": (j + right).astype(np.int32)}
+        return pa.table(cells | {c: m[i, j] for c, m in sums.items()})
+
+    return run

@@ -64,11 +64,22 @@ def filter_range(data: DataFrame, start: date | None, end: date | None) -> DataF
     return data.filter(F.col("date_key").between(start, end))
 
 
+def _vintage(data: DataFrame) -> list[str]:
+    """The columns that tell the vintages of a date apart, where ``data`` has them.
+
+    A star over all vintages must be read ``with_age``; over the current ones a date has
+    one row, and they change nothing.
+    """
+    return [c for c in ("data_as_of_date", "ingested_at") if c in data.columns]
+
+
 def latest_metrics(data: DataFrame) -> DataFrame:
-    """Newest row per indicator, as number and as display text."""
+    """Newest vintage of the newest date per indicator, as number and as display text."""
     newest = data.groupBy("indicator_id").agg(
         F.max(
-            F.struct("date_key", "observation_value", "yoy_change_pct", "indicator_name")
+            F.struct(
+                "date_key", *_vintage(data), "observation_value", "yoy_change_pct", "indicator_name"
+            )
         ).alias("newest")
     )
     return newest.select(
@@ -136,14 +147,18 @@ def pivot_wide(deduped: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def top_recent(data: DataFrame, n: int = 50) -> DataFrame:
-    """The n newest rows; ties are ordered by every shown column."""
+    """The n newest rows, of one date and name the newest vintage first; further ties
+    are ordered by every shown column."""
+    shown = ["indicator_name", "date_key", "observation_value", "yoy_change_pct"]
     return (
-        data.select("indicator_name", "date_key", "observation_value", "yoy_change_pct")
+        data.select(*shown, *_vintage(data))
         .orderBy(
             F.col("date_key").desc_nulls_last(),
             F.col("indicator_name").asc_nulls_last(),
+            *(F.col(c).desc_nulls_last() for c in _vintage(data)),
             F.col("observation_value").desc_nulls_last(),
             F.col("yoy_change_pct").desc_nulls_last(),
         )
         .limit(n)
+        .select(*shown)
     )

@@ -84,8 +84,8 @@ def fct_observations(
     """Observations with the previous and the twelve-rows-back value.
 
     ``current``: newest vintage per (series, date). A series then has at most
-    one row per calendar day, so one window partition is bounded by the
-    calendar and not by the data.
+    one dated row per calendar day, so one window partition is bounded by the
+    calendar, and by the rows whose date does not parse.
 
     ``all``: every vintage is a row, ordered by date and then by age. A series
     is unbounded there, hence the chunked lag.
@@ -96,8 +96,9 @@ def fct_observations(
     )
     if vintages == "current":
         one_per_day = current_vintage(observations)
+        age = [c for c in VINTAGE_ORDER if c in observations.columns]  # of rows without a date
         by_date = Window.partitionBy("series_id").orderBy(
-            F.col("observation_date").asc_nulls_last()
+            F.col("observation_date").asc_nulls_last(), *age
         )
         lagged = one_per_day.withColumns(
             {name: F.lag("value", n).over(by_date) for name, n in LAGS.items()}

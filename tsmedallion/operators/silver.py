@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from tsmedallion.functions.scalar import is_missing, parse_date, parse_value, pct_of
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """One narrow projection: no shuffle, runs inside the scan's stage."""
+def clean(bronze: DataFrame, *also: str) -> DataFrame:
+    """One narrow projection: no shuffle, runs inside the scan's stage.
+
+    The raw text of value and date stays, so that what did not parse can be traced.
+    ``also`` names further bronze columns to keep.
+    """
     raw = F.col("value")
     parsed = parse_value(raw)
     return bronze.select(
@@ -23,6 +27,8 @@ def clean(bronze: DataFrame) -> DataFrame:
         "realtime_start",
         "realtime_end",
         "ingestion_timestamp",
+        F.col("date").alias("date_raw"),
+        *also,
     )
 
 

@@ -37,15 +37,19 @@ def stage(silver: DataFrame, transformed_at: datetime | None = None) -> DataFram
 
 
 def current_vintage(staged: DataFrame) -> DataFrame:
-    """The newest vintage of every (series, date).
+    """The newest vintage of every (series, date); rows without a date all stay.
+
+    A date that does not parse tells nothing about which observation it belongs to, so
+    that such rows are no vintages of each other; the ``not_null`` test reports them.
 
     ``max`` over a struct is combined before the shuffle, so a series or a date
     with any number of vintages sends one row per task. The result has at most
-    one row per series and calendar day.
+    one dated row per series and calendar day.
     """
     aged = [c for c in VINTAGE_ORDER if c in staged.columns]
     constant = ["transformed_at"] if "transformed_at" in staged.columns else []
-    newest = staged.groupBy(*KEY).agg(
+    undated = F.when(F.col("observation_date").isNull(), F.monotonically_increasing_id())
+    newest = staged.withColumn("undated_row", undated).groupBy(*KEY, "undated_row").agg(
         F.max(F.struct(*aged)).alias("newest"), *[F.max(c).alias(c) for c in constant]
     )
     return newest.select(

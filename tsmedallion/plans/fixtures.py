@@ -86,6 +86,26 @@ def obs_daily(lineitem: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def obs_edges(bronze: DataFrame) -> DataFrame:
+    """``obs_daily`` with what a source may send: dates that do not parse or are not
+    padded, values that are not finite, rows without a series id, and one age for all
+    vintages of a day."""
+    day = F.dayofmonth(F.col("date").cast("date"))
+    year, month = F.substring("date", 1, 4), F.substring("date", 6, 2).cast("int").cast("string")
+    return bronze.withColumns(
+        {
+            "value": F.when(day == 3, "Infinity").when(day == 4, "NaN").otherwise(F.col("value")),
+            "date": F.when(day == 1, F.concat(year, F.lit("-13-01")))
+            .when(day == 2, "")
+            .when(day < 10, F.concat(year, F.lit("-"), month, F.lit("-"), day.cast("string")))
+            .otherwise(F.col("date")),
+            "series_id": F.when(day == 28, F.lit(None)).otherwise(F.col("series_id")),
+            "realtime_start": F.lit("2000-01-01"),
+            "ingestion_timestamp": F.lit("2000-01-02T03:04:05"),
+        }
+    )
+
+
 def obs_monthly(orders: DataFrame) -> DataFrame:
     """Staging rows: monthly order totals per priority, one row per month."""
     month = F.trunc("o_orderdate", "month")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tsmedallion.operators import correlation, dashboard, marts, quality, silver, staging
 from tsmedallion.plans import daily, fixtures
-from tsmedallion.schemas import FCT_OBSERVATIONS, SILVER, default_catalogue, local_table
+from tsmedallion.schemas import FCT_OBSERVATIONS, default_catalogue, local_table
 from tsmedallion.session import materialise, scratch_path
 from tsmedallion.sources import bronze, landing, tables
 from tsmedallion.streaming import silver_stream
@@ -175,18 +176,15 @@ def silver_clustered_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def silver_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """The same rows through the streaming form of silver."""
-    path = scratch_path(spark, "silver-stream")
-    schema = fixtures.table(spark, sf, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
-    )
-    silver_stream.stream_silver(
-        fixtures.obs_events(stream), path, scratch_path(spark, "silver-stream-checkpoint")
-    ).awaitTermination()
-    return spark.read.schema(SILVER).parquet(path).select(*SILVER.names)
+    """The same rows through the streaming form of silver, of which a first run of every
+    run date is then replaced: it had other values, and a row more each."""
+    landed, path, state = (scratch_path(spark, n) for n in ("bronze", "silver-stream", "state"))
+    raw = _events(spark, sf)
+    first = raw.unionByName(raw.dropDuplicates(["ingest_date", "series_id"]))
+    for rows in (first.withColumn("value", F.lit("0")), raw):
+        bronze.write_bronze(rows, landed)
+        silver_stream.stream_silver(spark, landed, path, state).awaitTermination()
+    return tables.read_silver(spark, path)
 
 
 # --- Staging ----------------------------------------------------------------
@@ -199,9 +197,12 @@ def stg_observations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stg_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Staging as a named view, queried by name."""
-    _staged_events(spark, sf).createOrReplaceTempView("stg_observations")
-    return spark.table("stg_observations").drop("transformed_at")
+    """Staging as a named view, queried by name; the name is the run's own."""
+    name = f"stg_observations_{uuid.uuid4().hex}"
+    _staged_events(spark, sf).createOrReplaceTempView(name)
+    found = spark.table(name).drop("transformed_at")
+    spark.catalog.dropTempView(name)
+    return found
 
 
 @query
@@ -258,6 +259,68 @@ def fct_all_vintages_events(spark: SparkSession, sf: str) -> DataFrame:
     return marts.fct_observations(_staged_events(spark, sf), "all").drop("created_at")
 
 
+def _nan_apart(df: DataFrame) -> DataFrame:
+    """NaN as NULL with a flag of its own, as NaN equals nothing in a comparison."""
+    doubles = [c for c, t in df.dtypes if t == "double"]
+    flags = {f"{c}_is_nan": F.coalesce(F.isnan(c), F.lit(False)) for c in doubles}
+    return df.withColumns(flags).withColumns({c: F.nanvl(c, F.lit(None)) for c in doubles})
+
+
+def _edges(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.clean(fixtures.obs_edges(_daily(spark, sf)))
+
+
+@query
+def silver_clean_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Unparseable and unpadded dates, non-finite values, missing ids."""
+    return _nan_apart(_edges(spark, sf))
+
+
+@query
+def current_vintage_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a date all stay; equal ages are told apart by value."""
+    staged = staging.stage(_edges(spark, sf)).drop("transformed_at")
+    return _nan_apart(staging.current_vintage(staged))
+
+
+@query
+def fct_observations_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return _nan_apart(marts.fct_observations(staging.stage(_edges(spark, sf))).drop("created_at"))
+
+
+@query
+def dq_not_null_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.not_null(
+        staging.stage(_edges(spark, sf)), "stg_observations", ["series_id", "observation_date"]
+    )
+
+
+def _refreshed(spark: SparkSession, sf: str, layout: str) -> DataFrame:
+    """Gold built on what was shipped up to 1995, then refreshed with all the rest."""
+    root = scratch_path(spark, "gold-refresh")
+    staged, catalogue = _staged_daily(spark, sf), default_catalogue(spark)
+    untouched = F.col("series_id").isin("CPIAUCSL", "NO")  # all there from the start
+    old = staged.filter((F.col("observation_date") < "1996-01-01") | untouched)
+    tables.write_gold(marts.dim_indicators(old, catalogue, RUN_AT), root, "dim_indicators")
+    tables.write_gold(marts.dim_time(old), root, "dim_time")
+    fact = marts.fct_observations(old, "current", RUN_AT)
+    tables.write_gold(fact, root, "fct_observations", layout)
+    touched = staged.filter(~untouched).select("series_id")
+    silver_stream.refresh_gold(staged, touched, catalogue, root, "current", RUN_AT)
+    names = ("fct_observations", "dim_indicators", "dim_time")
+    return dashboard.star(*(tables.read_gold(spark, root, n) for n in names))
+
+
+@query
+def gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, "folders")
+
+
+@query
+def gold_refresh_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, "clustered")
+
+
 @query
 def yoy_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series: 365 rows are not always there, so lag 12 would be wrong."""
@@ -333,6 +396,18 @@ def latest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.latest_metrics(_star(spark, sf))
 
 
+@query
+def latest_metrics_all_vintages(spark: SparkSession, sf: str) -> DataFrame:
+    """Over a fact with all vintages the newest one counts, so the changes of values
+    differ from the current fact's and the values do not."""
+    return dashboard.latest_metrics(_star(spark, sf, fact="fct_all_vintages", with_age=True))
+
+
+@query
+def latest_50_all_vintages(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.top_recent(_star(spark, sf, fact="fct_all_vintages", with_age=True))
+
+
 @query
 def series_timeseries(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.time_series(_star(spark, sf, ["DFF"]))
@@ -389,13 +464,24 @@ def corr_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def corr_nations(spark: SparkSession, sf: str) -> DataFrame:
-    """Twenty-five series, by matrix products."""
+    """Twenty-five series."""
     points = fixtures.nation_points(
         fixtures.table(spark, sf, "orders"), fixtures.table(spark, sf, "customer")
     )
     return _rounded(correlation.corr_matrix(points, [f"Nation {i}" for i in range(25)]))
 
 
+@query
+def corr_non_finite(spark: SparkSession, sf: str) -> DataFrame:
+    """Infinity every March and NaN every May in one of the series."""
+    points = _monthly_points(spark, sf)
+    month, value = F.month("date_key"), F.col("observation_value")
+    dirty = F.when(month == 3, float("inf")).when(month == 5, float("nan")).otherwise(value)
+    first = F.col("indicator_name") == "Priority 1-URGENT"
+    points = points.withColumn("observation_value", F.when(first, dirty).otherwise(value))
+    return _rounded(correlation.corr_matrix(points, list(PRIORITIES)))
+
+
 @query
 def latest_50(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.top_recent(_star(spark, sf))
@@ -403,9 +489,11 @@ def latest_50(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    data = _star(spark, sf, ["GDP", "UNRATE", "CPIAUCSL"])
+    """Names with outer blanks, quotes, commas and a line break come back as they were."""
+    name = F.concat(F.lit('  "a", "'), "indicator_name", F.lit('" \n and more '))
+    data = _star(spark, sf, ["GDP", "UNRATE", "CPIAUCSL"]).withColumn("indicator_name", name)
     path = tables.export_csv(data, scratch_path(spark, "csv"), RUN_AT.date())
-    return spark.read.schema(data.schema).option("header", True).csv(path)
+    return tables.read_csv(spark, path, data.schema)
 
 
 # --- Data tests -------------------------------------------------------------

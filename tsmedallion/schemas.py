@@ -52,6 +52,7 @@ SILVER = _schema(
     realtime_start=_STR,
     realtime_end=_STR,
     ingestion_timestamp=_STR,
+    date_raw=_STR,
 )
 
 STAGING = _schema(
