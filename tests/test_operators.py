@@ -224,6 +224,15 @@ def test_a_group_of_copies_is_spread_over_chunks(spark, monkeypatch):
     assert max(chunks) < 2 * 12_000 / 8
 
 
+def test_chunks_follow_the_size_of_the_input(spark, monkeypatch, tmp_path):
+    spark.range(100_000).selectExpr("id", "uuid() AS text").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert lagging._chunks(table) == []
+    monkeypatch.setattr(lagging, "CHUNK_BYTES", 100_000)
+    (many,) = lagging._chunks(table)
+    assert many > 20
+
+
 def test_calendar_yoy(spark):
     rows = [
         ("S", date(2023, 2, 28), 100.0),

@@ -16,6 +16,19 @@ from tsmedallion.session import materialise
 # monotonically_increasing_id() keeps the row's place in its task in 33 bits.
 ROW_IN_TASK = (1 << 33) - 1
 
+# Bytes of input that one chunk, and so one task, should sort.
+CHUNK_BYTES = 128 << 20
+
+
+def _chunks(df: DataFrame) -> list[int]:
+    """The number of chunks that the size of the tables read asks for, if that is over
+    the session's shuffle partitions, which AQE could only lower."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    wanted = -(-sum(sizes) // CHUNK_BYTES)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [min(wanted, 1 << 20)] if wanted > usual else []
+
 
 def chunked_lag(
     df: DataFrame,
@@ -28,15 +41,16 @@ def chunked_lag(
     """``LAG(value, n) OVER (PARTITION BY key ORDER BY order)`` per ``{name: n}``.
 
     1. A range exchange on (key, order) makes even chunks whatever the key
-       skew. Rows equal on all of ``order`` are told apart by a row number, so
-       even one group of copies spreads over several chunks.
+       skew, as many as the size of the input asks for. Rows equal on all of
+       ``order`` are told apart by a row number, so even one group of copies
+       spreads over several chunks.
     2. The sorted chunks are written once, with each row's place in its chunk:
        chunk bounds come from a sample, so they must not be computed twice.
     3. A row looks back ``max(n)`` rows at most, so a chunk needs that many rows
        from before its start, and nothing else, from other chunks.
 
     ``df`` should come straight from a table scan, whose rows a retried task
-    reads in the same order.
+    reads in the same order; write the result of a join first.
     """
     depth = max(offsets.values())
     sorting = [F.col(key).asc_nulls_first()] + [
@@ -45,7 +59,7 @@ def chunked_lag(
     ]
     chunked = materialise(
         df.withColumn("copy_no", F.monotonically_increasing_id())
-        .repartitionByRange(*sorting, "copy_no")
+        .repartitionByRange(*_chunks(df), *sorting, "copy_no")
         .sortWithinPartitions(*sorting)
         .withColumn("chunk", F.spark_partition_id())
         .withColumn("pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_TASK)))
