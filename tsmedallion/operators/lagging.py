@@ -18,14 +18,16 @@ ROW_IN_TASK = (1 << 33) - 1
 
 # Bytes of input that one chunk, and so one task, should sort.
 CHUNK_BYTES = 128 << 20
+UNKNOWN_BYTES = (1 << 63) - 1
 
 
 def _chunks(df: DataFrame) -> list[int]:
     """The number of chunks that the size of the tables read asks for, if that is over
-    the session's shuffle partitions, which AQE could only lower."""
+    the session's shuffle partitions, which AQE could only lower. A relation that is no
+    table has no known size, which Spark gives as the largest number; it does not count."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    wanted = -(-sum(sizes) // CHUNK_BYTES)
+    wanted = -(-sum(s for s in sizes if s < UNKNOWN_BYTES) // CHUNK_BYTES)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return [min(wanted, 1 << 20)] if wanted > usual else []
 
