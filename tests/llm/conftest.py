@@ -6,15 +6,9 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+from llm_tables import SCHEMAS
 
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-SCHEMAS = {
-    "documents": DOCUMENTS,
-    "embeddings": "vec_id long, embedding array<float>, label int",
-    "benchmark": "item_id long, text string",
-    "labels": "doc_id long, quality int, toxic int",
-}
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 
 @pytest.fixture

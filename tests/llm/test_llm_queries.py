@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
+from llm_tables import DOCUMENTS
 from tsmedallion.llm.oracle import SQL
 from tsmedallion.llm.queries import REGISTRY
 
@@ -48,7 +49,6 @@ def test_query_matches_sql(spark, name):
 
 @pytest.fixture
 def odd_tables(spark, write_tables):
-    from conftest import DOCUMENTS
     from pyspark.sql import functions as F
 
     docs = spark.createDataFrame(ODD, DOCUMENTS).withColumns({c: F.lit(f"own {c}") for c in CLASHES})
