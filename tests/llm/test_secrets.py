@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from tsmedallion.llm.queries import op3_secret_scan
 from tsmedallion.llm.secrets import BASE, RULES, BlobLedger, Rule, find, scan
@@ -54,6 +55,14 @@ def test_further_rules_add_spans():
     assert kinds == {"private_key", "jwt", "url_login"}
 
 
+def test_no_rule_slows_down_on_long_runs():
+    for text in ("eyJ" * 200_000, "password " * 60_000, "secret" + " " * 300_000, "://a" * 100_000, "0" * 600_000, "AKIA" * 100_000):
+        for rule in RULES:
+            start = time.process_time()
+            find(rule, text)
+            assert time.process_time() - start < 2, rule.name
+
+
 def test_only_unseen_pairs_of_blob_and_rule_are_scanned(spark, tmp_path):
     ledger = BlobLedger(spark, str(tmp_path / "ledger"))
     frame = lambda rows: spark.createDataFrame(rows, "path string, text string")
