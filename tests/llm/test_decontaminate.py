@@ -84,6 +84,18 @@ def test_blocks_of_items_change_nothing(spark):
     one = dc.mark_leaks(docs, bench).select("doc_id", "leaks").collect()
     many = dc.mark_leaks(docs, bench, block_chars=700).select("doc_id", "leaks").collect()
     assert sorted(map(str, one)) == sorted(map(str, many))
+    passes = dc.mark_leaks(docs, bench, block_chars=2000, blocks_per_pass=3).select("doc_id", "leaks").collect()
+    assert sorted(map(str, one)) == sorted(map(str, passes)) and any(r.leaks for r in one)
+
+
+def test_rows_of_one_item_count_alike_in_one_block_and_in_several(spark):
+    first, second = ("alpha bravo charlie delta echo foxtrot golf hotel " * 2, "india juliett kilo lima mike november oscar papa " * 2)
+    docs = spark.createDataFrame([(1, first + second), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, first), (7, second)], "item_id long, text string").coalesce(1)
+    marks = [dc.mark_leaks(docs, bench, block_chars=n, blocks_per_pass=p).collect() for n, p in ((10_000, 8), (10, 8), (10, 1))]
+    assert marks[0] == marks[1] == marks[2]
+    assert [len(r.leaks) for r in sorted(marks[0])] == [1, 0]
+
 
 
 def test_documents_that_have_a_whole_item_are_found_and_no_others(spark):

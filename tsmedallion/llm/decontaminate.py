@@ -13,27 +13,33 @@ an alignment of the window with the region of the band, in which the window must
 whole and the stretch may begin and end anywhere. Nothing within the budget is missed.
 
 Documents stay where they are: there is no shuffle, and all columns are passed through.
-The windows are sent to every task in blocks of items, at most ``BLOCK_CHARS`` characters
-each, whatever the size of the benchmark; more blocks are more passes over a batch.
+The windows are sent to every task in blocks of items, at most ``BLOCK_CHARS`` characters (or
+one item) each, and ``BLOCKS_PER_PASS`` blocks at most at a time. A larger benchmark takes
+further passes over the documents, which are written in between, so that neither the driver
+nor a task holds more of it.
 
 * Characters are UTF-8 bytes, so that a replaced accented letter costs up to two edits.
 * A null or empty text matches nothing. Items whose normal form is shorter than
   ``LEAST_CHARS`` are too short to tell a leak from chance and are not searched; null items
-  are skipped. Equal items each match. Repeated documents are each marked.
+  are skipped. Equal items each match; rows of one id are one item with the windows of all.
+  Repeated documents are each marked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsmedallion.llm.common import appended, runs, utf8, with_columns
+from tsmedallion.llm.common import runs, utf8
+from tsmedallion.session import materialise
 
 Q = 12
 WINDOW = 64
@@ -41,6 +47,7 @@ STRIDE = 32
 CHARS_PER_EDIT = 16
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
+BLOCKS_PER_PASS = 8
 CHARS_AT_ONCE = 1 << 20
 PAIRS_AT_ONCE = 4_096
 BITMAP_BITS = 22
@@ -234,30 +241,48 @@ def mark_leaks(
     item_text_col: str = "text",
     matches_col: str = "leaks",
     block_chars: int = BLOCK_CHARS,
+    blocks_per_pass: int = BLOCKS_PER_PASS,
 ) -> DataFrame:
     """``docs`` with ``matches_col``: per matched item the windows found and their edits.
 
-    Rows are neither moved nor dropped; the array is empty for a clean document.
+    Rows are not dropped; the array is empty for a clean document.
     """
     context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(b) for b in _blocks(benchmark, item_col, item_text_col, block_chars)]
-    place = docs.columns.index(text_col)
+    blocks = _blocks(benchmark, item_col, item_text_col, block_chars)
+    marked = docs.withColumn(matches_col, F.array().cast(MATCHES))
+    group = list(islice(blocks, blocks_per_pass))
+    while group:
+        shared = [context.broadcast(b) for b in group]
+        marked = _search(marked, docs.columns.index(text_col), shared)
+        group = list(islice(blocks, blocks_per_pass))
+        if group:
+            marked = materialise(marked, "marked")
+            for block in shared:
+                block.destroy()
+    return marked
+
+
+def _search(marked: DataFrame, place: int, shared: list[Broadcast]) -> DataFrame:
+    """Add the matches of the blocks ``shared`` to the last column."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _index(shared[0].value) if len(shared) == 1 else None
         for batch in batches:
             texts = [normal(t) for t in utf8(batch.column(place))]
-            found: list[dict[int, tuple[set[int], int]]] = [{} for _ in texts]
+            known = [{m["item_id"]: (m["windows"], m["edits"]) for m in row} for row in batch.columns[-1].to_pylist()]
             for block in shared:
                 index = held or _index(block.value)
                 for low, high in runs(map(len, texts), CHARS_AT_ONCE):
-                    _collect(index, texts[low:high], found[low:high])
-            rows = [
-                [{"item_id": i, "windows": len(w), "edits": e} for i, (w, e) in sorted(f.items())] for f in found
-            ]
-            yield with_columns(batch, (matches_col, pa.array(rows, _ARROW)))
-
-    return docs.mapInArrow(search, appended(docs, (matches_col, MATCHES)))
+                    found: list[dict[int, tuple[set[int], int]]] = [{} for _ in range(low, high)]
+                    _collect(index, texts[low:high], found)
+                    for before, new in zip(known[low:high], found):
+                        for item, (windows, edits) in new.items():
+                            n, fewest = before.get(item, (0, edits))
+                            before[item] = n + len(windows), min(fewest, edits)
+            rows = [[{"item_id": i, "windows": n, "edits": e} for i, (n, e) in sorted(k.items())] for k in known]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, _ARROW)], names=batch.schema.names)
+
+    return marked.mapInArrow(search, marked.schema)
 
 
 def _collect(index: WindowIndex, texts: list[bytes], found: list[dict]) -> None:
