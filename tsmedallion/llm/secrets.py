@@ -65,7 +65,7 @@ MORE = (
     # Tried once a run of its characters and never backed into, so that a long run stays linear.
     Rule(
         "jwt",
-        r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
+        r"eyJ(?<![A-Za-z0-9_-]eyJ)[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
         version=2,
     ),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
