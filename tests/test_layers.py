@@ -67,6 +67,41 @@ def test_documents_are_flattened(spark, tmp_path):
     assert named["ingestion_timestamp"] == "2024-02-01T06:00:00"
 
 
+def test_the_first_date_is_compared_as_a_date(spark, tmp_path):
+    dates = ["2024-1-5", "2024-01-15", "2024-2-1", "2023-12-31", "no date", None]
+    _land(str(tmp_path), "2024-02-01", "GDP", {"observations": [_record(d, "1") for d in dates]})
+    docs = landing.read_documents(spark, str(tmp_path))
+    kept = [r["date"] for r in landing.explode_documents(docs, "2024-01-10").collect()]
+    assert kept == ["2024-01-15", "2024-2-1", "no date", None]
+
+
+def test_only_finite_values_on_request(spark):
+    rows = spark.createDataFrame(
+        [_bronze_row("a", "2024-01-01", t) for t in ("1.5", "Infinity", "-Infinity", "NaN", ".")], BRONZE
+    )
+    valid = lambda df: [r["value_raw"] for r in df.filter("is_valid").collect()]
+    assert valid(silver.clean(rows)) == ["1.5", "Infinity", "-Infinity", "NaN"]
+    assert valid(silver.clean(rows, finite_only=True)) == ["1.5"]
+
+
+def test_both_layouts_hold_the_same_rows_of_an_empty_series_id(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [_bronze_row(s, "2024-01-01", "1") for s in ("", None, "a")], BRONZE
+    )
+    read = []
+    for layout in tables.LAYOUTS:
+        tables.write_silver(silver.clean(rows), str(tmp_path / layout), layout)
+        written = tables.read_silver(spark, str(tmp_path / layout))
+        read.append(sorted(str(r["series_id"]) for r in written.collect()))
+    assert read == [["None", "None", "a"]] * 2
+
+
+def test_a_series_listed_twice_stops_the_run(spark, tmp_path):
+    twice = default_catalogue(spark).union(default_catalogue(spark).limit(1))
+    with pytest.raises(DataTestError, match="catalogue"):
+        run_daily(spark, _run(tmp_path, catalogue=twice))
+
+
 def test_a_malformed_document_fails_the_read(spark, tmp_path):
     folder = tmp_path / "ingest_date=2024-02-01" / "series_id=GDP"
     folder.mkdir(parents=True)

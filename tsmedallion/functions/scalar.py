@@ -24,6 +24,11 @@ def parse_value(text: Column) -> Column:
     return F.when(text == MISSING_MARK, F.lit(None)).otherwise(text.try_cast("double"))
 
 
+def finite(value: Column) -> Column:
+    """``value``, or NULL if it is infinite or NaN."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def is_missing(text: Column) -> Column:
     """True only for the missing mark; a NULL text is not *marked* missing."""
     return F.coalesce(text == MISSING_MARK, F.lit(False))

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsmedallion.functions.scalar import is_missing, parse_date, parse_value, pct_of
+from tsmedallion.functions.scalar import finite, is_missing, parse_date, parse_value, pct_of
 
 
-def clean(bronze: DataFrame, *also: str) -> DataFrame:
+def clean(bronze: DataFrame, *also: str, finite_only: bool = False) -> DataFrame:
     """One narrow projection: no shuffle, runs inside the scan's stage.
 
     The raw text of value and date stays, so that what did not parse can be traced.
-    ``also`` names further bronze columns to keep.
+    ``also`` names further bronze columns to keep. With ``finite_only`` the texts of
+    infinities and NaN are unparseable. An empty series id is NULL, as a folder of that
+    name would be read, so that both layouts of silver hold the same rows.
     """
     raw = F.col("value")
-    parsed = parse_value(raw)
+    parsed = finite(parse_value(raw)) if finite_only else parse_value(raw)
     return bronze.select(
-        "series_id",
+        F.nullif(F.col("series_id"), F.lit("")).alias("series_id"),
         "series_name",
         parse_date(F.col("date")).alias("observation_date"),
         parsed.alias("value"),

@@ -110,6 +110,10 @@ def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, Any]:
     """Run the layers in order; a failed audit or data test raises."""
     require_utc(spark)
     catalogue = default_catalogue(spark) if run.catalogue is None else run.catalogue
+    # A series listed twice would double its rows in bronze.
+    listed_twice = quality.failed(quality.unique(catalogue, "catalogue", "series_id"))
+    if listed_twice:
+        raise DataTestError("; ".join(listed_twice))
     with scratch_scope(spark):
         audited = ingest(spark, run, catalogue)
         summary = refine(spark, run)

@@ -63,7 +63,7 @@ def _staged_daily(spark: SparkSession, sf: str) -> DataFrame:
 _GOLD: dict[tuple[str, str], str] = {}
 
 
-def _gold_root(spark: SparkSession, sf: str) -> str:
+def gold_root(spark: SparkSession, sf: str) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _GOLD:
         root = scratch_path(spark, "gold")
@@ -84,7 +84,7 @@ def _gold_root(spark: SparkSession, sf: str) -> str:
 
 def _gold(spark: SparkSession, sf: str, table: str) -> DataFrame:
     schema = FCT_OBSERVATIONS if table.startswith("fct_") else None
-    return tables.read_gold(spark, _gold_root(spark, sf), table, schema)
+    return tables.read_gold(spark, gold_root(spark, sf), table, schema)
 
 
 def _star(

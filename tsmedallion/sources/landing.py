@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tsmedallion.functions.scalar import parse_date
 from tsmedallion.schemas import BRONZE, DOCUMENT
 from tsmedallion.sources.bronze import run_folder
 
@@ -43,10 +44,15 @@ def read_documents(
 
 
 def explode_documents(docs: DataFrame, observation_start: str | None = None) -> DataFrame:
-    """One row per observation. A document without the array gives no row."""
+    """One row per observation. A document without the array gives no row.
+
+    The bound compares dates, padded or not; an observation whose date does not parse
+    stays, for silver to report.
+    """
     rows = docs.select("ingest_date", "series_id", F.inline("observations"))
     if observation_start is not None:
-        rows = rows.filter(F.col("date") >= observation_start)
+        day = parse_date(F.col("date"))
+        rows = rows.filter(day.isNull() | (day >= F.to_date(F.lit(observation_start))))
     return rows
 
 
