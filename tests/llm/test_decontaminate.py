@@ -78,6 +78,39 @@ def test_windows_at_the_edit_budget_are_found_and_beyond_it_not():
             assert bool(found[0]) == (sellers(index.texts[0], text) <= dc.budget(len(index.texts[0])))
 
 
+def test_windows_of_every_length_keep_their_whole_budget():
+    rng = random.Random(12)
+    for size in range(dc.LEAST_CHARS, dc.WINDOW + 1):
+        pool = prose(rng, 40).replace(" ", "")
+        item, edits = pool[:size].encode(), dc.budget(size)
+        index = dc._index([(1, item)])
+        even = list(item)
+        for k in range(edits):  # one edit in the middle of each of edits + 1 equal parts' ends
+            even[(k + 1) * size // (edits + 1)] = ord("z")
+        text = b"qq " + bytes(even) + b" qq"
+        found = [{}]
+        dc._collect(index, [text], found)
+        assert found[0], size
+
+
+def test_a_bound_on_hits_at_once_changes_nothing(monkeypatch):
+    rng = random.Random(13)
+    phrase = "which of the following statements is true "
+    items = [(i, dc.normal((phrase + prose(rng, 9)).encode())) for i in range(30)]
+    texts = [dc.normal((prose(rng, 5) + " " + edited(rng, items[i][1].decode(), i % 4) + phrase * (i % 3)).encode()) for i in range(30)]
+
+    def search():
+        found = [{} for _ in texts]
+        dc._collect(dc._index(items), texts, found)
+        return found
+
+    want = search()
+    assert sum(map(bool, want)) > 15
+    for most in (1, 7, 500):
+        monkeypatch.setattr(dc, "HITS_AT_ONCE", most)
+        assert search() == want
+
+
 def test_blocks_of_items_change_nothing(spark):
     sf = "/root/testdata/sf0.001"
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))

@@ -6,7 +6,7 @@ windows of ``WINDOW`` characters. A window of m characters occurs in a document
 stretch of it is within e edits (one per ``CHARS_PER_EDIT`` of the window).
 
 The lemma: such a stretch shares at least m - q + 1 - q * e of the window's q-grams, all on
-diagonals at most e apart. The q-grams of a document that any window has are counted per
+diagonals at most e apart; q is so small that this is above zero at every length. The q-grams of a document that any window has are counted per
 window and diagonal band; bands are 2 * e + 2 wide, or more, and overlap by half, so that
 every such set of diagonals is within one band. Bands that reach the bound are verified by
 an alignment of the window with the region of the band, in which the window must be used
@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from tsmedallion.llm.common import runs, utf8
 from tsmedallion.session import materialise
 
-Q = 12
+Q = 10
 WINDOW = 64
 STRIDE = 32
 CHARS_PER_EDIT = 16
@@ -50,6 +50,7 @@ BLOCK_CHARS = 4_000_000
 BLOCKS_PER_PASS = 8
 CHARS_AT_ONCE = 1 << 20
 PAIRS_AT_ONCE = 4_096
+HITS_AT_ONCE = 1 << 22
 BITMAP_BITS = 22
 
 _KEPT = bytes(range(48, 58)) + bytes(range(97, 123))
@@ -82,7 +83,7 @@ def gram_hashes(buffer: np.ndarray) -> np.ndarray:
         return np.empty(0, np.uint64)
     raw = np.ascontiguousarray(buffer)
     head = np.ndarray((n,), "<u8", raw.data, 0, (1,))
-    tail = np.ndarray((n,), "<u4", raw.data, 8, (1,)).astype(np.uint64)
+    tail = np.ndarray((n,), "<u2", raw.data, 8, (1,)).astype(np.uint64)
     mixed = head * np.uint64(0x9E3779B97F4A7C15) + tail * np.uint64(0xC2B2AE3D27D4EB4F)
     return mixed ^ (mixed >> np.uint64(29))
 
@@ -102,7 +103,7 @@ class WindowIndex:
     def __post_init__(self):
         sizes = np.array([len(t) for t in self.texts], np.int64)
         self.size, self.edits = sizes, sizes // CHARS_PER_EDIT
-        self.bound = np.maximum(1, sizes - Q + 1 - Q * self.edits)
+        self.bound = sizes - Q + 1 - Q * self.edits
         self.step = np.maximum(8, self.edits + 1)  # bands are two steps wide
         hashes, window, at = [], [], []
         for w, text in enumerate(self.texts):
@@ -114,16 +115,15 @@ class WindowIndex:
         order = np.argsort(grams, kind="stable")
         self.window = np.concatenate(window)[order] if window else np.empty(0, np.int64)
         self.at = np.concatenate(at)[order] if at else np.empty(0, np.int64)
-        self.grams, self.first = np.unique(grams[order], return_index=True)
-        self.first = np.append(self.first, len(grams))
+        self.grams, rank = np.unique(grams[order], return_inverse=True)
+        self.entry = rank * len(self.texts) + self.window  # ascending: by q-gram, then window
         self.bitmap = np.zeros(1 << BITMAP_BITS, bool)
         self.bitmap[_slot(self.grams)] = True
 
     def candidates(self, buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, window, first diagonal) of the bands that reach the bound.
 
-        ``starts``: where each document begins in ``buffer``. A diagonal is the place in
-        the document less the place in the window.
+        ``starts``: where each document begins in ``buffer``.
         """
         hashes = gram_hashes(buffer)
         place = np.nonzero(self.bitmap[_slot(hashes)])[0]
@@ -133,25 +133,48 @@ class WindowIndex:
         found = np.minimum(np.searchsorted(self.grams, hashes[place]), len(self.grams) - 1)
         real = self.grams[found] == hashes[place]
         place, found = place[real], found[real]
-        n = self.first[found + 1] - self.first[found]
-        hit = np.repeat(self.first[found], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        place, window = np.repeat(place, n), self.window[hit]
-        if not len(place):
-            return none
         doc = np.searchsorted(starts, place, side="right") - 1
-        diagonal = place - starts[doc] - self.at[hit]
-        band = diagonal // self.step[window]
-        low = int(band.min()) - 1
-        span = int(band.max()) - low + 1
-        if len(starts) * len(self.texts) * span >= 1 << 62:
+        parts = list(self._bands(doc, place - starts[doc], found, 0, len(self.texts)))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else none
+
+    def _bands(
+        self, doc: np.ndarray, place: np.ndarray, gram: np.ndarray, low: int, high: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``candidates`` of the q-grams at ``place`` of ``doc`` among the windows low to high.
+
+        A q-gram that many windows have makes many hits. Beyond ``HITS_AT_ONCE`` the documents
+        are halved, then the windows; a band has one document and one window, so none is cut.
+        """
+        first = np.searchsorted(self.entry, gram * len(self.texts) + low)
+        n = np.searchsorted(self.entry, gram * len(self.texts) + high) - first
+        total = int(n.sum())
+        if not total:
+            return
+        if total > HITS_AT_ONCE and doc[0] != doc[-1]:
+            cut = np.searchsorted(doc, (doc[0] + doc[-1]) // 2, side="right")
+            for part in (slice(None, cut), slice(cut, None)):
+                yield from self._bands(doc[part], place[part], gram[part], low, high)
+            return
+        if total > HITS_AT_ONCE and high - low > 1:
+            middle = (low + high) // 2
+            yield from self._bands(doc, place, gram, low, middle)
+            yield from self._bands(doc, place, gram, middle, high)
+            return
+        hit = np.repeat(first, n) + np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+        doc, window = np.repeat(doc, n), self.window[hit]
+        # A diagonal is the place in the document less the place in the window.
+        band = (np.repeat(place, n) - self.at[hit]) // self.step[window]
+        least = int(band.min()) - 1
+        span = int(band.max()) - least + 1
+        if (int(doc[-1]) + 1) * len(self.texts) * span >= 1 << 62:
             raise OverflowError("too many bands in one piece; lower CHARS_AT_ONCE or BLOCK_CHARS")
         # Band b has the diagonals of steps b and b + 1; each q-gram is in two bands.
-        one = (doc * len(self.texts) + window) * span - low
+        one = (doc * len(self.texts) + window) * span - least
         keys, counts = np.unique(np.concatenate([one + band, one + band - 1]), return_counts=True)
-        pair, band = keys // span, keys % span + low
+        pair, band = keys // span, keys % span + least
         window = pair % len(self.texts)
         enough = counts >= self.bound[window]
-        return (pair // len(self.texts))[enough], window[enough], (band * self.step[window])[enough]
+        yield (pair // len(self.texts))[enough], window[enough], (band * self.step[window])[enough]
 
     def matches(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Verified (document, window, edits, end of the stretch in the document)."""
