@@ -31,7 +31,8 @@ ODD = [
 CLASHES = (
     "id fp key comp root head u v m size n rate z copies salt total target score keep lang_pred lang_spans leaks host_key "
     "boilerplate_lines kept_lines dropped mix_size mix_source_size mix_target mix_copies mix_key mix_salt mix_tie mix_n mix_of "
-    "mix_place mix_copy id_key hash_key place blob spans path holder todo text_hash page line host view y"
+    "mix_place mix_copy id_key hash_key place blob spans path holder todo text_hash page line host view y n_dropped text_md5 "
+    "n_words n_base n_bytes n_tokens base accepted fingerprint component_id taken held_out item_id windows edits"
 ).split()
 
 

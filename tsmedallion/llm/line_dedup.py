@@ -78,7 +78,7 @@ def drop_boilerplate(
     min_pages: int = MIN_PAGES,
     dropped_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` without boilerplate lines; ``dropped_col`` adds how many a row lost."""
+    """``docs`` without boilerplate lines; ``dropped_col``, a new name, adds how many a row lost."""
     host, lines, kept = unused(docs, "host_key", "boilerplate_lines", "kept_lines")
     drops = materialise(boilerplate(docs, host_col, text_col, max_ratio, min_pages), "boilerplate")
     drops = drops.select(F.col("host_key").alias(host), F.col("lines").alias(lines))

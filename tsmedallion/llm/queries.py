@@ -100,7 +100,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = line_dedup.drop_boilerplate(docs, dropped_col="n_dropped")
     return found.select("doc_id", "n_dropped", F.md5("text").alias("text_md5"))
 
