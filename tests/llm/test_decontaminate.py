@@ -144,3 +144,46 @@ def test_gram_hashes_tell_all_grams_of_a_text_apart():
     text = np.frombuffer(prose(random.Random(1), 3000).encode(), np.uint8)
     grams = {bytes(text[i : i + dc.Q]) for i in range(len(text) - dc.Q + 1)}
     assert len(set(dc.gram_hashes(text).tolist())) == len(grams)
+
+
+def letters(rng, n):
+    return "".join(rng.choice("abcdefghijklmnop") for _ in range(n)).encode()
+
+
+def test_passages_cut_at_any_place_are_found():
+    rng = random.Random(14)
+    for size in (65, 95, 300, 2 * dc.PIECE + 200):
+        item = letters(rng, size)
+        index = dc._index([(1, item)])
+        places = [*range(min(40, size - dc.WINDOW + 1)), *(rng.randrange(size - dc.WINDOW + 1) for _ in range(40))]
+        places += [dc.PIECE + k for k in range(-66, 3) if dc.PIECE + k + dc.WINDOW <= size]
+        texts = []
+        for at in places:
+            whole = bytearray(item[at : at + dc.WINDOW])
+            for k in rng.sample(range(dc.WINDOW), dc.budget(dc.WINDOW)):
+                whole[k] = ord("z")
+            short = item[at : at + dc.WINDOW - dc.budget(dc.WINDOW)]
+            texts += [b"qrs tuv " * 9 + bytes(x) + b" wxy zqr" * 9 for x in (whole, short, item[at : at + dc.WINDOW])]
+        found = [{} for _ in texts]
+        dc._collect(index, texts, found)
+        assert all(1 in f for f in found), size
+        assert all(f[1][1] == 0 for f in found[2::3])
+
+
+def test_places_found_and_fewest_edits_against_alignment_of_each_place(monkeypatch):
+    rng = random.Random(15)
+    item = letters(rng, 50) + b" which of these is so " * 3 + letters(rng, 50)
+    texts = [letters(rng, 20) + edited(rng, item[a : a + 75].decode(), n).encode() + letters(rng, 20) for n in range(9) for a in (3, 40, 77)]
+    want = []
+    for text in texts:
+        edits = [sellers(w, text) for w in dc.windows(item)]
+        good = [n for n in edits if n <= dc.budget(dc.WINDOW)]
+        want.append((len(good), min(good, default=None)))
+    assert sum(n == 0 for n, _ in want) > 3 and sum(n > 0 for n, _ in want) > 9
+    for most in (dc.HITS_AT_ONCE, 3):
+        monkeypatch.setattr(dc, "HITS_AT_ONCE", most)
+        monkeypatch.setattr(dc, "PIECE", 32 if most == 3 else dc.PIECE)
+        found = [{} for _ in texts]
+        dc._collect(dc._index([(1, item)]), texts, found)
+        # Pieces overlap in characters, not in windows, so their windows are told apart by place.
+        assert [(len(f[1][0]), f[1][1]) if f else (0, None) for f in found] == want

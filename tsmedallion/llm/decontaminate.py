@@ -1,19 +1,24 @@
-"""Benchmark decontamination by q-gram lemma filtering and banded alignment.
+"""Benchmark decontamination by q-gram lemma filtering and bit-parallel alignment.
 
 Texts are compared in a normal form: A-Z in lower case, and every run of other ASCII
-characters than letters and digits as one blank. Benchmark items are cut into overlapping
-windows of ``WINDOW`` characters. A window of m characters occurs in a document if some
-stretch of it is within e edits (one per ``CHARS_PER_EDIT`` of the window).
+characters than letters and digits as one blank. The windows of a benchmark item are its
+stretches of ``WINDOW`` characters at every place; a shorter item is one window. A window of
+m characters occurs in a document if some stretch of it is within e edits (one per
+``CHARS_PER_EDIT`` of the window). So every passage of ``WINDOW`` characters is found with its
+whole budget wherever it is cut from the item, and a verbatim one also if it is e shorter.
 
 The lemma: such a stretch shares at least m - q + 1 - q * e of the window's q-grams, all on
-diagonals at most e apart; q is so small that this is above zero at every length. The q-grams of a document that any window has are counted per
-window and diagonal band; bands are 2 * e + 2 wide, or more, and overlap by half, so that
-every such set of diagonals is within one band. Bands that reach the bound are verified by
-an alignment of the window with the region of the band, in which the window must be used
-whole and the stretch may begin and end anywhere. Nothing within the budget is missed.
+diagonals at most e apart; q is so small that this is above zero at every length. The q-grams of a document that any item has are gathered per
+item and diagonal band; bands are 2 * e + 2 wide, or more, and overlap by half, so that
+every such set of diagonals is within one band. The windows of a band that hold so many of
+its q-grams are verified by Myers' bit-parallel alignment with the region of the band, in
+which the window must be used whole and the stretch may begin and end anywhere. Nothing
+within the budget is missed.
+
+Items are indexed in pieces of ``PIECE`` windows that overlap, so each window is in one piece.
 
 Documents stay where they are: there is no shuffle, and all columns are passed through.
-The windows are sent to every task in blocks of items, at most ``BLOCK_CHARS`` characters (or
+The items are sent to every task in blocks, at most ``BLOCK_CHARS`` characters (or
 one item) each, and ``BLOCKS_PER_PASS`` blocks at most at a time. A larger benchmark takes
 further passes over the documents, which are written in between, so that neither the driver
 nor a task holds more of it.
@@ -43,7 +48,7 @@ from tsmedallion.session import materialise
 
 Q = 10
 WINDOW = 64
-STRIDE = 32
+PIECE = 1 << 10
 CHARS_PER_EDIT = 16
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
@@ -52,6 +57,7 @@ CHARS_AT_ONCE = 1 << 20
 PAIRS_AT_ONCE = 4_096
 HITS_AT_ONCE = 1 << 22
 BITMAP_BITS = 22
+REACH = WINDOW + WINDOW // CHARS_PER_EDIT
 
 _KEPT = bytes(range(48, 58)) + bytes(range(97, 123))
 _TABLE = bytes(
@@ -69,11 +75,10 @@ def budget(size: int) -> int:
 
 
 def windows(text: bytes) -> list[bytes]:
-    """Overlapping windows of a normal form, the last one at its end."""
+    """The windows of a normal form, one at every place."""
     if len(text) <= WINDOW:
         return [text] if len(text) >= LEAST_CHARS else []
-    starts = [*range(0, len(text) - WINDOW, STRIDE), len(text) - WINDOW]
-    return [text[s : s + WINDOW] for s in starts]
+    return [text[s : s + WINDOW] for s in range(len(text) - WINDOW + 1)]
 
 
 def gram_hashes(buffer: np.ndarray) -> np.ndarray:
@@ -94,56 +99,60 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class WindowIndex:
-    """The windows of one block of items, by their q-grams."""
+    """The windows of one block of items, by the q-grams of the items' pieces."""
 
-    owner: np.ndarray  # item of each window, as its place in ids
+    owner: np.ndarray  # item of each piece, as its place in ids
     ids: list[int]
-    texts: list[bytes]
+    texts: list[bytes]  # the pieces
 
     def __post_init__(self):
-        sizes = np.array([len(t) for t in self.texts], np.int64)
-        self.size, self.edits = sizes, sizes // CHARS_PER_EDIT
-        self.bound = sizes - Q + 1 - Q * self.edits
+        lengths = np.array([len(t) for t in self.texts], np.int64)
+        self.first = np.cumsum(lengths) - lengths  # of each piece: its place in chars
+        self.chars = np.frombuffer(b"".join(self.texts) + b"\0" * WINDOW, np.uint8)
+        self.size = np.minimum(lengths, WINDOW)  # of a window of the piece
+        self.edits = self.size // CHARS_PER_EDIT
+        self.last = lengths - self.size  # where the last window of the piece begins
+        self.bound = self.size - Q + 1 - Q * self.edits
         self.step = np.maximum(8, self.edits + 1)  # bands are two steps wide
-        hashes, window, at = [], [], []
-        for w, text in enumerate(self.texts):
+        hashes, piece, at = [], [], []
+        for k, text in enumerate(self.texts):
             own = gram_hashes(np.frombuffer(text, np.uint8))
             hashes.append(own)
-            window.append(np.full(len(own), w))
+            piece.append(np.full(len(own), k))
             at.append(np.arange(len(own)))
         grams = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(grams, kind="stable")
-        self.window = np.concatenate(window)[order] if window else np.empty(0, np.int64)
+        self.piece = np.concatenate(piece)[order] if piece else np.empty(0, np.int64)
         self.at = np.concatenate(at)[order] if at else np.empty(0, np.int64)
         self.grams, rank = np.unique(grams[order], return_inverse=True)
-        self.entry = rank * len(self.texts) + self.window  # ascending: by q-gram, then window
+        self.entry = rank * len(self.texts) + self.piece  # ascending: by q-gram, then piece
         self.bitmap = np.zeros(1 << BITMAP_BITS, bool)
         self.bitmap[_slot(self.grams)] = True
 
-    def candidates(self, buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, window, first diagonal) of the bands that reach the bound.
+    def candidates(self, buffer: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(document, piece, first diagonal, first and last window) of stretches of windows
+        that reach the bound.
 
         ``starts``: where each document begins in ``buffer``.
         """
         hashes = gram_hashes(buffer)
         place = np.nonzero(self.bitmap[_slot(hashes)])[0]
-        none = (np.empty(0, np.int64),) * 3
         if not len(place) or not len(self.grams):
-            return none
+            return
         found = np.minimum(np.searchsorted(self.grams, hashes[place]), len(self.grams) - 1)
         real = self.grams[found] == hashes[place]
         place, found = place[real], found[real]
         doc = np.searchsorted(starts, place, side="right") - 1
-        parts = list(self._bands(doc, place - starts[doc], found, 0, len(self.texts)))
-        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else none
+        yield from self._bands(doc, place - starts[doc], found, 0, len(self.texts))
 
     def _bands(
         self, doc: np.ndarray, place: np.ndarray, gram: np.ndarray, low: int, high: int
-    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """``candidates`` of the q-grams at ``place`` of ``doc`` among the windows low to high.
+    ) -> Iterator[tuple[np.ndarray, ...]]:
+        """``candidates`` of the q-grams at ``place`` of ``doc`` among the pieces low to high.
 
-        A q-gram that many windows have makes many hits. Beyond ``HITS_AT_ONCE`` the documents
-        are halved, then the windows; a band has one document and one window, so none is cut.
+        A q-gram that many items have makes many hits. Beyond ``HITS_AT_ONCE`` the documents
+        are halved, then the pieces, then the places of the document, in halves that share
+        ``REACH`` places: no stretch is longer, so each is whole in one half.
         """
         first = np.searchsorted(self.entry, gram * len(self.texts) + low)
         n = np.searchsorted(self.entry, gram * len(self.texts) + high) - first
@@ -160,67 +169,86 @@ class WindowIndex:
             yield from self._bands(doc, place, gram, low, middle)
             yield from self._bands(doc, place, gram, middle, high)
             return
+        if total > HITS_AT_ONCE and place[-1] - place[0] > 4 * REACH:
+            middle = (place[0] + place[-1]) // 2
+            for part in (place <= middle + REACH, place > middle):
+                yield from self._bands(doc[part], place[part], gram[part], low, high)
+            return
         hit = np.repeat(first, n) + np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-        doc, window = np.repeat(doc, n), self.window[hit]
-        # A diagonal is the place in the document less the place in the window.
-        band = (np.repeat(place, n) - self.at[hit]) // self.step[window]
+        doc, piece, at = np.repeat(doc, n), self.piece[hit], self.at[hit]
+        # A diagonal is the place in the document less the place in the piece.
+        band = (np.repeat(place, n) - at) // self.step[piece]
         least = int(band.min()) - 1
         span = int(band.max()) - least + 1
         if (int(doc[-1]) + 1) * len(self.texts) * span >= 1 << 62:
             raise OverflowError("too many bands in one piece; lower CHARS_AT_ONCE or BLOCK_CHARS")
         # Band b has the diagonals of steps b and b + 1; each q-gram is in two bands.
-        one = (doc * len(self.texts) + window) * span - least
-        keys, counts = np.unique(np.concatenate([one + band, one + band - 1]), return_counts=True)
-        pair, band = keys // span, keys % span + least
-        window = pair % len(self.texts)
-        enough = counts >= self.bound[window]
-        yield (pair // len(self.texts))[enough], window[enough], (band * self.step[window])[enough]
-
-    def matches(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Verified (document, window, edits, end of the stretch in the document)."""
-        doc, window, diagonal = self.candidates(buffer, starts)
-        out = []
-        for i in range(0, len(doc), PAIRS_AT_ONCE):
-            part = slice(i, i + PAIRS_AT_ONCE)
-            edits, end = self._align(buffer, starts, sizes, doc[part], window[part], diagonal[part])
-            good = edits <= self.edits[window[part]]
-            out += zip(doc[part][good].tolist(), window[part][good].tolist(), edits[good].tolist(), end[good].tolist())
-        return out
-
-    def _align(self, buffer, starts, sizes, doc, window, diagonal):
-        """Fewest edits of each whole window within its band, for all pairs at once.
-
-        Column c of row i stands for the place i + diagonal - slack + c of the document.
+        one = (doc * len(self.texts) + piece) * span - least
+        keys = np.concatenate([one + band, one + band - 1])
+        _, group, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        enough = np.nonzero(counts[group] >= np.tile(self.bound[piece], 2))[0]
+        keys, at = keys[enough], at[enough % total]
+        order = np.lexsort((at, keys))
+        keys, at = keys[order], at[order]
+        piece = keys // span % len(self.texts)
+        # A window has the bound's number of q-grams if so many in a row fit in it.
+        end = np.arange(len(keys)) + self.bound[piece] - 1
+        there = np.minimum(end, len(keys) - 1)
+        reach = self.size[piece] - Q
+        fits = (end == there) & (keys[there] == keys) & (at[there] - at <= reach)
+        first, last = np.maximum(0, at[there] - reach)[fits], np.minimum(at, self.last[piece])[fits]
+        keys, piece = keys[fits], piece[fits]
+        doc, diagonal = keys // span // len(self.texts), (keys % span + least) * self.step[piece]
+        # Both ends ascend within a band, so a window is left out if one before has had it.
+        again = np.concatenate([[False], keys[1:] == keys[:-1]]) if len(keys) else np.empty(0, bool)
+        first = np.where(again, np.maximum(first, np.concatenate([[0], last[:-1] + 1])[: len(last)]), first)
+        some = first <= last
+        yield doc[some], piece[some], diagonal[some], first[some], last[some]
+
+    def matches(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Verified (document, piece, place of the window in the piece, edits)."""
+        for doc, piece, diagonal, first, last in self.candidates(buffer, starts):
+            ends = np.cumsum(last - first + 1)
+            for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS_AT_ONCE):
+                pair = np.arange(low, min(low + PAIRS_AT_ONCE, int(ends[-1])))
+                k = np.searchsorted(ends, pair, side="right")
+                at = last[k] - (ends[k] - 1 - pair)
+                edits = self._align(buffer, starts[doc[k]], sizes[doc[k]], piece[k], at, diagonal[k])
+                good = edits <= self.edits[piece[k]]
+                yield doc[k][good], piece[k][good], at[good], edits[good]
+
+    def _align(self, buffer, starts, limit, piece, at, diagonal):
+        """Fewest edits between each whole window and any stretch near its band.
+
+        Myers' algorithm: bit i of the words stands for character i of the window, and one
+        step takes one character of the document for all pairs.
         """
-        slack = int(self.edits[window].max(initial=0))
-        width = 2 * int(self.step[window].max(initial=1)) + 2 * slack
-        rows = int(self.size[window].max(initial=0))
-        texts = np.zeros((len(doc), rows), np.uint8)
-        for k, w in enumerate(window):
-            texts[k, : self.size[w]] = np.frombuffer(self.texts[w], np.uint8)
-        columns = np.arange(width)
-        far = np.int64(1 << 20)
-        base = diagonal - slack
-        limit = sizes[doc]
-        inside = (base[:, None] + columns >= 0) & (base[:, None] + columns <= limit[:, None])
-        cost = np.where(inside, 0, far)  # a stretch may begin anywhere
-        last = np.full((len(doc), width), far)
-        for i in range(1, rows + 1):
-            at = base[:, None] + i + columns  # characters of the document used
-            inside = (at >= 0) & (at <= limit[:, None])
-            known = (at >= 1) & (at <= limit[:, None])
-            char = buffer[np.clip(starts[doc][:, None] + at - 1, 0, len(buffer) - 1)]
-            same = known & (char == texts[:, i - 1 : i])
-            step = np.where(known, cost + ~same, far)  # both move on: same diagonal
-            step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)  # the window alone moves on
-            step = np.where(inside, step, far)
-            # The document alone moves on: along the row, one edit a column.
-            step = np.minimum.accumulate(step - columns, axis=1) + columns
-            cost = np.where(inside, np.minimum(step, far), far)
-            ends = self.size[window] == i
-            last[ends] = cost[ends]
-        best = last.min(axis=1)
-        return best, base + self.size[window] + last.argmin(axis=1)
+        pairs = np.arange(len(piece))
+        masks = np.zeros((len(piece), 256), np.uint64)
+        for i in range(int(self.size[piece].max(initial=0))):
+            inside = pairs[i < self.size[piece]]
+            masks[inside, self.chars[(self.first[piece] + at + i)[inside]]] |= np.uint64(1 << i)
+        one = np.uint64(1)
+        top = (self.size[piece] - 1).astype(np.uint64)
+        cost = self.size[piece].copy()
+        best = cost.copy()
+        up, down = np.full(len(piece), ~np.uint64(0)), np.zeros(len(piece), np.uint64)
+        slack = int(self.edits[piece].max(initial=0))
+        low = diagonal + at - slack
+        length = int((self.size[piece] + 2 * self.step[piece]).max(initial=0)) + 2 * slack
+        for i in range(length):
+            place = low + i
+            inside = (place >= 0) & (place < limit)
+            char = np.where(inside, buffer[np.where(inside, starts + place, 0)], 0)  # no window has a zero
+            same = masks[pairs, char]
+            vertical = same | down
+            flat = (((same & up) + up) ^ up) | same
+            more, less = down | ~(flat | up), up & flat
+            cost += ((more >> top) & one).astype(np.int64) - ((less >> top) & one).astype(np.int64)
+            np.minimum(best, cost, out=best)
+            more, less = more << one, less << one  # a stretch may begin anywhere
+            up, down = less | ~(vertical | more), more & vertical
+        return best
 
 
 MATCHES = T.ArrayType(
@@ -252,8 +280,13 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 
 
 def _index(block: list[tuple[int, bytes]]) -> WindowIndex:
-    cut = [(i, w) for i, (_, text) in enumerate(block) for w in windows(text)]
-    return WindowIndex(np.array([i for i, _ in cut], np.int64), [item for item, _ in block], [w for _, w in cut])
+    cut = [
+        (i, text[s : s + PIECE + WINDOW - 1])
+        for i, (_, text) in enumerate(block)
+        if len(text) >= LEAST_CHARS
+        for s in range(0, max(1, len(text) - WINDOW + 1), PIECE)
+    ]
+    return WindowIndex(np.array([i for i, _ in cut], np.int64), [item for item, _ in block], [t for _, t in cut])
 
 
 def mark_leaks(
@@ -313,8 +346,10 @@ def _collect(index: WindowIndex, texts: list[bytes], found: list[dict]) -> None:
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
     buffer = np.frombuffer(b"\0".join(texts) + b"\0" * (Q + 8), np.uint8)  # no normal form has a zero
-    for doc, window, edits, _ in index.matches(buffer, starts, sizes):
-        item = index.ids[index.owner[window]]
-        seen, fewest = found[doc].get(item, (set(), edits))
-        seen.add(window)
-        found[doc][item] = (seen, min(edits, fewest))
+    for docs, pieces, ats, edits in index.matches(buffer, starts, sizes):
+        windows_ = (index.first[pieces] + ats).tolist()
+        for doc, owner, window, n in zip(docs.tolist(), index.owner[pieces].tolist(), windows_, edits.tolist()):
+            item = index.ids[owner]
+            seen, fewest = found[doc].get(item, (set(), n))
+            seen.add(window)
+            found[doc][item] = (seen, min(n, fewest))
