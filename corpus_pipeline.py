@@ -26,6 +26,8 @@ def _only(docs: DataFrame, columns: list[str]) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and those whose main language has under a third of the letters.
 
+    Letters in scripts or stretches that fit no learned language count for none.
+
     Learns from all rows that have a language. If none has, nothing can be judged and only
     texts without letters go.
     """

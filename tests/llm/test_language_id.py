@@ -77,3 +77,64 @@ def test_lang_source_and_id_are_not_inputs(spark):
 def test_more_languages_than_allowed_are_refused(spark):
     docs = spark.createDataFrame([(f"l{i}", "".join(map(chr, range(97 + i, 120)))) for i in range(3)], "lang string, text string")
     assert len(li.train(docs, max_languages=3).languages) == 3
+
+
+FOREIGN = {
+    "it": "la casa e il giardino erano tranquilli la mattina quando camminavano verso il fiume con i loro amici",
+    "pl": "dom i ogród były ciche rano kiedy szli nad rzekę ze swoimi przyjaciółmi i rozmawiali o pogodzie",
+    "zh": "房子和花园早上很安静他们和朋友们一起走到河边",
+    "ka": "სახლი და ბაღი დილით მშვიდი იყო",
+}
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """Learned from the prose of sf0.1, in four languages of Latin script."""
+    return li.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def test_what_fits_no_learned_language_is_undetermined(large):
+    for text in FOREIGN.values():
+        lang, score, spans = li.label(large, [text])[0]
+        assert score < 0.1 and spans[-1][2] == "und", text  # "la" is Spanish too
+        if any(ord(c) > 0x1000 for c in text):
+            assert (lang, score, {x for _, _, x in spans}) == ("und", 0.0, {"und"})
+
+
+def test_a_language_that_was_left_out_is_undetermined(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for left_out in ("de", "en", "es", "fr"):
+        texts = [r.text for r in docs.where(f"lang = '{left_out}' and length(text) >= 50").orderBy("doc_id").limit(400).collect()]
+        found = li.label(li.train(docs.where(f"lang <> '{left_out}'")), texts)
+        assert sum(lang == "und" or score < 1 / 3 for lang, score, _ in found) >= 0.99 * len(texts), left_out
+
+
+def test_only_fitting_letters_of_mixed_text_count(spark, large):
+    en = next(r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en' and length(text) between 400 and 500 and not text rlike '[^a-zA-Z ,.]'").orderBy("doc_id").collect())
+    for text in FOREIGN.values():
+        mixed = f"{en} {text}"
+        lang, score, spans = li.label(large, [mixed])[0]
+        own, foreign = (sum(map(str.isalpha, t)) for t in (en, text))
+        assert lang == "en" and score == pytest.approx(own / (own + foreign), abs=0.05)
+        assert spans[0][2] == "en" and spans[-1][2] == "und"
+
+
+def test_short_clean_texts_stay(spark, large):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) between 400 and 600 and not text rlike '[0-9]'").orderBy("doc_id").limit(300).collect()
+    words = [" ".join(r.text.split()[k : k + n]) for r in rows for k in (0, 20) for n in (1, 3, 8)]
+    words = [w for w in words if any(map(str.isalpha, w))]
+    found = li.label(large, words)
+    assert sum(lang != "und" and score >= 1 / 3 for lang, score, _ in found) >= 0.995 * len(words)
+
+
+def test_stretches_that_fit_nothing_against_all_labellings():
+    rng = np.random.default_rng(3)
+    seen = set()
+    for _ in range(300):
+        above = rng.normal(0, 4, rng.integers(1, 8))
+        cost = lambda p: above[~np.array(p)].sum() - 5.0 * (p[0] + sum(a != b for a, b in zip(p, p[1:])))  # noqa: B023, E731
+        best = max(itertools.product((False, True), repeat=len(above)), key=cost)
+        found = li.unfit(above, 5.0)
+        assert cost(tuple(found.tolist())) == pytest.approx(cost(best))
+        seen.add(bool(found.any()))
+    assert seen == {False, True}

@@ -89,3 +89,17 @@ def test_a_corpus_without_languages_keeps_what_has_letters(spark, write_tables):
     sf = write_tables(documents=[(1, "letters", None, "a", 7), (2, "12", None, "a", 2)])
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, sf).collect()] == [1]
+
+
+def test_foreign_scripts_and_unlearned_languages_are_rejected_and_short_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    more = [
+        (-1, "房子和花园早上很安静他们和朋友们一起走到河边"),
+        (-2, "dom i ogród były ciche rano kiedy szli nad rzekę ze swoimi przyjaciółmi i rozmawiali o pogodzie"),
+        (-3, "the and"),
+        (-4, "der die das"),
+    ]
+    odd = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in more], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(odd), "").select("doc_id").collect()}
+    assert {i for i in kept if i < 0} == {-3, -4}
+    assert len(kept) >= 0.99 * docs.count()

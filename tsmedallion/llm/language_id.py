@@ -8,13 +8,23 @@ only thing that reaches the driver.
 A word is a run of letters. The script of its letters, found by code point range, narrows
 the languages that it can be in; each of these scores the word by its trigrams. The best
 labelling of a text's words, where a change of language costs ``SWITCH``, is found by the
-Viterbi algorithm and gives the spans. The text's language is the one with most letters,
-and its score their share.
+Viterbi algorithm and gives the spans.
+
+The best language need not fit. A text of a language has, a letter, about the mean log
+probability of its trigrams that the training texts reach when each letter is scored by all
+others (exact from the counts). Half a standard deviation below it is the floor. No letter
+counts for less than chance among all buckets, so a few rare trigrams weigh little. A stretch
+of words whose letters stay below the floor of their language by over ``SWITCH`` in all is
+``und``; so a short text is not barred by chance, and a longer one in a language never learned
+is. Letters in a script that the language is not written in count for none.
+
+The text's language is the one with most fitting letters, and its score their share of all.
 
 Texts are independent, so prediction has no shuffle; columns are passed through.
 
 * A null text, or one without letters, is ``und`` with score 0 and no spans; so is every
-  text if nothing could be learned. A text in unknown scripts only is scored by all languages.
+  text if nothing could be learned. A text of which nothing fits, such as one in unknown
+  scripts only, is ``und`` with score 0, and its spans are ``und``.
 * Ties go to the better total score, then to the first language by code point.
 * Null languages are not learned from. Repeated rows count as often as they are given.
 """
@@ -36,6 +46,8 @@ from tsmedallion.llm.common import appended, runs, strings, with_columns
 BUCKETS = 1 << 15
 SMOOTHING = 0.2
 SWITCH = 24.0
+FLOOR_DEVIATIONS = 0.5
+CHANCE = -float(np.log(BUCKETS))
 LEAST_SHARE = 0.01
 BARRED = -1e6
 MAX_LANGUAGES = 1_000
@@ -141,16 +153,30 @@ class Model:
     languages: list[str]
     trigrams: np.ndarray  # (bucket, language): log probability
     allowed: np.ndarray  # (script, language): whether the language is written in it
+    floor: np.ndarray | None = None  # (language): log probability a letter of text that fits
 
     def word_scores(self, words: Words) -> np.ndarray:
         """(word, language); languages that a word's scripts rule out are barred."""
-        out = np.add.reduceat(self.trigrams[words.trigrams], words.first, axis=0)
         known = self.allowed.any(axis=1)
+        scores = self.trigrams[words.trigrams]
+        foreign = ~known[words.script]
+        if foreign.any():
+            scores[foreign] = 0  # chance would choose
+        out = np.add.reduceat(scores, words.first, axis=0)
         bar = np.where(~self.allowed & known[:, None], BARRED, 0.0)
         if bar.any():
             out += np.add.reduceat(bar[words.script], words.first, axis=0)
         return out
 
+    def fit(self, words: Words, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word, in its language of ``path``: letters in its scripts, and what they
+        score above the floor."""
+        lang = np.repeat(path, np.diff(np.append(words.first, len(words.trigrams))))
+        able = self.allowed[words.script, lang]
+        floor = np.full(len(self.languages), -np.inf) if self.floor is None else self.floor
+        above = np.where(able, np.maximum(self.trigrams[words.trigrams, lang], CHANCE) - floor[lang], 0.0)
+        return np.add.reduceat(able.astype(np.int64), words.first), np.add.reduceat(above, words.first)
+
 
 def train(
     docs: DataFrame,
@@ -196,7 +222,16 @@ def train(
     grid[found.column("cell").to_numpy(), [languages.index(n) for n in names]] = found.column("n").to_numpy()
     grams, scripts = grid[:BUCKETS] + SMOOTHING, grid[BUCKETS:]
     share = scripts / np.maximum(1, scripts.sum(axis=0))
-    return Model(languages, np.log(grams / grams.sum(axis=0)), share >= LEAST_SHARE)
+    return Model(languages, np.log(grams / grams.sum(axis=0)), share >= LEAST_SHARE, _floor(grid[:BUCKETS]))
+
+
+def _floor(counts: np.ndarray) -> np.ndarray:
+    """The log probability a letter, by language, that text must reach to fit."""
+    letters = np.maximum(1, counts.sum(axis=0))
+    others = np.log((np.maximum(counts - 1, 0) + SMOOTHING) / (letters - 1 + SMOOTHING * BUCKETS))
+    others = np.maximum(others, CHANCE)
+    mean = (counts * others).sum(axis=0) / letters
+    return mean - FLOOR_DEVIATIONS * np.sqrt((counts * (others - mean) ** 2).sum(axis=0) / letters)
 
 
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -229,6 +264,20 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     return path
 
 
+def unfit(above: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """Whether each word of a text is in a stretch that fits no language.
+
+    ``above``: what the words score above the floor. To begin in, enter and leave such a
+    stretch costs ``switch`` each.
+    """
+    gain = np.cumsum(above)
+    if (np.maximum.accumulate(np.append(0.0, gain[:-1])) - gain).max() <= switch:
+        return np.zeros(len(above), bool)
+    scores = np.column_stack([above, np.zeros(len(above))])
+    scores[0, 1] -= switch
+    return viterbi(scores, switch) == 1
+
+
 def label(model: Model, texts: list[str], switch: float = SWITCH) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
     """Of each text: language, score, and spans (first word, end, language)."""
     out = [(UNDETERMINED, 0.0, [])] * len(texts)
@@ -238,14 +287,20 @@ def label(model: Model, texts: list[str], switch: float = SWITCH) -> list[tuple[
     scores = model.word_scores(words)
     letters = np.diff(np.append(words.first, len(words.trigrams)))
     cuts = np.append(np.nonzero(np.diff(words.text, prepend=-1))[0], len(words.text))
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        own = scores[low:high]
-        path = viterbi(own, switch)
-        share = np.bincount(path, letters[low:high], len(model.languages))
-        best = max(range(len(model.languages)), key=lambda k: (share[k], own[:, k].sum(), -k))
-        turn = np.append(np.nonzero(np.diff(path, prepend=-1))[0], len(path))
-        spans = [(int(a), int(b), model.languages[path[a]]) for a, b in zip(turn[:-1], turn[1:])]
-        out[words.text[low]] = (model.languages[best], float(share[best] / share.sum()), spans)
+    texts_ = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    path = np.concatenate([viterbi(scores[low:high], switch) for low, high in texts_])
+    able, above = model.fit(words, path)
+    names = [*model.languages, UNDETERMINED]
+    none = len(model.languages)
+    for low, high in texts_:
+        fits = able[low:high] * ~unfit(above[low:high])
+        share = np.bincount(path[low:high], fits, none)
+        best = max(range(none), key=lambda k: (share[k], scores[low:high, k].sum(), -k))
+        own = np.where(fits > 0, path[low:high], none)
+        turn = np.append(np.nonzero(np.diff(own, prepend=-1))[0], len(own))
+        spans = [(int(a), int(b), names[own[a]]) for a, b in zip(turn[:-1], turn[1:])]
+        lang = names[best] if share[best] else UNDETERMINED
+        out[words.text[low]] = (lang, float(share[best] / letters[low:high].sum()), spans)
     return out
 
 
