@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 
-from tsmedallion.llm.hamming_search import hamming_top_k
+import pytest
+from pyspark.sql import functions as F
+
+from tsmedallion.llm.hamming_search import hamming_top_k, sign_code
 
 MASK = (1 << 64) - 1
 
@@ -39,3 +42,10 @@ def test_fewer_rows_than_asked_for_and_far_codes(spark):
     check(spark, [(1, 0), (2, MASK), (3, 5)], [(1, 0)], 10)
     check(spark, [(1, 0)], [(1, 0)], 4)
     check(spark, [(1, 0), (2, 3)], [(9, 1), (1, 0)], 1)
+
+
+def test_vectors_longer_than_the_code_are_refused(spark):
+    code = lambda n: spark.createDataFrame([([1.0] * n,), (None,)], "v array<double>").select(sign_code(F.col("v"))).collect()
+    assert [r[0] for r in code(64)] == [-1, None] and [r[0] for r in code(3)] == [7, None]
+    with pytest.raises(Exception, match="vector of 65"):
+        code(65)

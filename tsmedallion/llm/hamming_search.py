@@ -37,7 +37,10 @@ QUERIES_PER_BLOCK = 2_048
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
-    """One bit per dimension, set where it is above zero, as a long."""
+    """One bit per dimension, set where it is above zero, as a long.
+
+    A vector of more dimensions than ``bits`` is an error, as its code would be that of a prefix.
+    """
     if not 1 <= bits <= BITS:
         raise ValueError(f"a code has 1 to {BITS} bits, not {bits}")
     code = F.lit(0).cast("long")
@@ -45,7 +48,8 @@ def sign_code(vector: Column, bits: int = BITS) -> Column:
         value = F.get(vector, F.lit(i))
         above = (value > 0) & ~F.isnan(value)
         code = code.bitwiseOR(F.when(above, F.lit(np.int64(np.uint64(1 << i).view(np.int64)).item())).otherwise(F.lit(0).cast("long")))
-    return F.when(vector.isNotNull(), code)
+    error = F.raise_error(F.concat(F.lit(f"a code of {bits} bits cannot hold a vector of "), F.size(vector).cast("string")))
+    return F.when(F.size(vector) > bits, error.cast("long")).when(vector.isNotNull(), code)
 
 
 @lru_cache(maxsize=None)
