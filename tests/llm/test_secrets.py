@@ -81,3 +81,13 @@ def test_only_unseen_pairs_of_blob_and_rule_are_scanned(spark, tmp_path):
     before = appended().count()
     again = scan(frame(one), ledger, changed).collect()
     assert appended().count() == before and sorted(again) == sorted(rows)
+
+
+def test_logins_of_any_length_are_found():
+    from tsmedallion.llm import secrets
+
+    (rule,) = (r for r in secrets.RULES if r.name.startswith("url_login") or r.kind == "url_login")
+    for user, word in ((1, 1), (64, 128), (65, 5), (5, 129), (9_000, 70_000)):
+        login = "://" + "u" * user + ":" + "p" * word + "@"
+        assert secrets.find(rule, f"see https{login}host/ and http://a.b/c:d@e") == [(9, 9 + len(login))]
+    assert secrets.find(rule, "://" + "u" * 300_000 + " ://a:" + "p" * 300_000) == []

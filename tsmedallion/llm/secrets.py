@@ -69,7 +69,7 @@ MORE = (
         version=2,
     ),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{1,128}@"),
+    Rule("url_login", r"://[^\s/:@]++:[^\s/:@]++@", version=2),
 )
 RULES = BASE + MORE
 SPANS = "array<struct<rule:string,start:int,end:int>>"
