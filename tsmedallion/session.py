@@ -72,15 +72,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Cuts the lineage like a checkpoint, but stays columnar, so later reads
-    prune columns, and survives the loss of any executor.
+    prune columns, and survives the loss of any executor. With ``partition_by``
+    each value of these columns has a folder of its own, which a filter prunes.
     """
     path = scratch_path(df.sparkSession, name)
     written = _scope.get()
     if written is not None:
         written.append(path)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
