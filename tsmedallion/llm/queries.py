@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tsmedallion.llm import (
+    alignment,
     decontaminate,
     hamming_search,
     language_id,
@@ -24,6 +25,7 @@ from tsmedallion.llm.common import table
 from tsmedallion.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 NEIGHBOURS = 10
 QUERY_STEP = 20
 
@@ -157,6 +159,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, VOCABULARY).documents
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
