@@ -18,13 +18,16 @@ of words whose letters stay below the floor of their language by over ``SWITCH``
 ``und``; so a short text is not barred by chance, and a longer one in a language never learned
 is. Letters in a script that the language is not written in count for none.
 
-The text's language is the one with most fitting letters, and its score their share of all.
+The text's language is the learned one with most fitting letters, and its score their share of
+all. So a text in a language never learned has a low score; whoever calls decides what to reject.
 
-Texts are independent, so prediction has no shuffle; columns are passed through.
+Texts are independent, so prediction has no shuffle; columns are passed through. A task scores
+``CELLS_AT_ONCE`` letters x languages at once, so memory does not grow with their product; of a long
+text it holds the scores of its words.
 
 * A null text, or one without letters, is ``und`` with score 0 and no spans; so is every
-  text if nothing could be learned. A text of which nothing fits, such as one in unknown
-  scripts only, is ``und`` with score 0, and its spans are ``und``.
+  text if nothing could be learned. A text with a letter always has a learned language. If
+  nothing of it fits, as in unknown scripts, its score is 0 and its spans are ``und``.
 * Ties go to the better total score, then to the first language by code point.
 * Null languages are not learned from. Repeated rows count as often as they are given.
 """
@@ -52,6 +55,7 @@ LEAST_SHARE = 0.01
 BARRED = -1e6
 MAX_LANGUAGES = 1_000
 CHARS_AT_ONCE = 1 << 19
+CELLS_AT_ONCE = 1 << 21
 UNDETERMINED = "und"
 
 # First code points of script ranges (Unicode blocks), and their scripts.
@@ -158,14 +162,18 @@ class Model:
     def word_scores(self, words: Words) -> np.ndarray:
         """(word, language); languages that a word's scripts rule out are barred."""
         known = self.allowed.any(axis=1)
-        scores = self.trigrams[words.trigrams]
-        foreign = ~known[words.script]
-        if foreign.any():
-            scores[foreign] = 0  # chance would choose
-        out = np.add.reduceat(scores, words.first, axis=0)
         bar = np.where(~self.allowed & known[:, None], BARRED, 0.0)
-        if bar.any():
-            out += np.add.reduceat(bar[words.script], words.first, axis=0)
+        ends = np.append(words.first[1:], len(words.trigrams))
+        out = np.empty((len(words.first), len(self.languages)))
+        for low, high in runs(ends - words.first, max(1, CELLS_AT_ONCE // len(self.languages))):
+            letters, first = slice(words.first[low], ends[high - 1]), words.first[low:high] - words.first[low]
+            scores, script = self.trigrams[words.trigrams[letters]], words.script[letters]
+            foreign = ~known[script]
+            if foreign.any():
+                scores[foreign] = 0  # chance would choose
+            out[low:high] = np.add.reduceat(scores, first, axis=0)
+            if bar.any():
+                out[low:high] += np.add.reduceat(bar[script], first, axis=0)
         return out
 
     def fit(self, words: Words, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -299,8 +307,7 @@ def label(model: Model, texts: list[str], switch: float = SWITCH) -> list[tuple[
         own = np.where(fits > 0, path[low:high], none)
         turn = np.append(np.nonzero(np.diff(own, prepend=-1))[0], len(own))
         spans = [(int(a), int(b), names[own[a]]) for a, b in zip(turn[:-1], turn[1:])]
-        lang = names[best] if share[best] else UNDETERMINED
-        out[words.text[low]] = (lang, float(share[best] / letters[low:high].sum()), spans)
+        out[words.text[low]] = (names[best], float(share[best] / letters[low:high].sum()), spans)
     return out
 
 
