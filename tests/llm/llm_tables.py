@@ -6,4 +6,5 @@ SCHEMAS = {
     "embeddings": "vec_id long, embedding array<float>, label int",
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
 }

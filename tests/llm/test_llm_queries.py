@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
-from llm_tables import DOCUMENTS
+from llm_tables import DOCUMENTS, SCHEMAS
 from tsmedallion.llm.oracle import SQL
 from tsmedallion.llm.queries import REGISTRY
 
@@ -32,13 +32,13 @@ CLASHES = (
     "id fp key comp root head u v m size n rate z copies salt total target score keep lang_pred lang_spans leaks host_key "
     "boilerplate_lines kept_lines dropped mix_size mix_source_size mix_target mix_copies mix_key mix_salt mix_tie mix_n mix_of "
     "mix_place mix_copy id_key hash_key place blob spans path holder todo text_hash page line host view y n_dropped text_md5 "
-    "n_words n_base n_bytes n_tokens base accepted fingerprint component_id taken held_out item_id windows edits"
+    "n_words n_base n_bytes n_tokens base accepted fingerprint component_id taken held_out item_id windows edits item term pack seq closes attends tokens position digest kind run radix blocks conv_id turn role path_of"
 ).split()
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in REGISTRY if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in REGISTRY
+    assert numbers == list(range(1, 14)) and "pipeline" in REGISTRY
     assert set(REGISTRY) <= set(contract.queries())
 
 
@@ -56,7 +56,10 @@ def odd_tables(spark, write_tables):
     vectors = [(20, [0.5] * 64, 1), (20, [0.5] * 64, 1), (21, None, None), (22, [None, -1.0], 2), (None, [1.0] * 64, 3), (40, [-0.5] * 64, 0)]
     bench = [(1, None), (None, "x" * 90), (2, ""), (3, "too short"), (4, "the long text goes on and on " * 3)]
     labels = [(5, 1, 0), (7, 0, 1), (None, 1, 0), (4, None, None), (5, 0, 0)]
-    return write_tables(documents=docs, embeddings=vectors, benchmark=bench, labels=labels)
+    turns = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, ""), (None, 3, "assistant", "x"), (2, 0, "assistant", LONG)]
+    turns = spark.createDataFrame(turns, SCHEMAS["conversations"])
+    turns = turns.withColumns({c: F.lit(f"own {c}") for c in CLASHES if c not in turns.columns})
+    return write_tables(documents=docs, embeddings=vectors, benchmark=bench, labels=labels, conversations=turns)
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
@@ -67,6 +70,10 @@ def test_nulls_repeats_long_texts_and_clashing_names(spark, odd_tables, name):
         assert found == [(20, 1, 22, 64), (20, 2, 40, 64), (40, 1, 22, 0), (40, 2, 20, 64)]
     elif name == "op9_decontamination":
         assert {r.doc_id for r in rows} == {5}
+    elif name == "op11_lexical_search":
+        assert sorted((r.item_id, r.rank, r.doc_id) for r in rows) == [(4, 1, 5), (4, 2, 7), (4, 3, None)]
+    elif name == "op12_chat_trees":
+        assert {r.conv_id: (r.n_turns, r.loss_chars) for r in rows} == {1: (3, 0), None: (1, 1), 2: (1, len(LONG)), -7: (2, 26)}
     elif name == "pipeline":
         assert {r.doc_id for r in rows} <= {4, 7, 8, 9, None} and all(r.fp == "own fp" for r in rows)
     else:
@@ -75,7 +82,8 @@ def test_nulls_repeats_long_texts_and_clashing_names(spark, odd_tables, name):
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_empty_tables_give_empty_results(spark, write_tables, name):
-    assert REGISTRY[name](spark, write_tables()).collect() == []
+    rows = REGISTRY[name](spark, write_tables()).collect()
+    assert [r.conv_id for r in rows] == [-7] if name == "op12_chat_trees" else rows == []
 
 
 def test_rest_imports_without_the_subpackage(tmp_path):

@@ -49,6 +49,64 @@ SQL = {
         SELECT p.doc_id, coalesce(j.n_dropped, 0) AS n_dropped, md5(j.text) AS text_md5
         FROM page p LEFT JOIN joined j ON p.doc_id = j.doc_id
     """,
+    "op11_lexical_search": r"""
+        WITH doc AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), item AS (
+            SELECT row_number() OVER () AS q, item_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), total AS (
+            SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc
+        ), tf AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM doc) GROUP BY r, term
+        ), df AS (
+            SELECT term, count(*) AS df FROM tf GROUP BY term
+        ), asked AS (
+            SELECT q, term, count(*) AS n FROM (SELECT q, unnest(terms) AS term FROM item) GROUP BY q, term
+        ), scored AS (
+            SELECT a.q, t.r,
+                   sum(a.n * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+                       * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.terms) * n_docs) // n_terms))))::BIGINT AS score
+            FROM asked a JOIN tf t ON a.term = t.term JOIN df ON df.term = t.term JOIN doc d ON d.r = t.r CROSS JOIN total
+            GROUP BY a.q, t.r
+        ), ranked AS (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY s.q ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+            FROM scored s JOIN doc d ON d.r = s.r JOIN item i ON i.q = s.q WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op12_chat_trees": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+            UNION ALL
+            SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'
+        ), written AS (
+            SELECT conv_id, turn, role, text,
+                   length(text) + length(text) - length(replace(text, chr(92), ''))
+                       + (length(text) - length(replace(text, '</turn>', ''))) // 7
+                       + coalesce(list_sum([length(h) - 2 for h in regexp_extract_all(text, '#{3,}')]), 0)
+                   + length(role) + length(role) - length(replace(role, chr(92), ''))
+                       + length(role) - length(replace(role, ':', ''))
+                       + (length(role) - length(replace(role, '</turn>', ''))) // 7
+                       + coalesce(list_sum([length(h) - 2 for h in regexp_extract_all(role, '#{3,}')]), 0)
+                   + length('### : </turn>') + 1 AS chars
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars
+        FROM written GROUP BY conv_id
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tsmedallion.llm import (
     alignment,
+    chat_trees,
     decontaminate,
     hamming_search,
     language_id,
+    lexical_search,
     license_scan,
     line_dedup,
     mixing,
@@ -26,6 +28,9 @@ from tsmedallion.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Texts that hold the marks of the template themselves.
+PROBE = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
 NEIGHBOURS = 10
 QUERY_STEP = 20
 
@@ -159,6 +164,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), NEIGHBOURS)
+
+
+@query
+def op12_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, turns.schema)
+    packs = chat_trees.pack_conversations(turns.unionByName(probe), RANKS)
+    return chat_trees.read_back(packs, RANKS)
+
+
 @query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, VOCABULARY).documents
