@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tsmedallion import __main__ as command_line
 from tsmedallion import session
 from tsmedallion.operators import marts, quality, silver
-from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily
+from tsmedallion.plans.daily import DailyRun, DataTestError, LandingError, run_daily
 from tsmedallion.schemas import (
     BRONZE,
     CATALOGUE,
@@ -438,3 +438,52 @@ def test_a_renamed_series_fails_the_unique_test(spark):
     ).withColumnRenamed("series_id", "indicator_id")
     report = quality.unique(names, "dim_indicators", "indicator_id")
     assert quality.failed(report) == ["unique dim_indicators.indicator_id: 1 failures"]
+
+
+# --- Quarantine -------------------------------------------------------------
+
+UNREADABLE = {
+    "UNRATE": '{"observations": [{"date": "2024-01-01", "value": "1"}',
+    "DFF": '{"observations": "none"}',
+    "UMCSENT": "<html>Bad gateway</html>",
+}
+
+
+def _land_unreadable(tmp_path, series):
+    for name in series:
+        folder = tmp_path / "landing" / "ingest_date=2024-02-01" / f"series_id={name}"
+        folder.mkdir(parents=True)
+        (folder / "doc.json").write_text(UNREADABLE[name])
+
+
+def test_unreadable_documents_are_quarantined_and_the_run_goes_on(spark, tmp_path):
+    for series in ("GDP", "CPIAUCSL"):
+        _land(str(tmp_path / "landing"), "2024-02-01", series, {"observations": [_record(m, "5") for m in _months(3)]})
+    _land(str(tmp_path / "landing"), "2024-02-01", "OTHER", {"error": "no observations"})
+    _land_unreadable(tmp_path, UNREADABLE)
+    run = _run(tmp_path, max_bad_share=0.5)
+    assert run_daily(spark, run)["audit"] == {"series_found": 2, "series_expected": 5, "total_rows": 6}
+    bad = landing.read_quarantine(spark, run.path("quarantine")).collect()
+    assert sorted((r["series_id"], r["cause"]) for r in bad) == [("DFF", "another shape"), ("UMCSENT", "no JSON"), ("UNRATE", "broken JSON")]
+    assert all(r["ingest_date"] == "2024-02-01" and r["file"].endswith(f"series_id={r['series_id']}/doc.json") for r in bad)
+    assert {r["series_id"]: r["rescued"] for r in bad} == UNREADABLE
+    # A rerun replaces the run date's quarantine, and only that.
+    landing.write_quarantine(landing.quarantined(landing.read_landed(spark, str(tmp_path / "landing"))), run.path("quarantine"))
+    assert landing.read_quarantine(spark, run.path("quarantine")).count() == 3
+
+
+def test_too_large_a_share_of_unreadable_documents_stops_the_run(spark, tmp_path):
+    _land(str(tmp_path / "landing"), "2024-02-01", "GDP", {"observations": [_record("2024-01-01", "5")]})
+    _land_unreadable(tmp_path, ["UNRATE"])
+    run = _run(tmp_path, max_bad_share=0.25)
+    with pytest.raises(LandingError, match="1 of 2"):
+        run_daily(spark, run)
+    assert landing.read_quarantine(spark, run.path("quarantine")).count() == 1
+    assert not (tmp_path / "lake" / "bronze").exists()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_daily(spark, _run(tmp_path))
+
+
+def test_no_document_is_no_bad_share(spark):
+    landed = spark.createDataFrame([], "observations array<string>, rescued string")
+    assert tuple(landing.document_counts(landed).first()) == (0, 0, 0, 0.0)

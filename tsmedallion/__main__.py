@@ -25,6 +25,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--vintages", choices=("current", "all"), default="current")
     parser.add_argument("--layout", choices=LAYOUTS, default="folders")
     parser.add_argument("--json-lines", action="store_true", help="one document per line")
+    parser.add_argument(
+        "--max-bad-share", type=float, help="share of unreadable documents to quarantine; none by default"
+    )
     parser.add_argument("--catalogue", help="parquet of the expected series")
     return parser.parse_args(argv)
 
@@ -53,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
             layout=args.layout,
             multi_line=not args.json_lines,
             catalogue=catalogue,
+            max_bad_share=args.max_bad_share,
         )
         print(json.dumps(run_daily(spark, run)))
         return 0

@@ -32,6 +32,25 @@ def _chunks(df: DataFrame) -> list[int]:
     return [min(wanted, 1 << 20)] if wanted > usual else []
 
 
+def sorted_chunks(df: DataFrame, sorting: list[Column]) -> DataFrame:
+    """``df`` in order over even chunks, with each row's ``chunk`` and its ``pos`` there.
+
+    A range exchange makes the chunks even whatever the skew, as many as the size of the input
+    asks for. Rows equal on all of ``sorting`` are told apart by a row number, so even
+    one group of copies spreads over several. The chunks are written once: their bounds
+    come from a sample, so they must not be computed twice.
+    """
+    return materialise(
+        df.withColumn("copy_no", F.monotonically_increasing_id())
+        .repartitionByRange(*_chunks(df), *sorting, "copy_no")
+        .sortWithinPartitions(*sorting)
+        .withColumn("chunk", F.spark_partition_id())
+        .withColumn("pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_TASK)))
+        .drop("copy_no"),
+        "chunked",
+    )
+
+
 def chunked_lag(
     df: DataFrame,
     key: str,
@@ -42,14 +61,9 @@ def chunked_lag(
 ) -> DataFrame:
     """``LAG(value, n) OVER (PARTITION BY key ORDER BY order)`` per ``{name: n}``.
 
-    1. A range exchange on (key, order) makes even chunks whatever the key
-       skew, as many as the size of the input asks for. Rows equal on all of
-       ``order`` are told apart by a row number, so even one group of copies
-       spreads over several chunks.
-    2. The sorted chunks are written once, with each row's place in its chunk:
-       chunk bounds come from a sample, so they must not be computed twice.
-    3. A row looks back ``max(n)`` rows at most, so a chunk needs that many rows
-       from before its start, and nothing else, from other chunks.
+    The rows are sorted into even chunks by (key, order). A row looks back ``max(n)``
+    rows at most, so a chunk needs that many rows from before its start, and nothing
+    else, from other chunks.
 
     ``df`` should come straight from a table scan, whose rows a retried task
     reads in the same order; write the result of a join first.
@@ -59,15 +73,7 @@ def chunked_lag(
         F.col(c).asc_nulls_last() if c in nulls_last else F.col(c).asc_nulls_first()
         for c in order
     ]
-    chunked = materialise(
-        df.withColumn("copy_no", F.monotonically_increasing_id())
-        .repartitionByRange(*_chunks(df), *sorting, "copy_no")
-        .sortWithinPartitions(*sorting)
-        .withColumn("chunk", F.spark_partition_id())
-        .withColumn("pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_TASK)))
-        .drop("copy_no"),
-        "chunked",
-    )
+    chunked = sorted_chunks(df, sorting)
 
     # One row per chunk, hence at most one per shuffle partition: small enough
     # for one window task and for a broadcast, whatever the size of the data.

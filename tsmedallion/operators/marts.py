@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tsmedallion.functions.scalar import at, day_of_week, is_weekend, pct_change, period_start
 from tsmedallion.operators.lagging import chunked_lag
 from tsmedallion.operators.staging import VINTAGE_ORDER, current_vintage
+from tsmedallion.session import materialise
 
 # Rows back. "Year ago" is twelve rows, as the fact defines it; see
 # ``yoy_calendar`` for twelve months.
@@ -62,7 +63,8 @@ def dim_time(staged: DataFrame) -> DataFrame:
     )
 
 
-def _fact(lagged: DataFrame, created_at: datetime | None) -> DataFrame:
+def fact_columns(lagged: DataFrame, created_at: datetime | None) -> DataFrame:
+    """The fact's columns of lagged observations."""
     value, prev, year_ago = F.col("value"), F.col("previous_value"), F.col("value_year_ago")
     return lagged.select(
         F.col("series_id").alias("indicator_id"),
@@ -84,8 +86,9 @@ def fct_observations(
     """Observations with the previous and the twelve-rows-back value.
 
     ``current``: newest vintage per (series, date). A series then has at most
-    one dated row per calendar day, so one window partition is bounded by the
-    calendar, and by the rows whose date does not parse.
+    one dated row per calendar day, so a window partition is bounded by the
+    calendar. Rows whose date does not parse follow all others of their series
+    and may be any share of it; they have no part in that window.
 
     ``all``: every vintage is a row, ordered by date and then by age. A series
     is unbounded there, hence the chunked lag.
@@ -95,14 +98,7 @@ def fct_observations(
         "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
     )
     if vintages == "current":
-        one_per_day = current_vintage(observations)
-        age = [c for c in VINTAGE_ORDER if c in observations.columns]  # of rows without a date
-        by_date = Window.partitionBy("series_id").orderBy(
-            F.col("observation_date").asc_nulls_last(), *age
-        )
-        lagged = one_per_day.withColumns(
-            {name: F.lag("value", n).over(by_date) for name, n in LAGS.items()}
-        )
+        lagged = lagged_current(*_by_date(observations))
     elif vintages == "all":
         lagged = chunked_lag(
             observations,
@@ -114,7 +110,46 @@ def fct_observations(
         )
     else:
         raise ValueError(f"vintages must be 'current' or 'all', not {vintages!r}")
-    return _fact(lagged, created_at)
+    return fact_columns(lagged, created_at)
+
+
+def _by_date(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The newest vintage of every (series, date), and the rows without a date."""
+    has_date = F.col("observation_date").isNotNull()
+    return current_vintage(observations.filter(has_date)), observations.filter(~has_date)
+
+
+def lagged_current(dated: DataFrame, undated: DataFrame) -> DataFrame:
+    """Lags over one row per (series, date), and over rows without a date behind them."""
+    by_date = Window.partitionBy("series_id").orderBy("observation_date")
+    lagged = dated.withColumns({name: F.lag("value", n).over(by_date) for name, n in LAGS.items()})
+    if undated.isEmpty():
+        return lagged
+    return lagged.unionByName(_lagged_undated(dated, undated))
+
+
+def _lagged_undated(dated: DataFrame, undated: DataFrame) -> DataFrame:
+    """Rows without a date, lagged behind the last dated rows of their series.
+
+    There is no bound on their number, hence the chunked lag. It gets of each series
+    the dated rows that a lag can reach, at most as many as the longest lag.
+    """
+    newest_first = Window.partitionBy("series_id").orderBy(F.col("observation_date").desc())
+    ends = (
+        dated.withColumn("place", F.row_number().over(newest_first))
+        .filter(F.col("place") <= max(LAGS.values()))
+        .drop("place")
+    )
+    rows = materialise(undated.unionByName(ends), "undated-rows")
+    lagged = chunked_lag(
+        rows,
+        key="series_id",
+        order=["observation_date", *(c for c in VINTAGE_ORDER if c in rows.columns)],
+        value="value",
+        offsets=LAGS,
+        nulls_last=["observation_date"],
+    )
+    return lagged.filter(F.col("observation_date").isNull())
 
 
 def yoy_calendar(staged: DataFrame) -> DataFrame:
@@ -122,18 +157,20 @@ def yoy_calendar(staged: DataFrame) -> DataFrame:
 
     29 February looks up 28 February. A range frame of exactly twelve months
     shares the fact's exchange and sort, where a self-join would shuffle twice.
+    A row without a date has no date to look up and takes no part in the window.
     """
     year_ago = F.expr(
         """first_value(value) OVER (
-             PARTITION BY series_id ORDER BY observation_date ASC NULLS LAST
+             PARTITION BY series_id ORDER BY observation_date
              RANGE BETWEEN INTERVAL '1' YEAR PRECEDING AND INTERVAL '1' YEAR PRECEDING)"""
     )
     value = F.col("value")
     observations = staged.select(
         "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
     )
-    looked_up = current_vintage(observations).withColumn(
-        "value_12_months_ago", F.when(F.col("observation_date").isNotNull(), year_ago)
+    dated, undated = _by_date(observations)
+    looked_up = dated.withColumn("value_12_months_ago", year_ago).unionByName(
+        undated.withColumn("value_12_months_ago", F.lit(None).cast("double"))
     )
     return looked_up.select(
         F.col("series_id").alias("indicator_id"),
@@ -172,21 +209,22 @@ def resample(staged: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def indicator_history(staged: DataFrame) -> DataFrame:
-    """Names an indicator has had, each with the as-of dates it was valid for.
+def names_by_date(staged: DataFrame) -> DataFrame:
+    """The name of each indicator and as-of date: that of its last ingestion.
 
-    The name of an as-of date is that of its last ingestion. ``valid_to`` is
-    the date of the next name, exclusive, and NULL for the current one. Names
-    are combined per as-of date before the shuffle, so a series has as many
-    rows in its window as there are such dates.
+    Combined per as-of date before the shuffle, so that an indicator has as many rows as there
+    are such dates.
     """
-    per_date = staged.groupBy(
+    return staged.groupBy(
         F.col("data_as_of_date").alias("valid_from"), F.col("series_id").alias("indicator_id")
     ).agg(F.max(F.struct("ingested_at", "series_name")).alias("last"))
+
+
+def name_intervals(names: DataFrame) -> DataFrame:
+    """Names by date as intervals in which the name stays."""
     by_date = Window.partitionBy("indicator_id").orderBy(F.col("valid_from").asc_nulls_first())
-    name = F.col("last.series_name")
     changes = (
-        per_date.withColumn("indicator_name", name)
+        names.withColumn("indicator_name", F.col("last.series_name"))
         .withColumn("before", F.lag(F.struct("indicator_name")).over(by_date))
         .filter(
             F.col("before").isNull()
@@ -201,3 +239,11 @@ def indicator_history(staged: DataFrame) -> DataFrame:
         valid_to.alias("valid_to"),
         valid_to.isNull().alias("is_current"),
     )
+
+
+def indicator_history(staged: DataFrame) -> DataFrame:
+    """Names an indicator has had, each with the as-of dates it was valid for.
+
+    ``valid_to`` is the date of the next name, exclusive, and NULL for the current one.
+    """
+    return name_intervals(names_by_date(staged))

@@ -14,9 +14,8 @@ from tsmedallion.functions.scalar import at
 # that leaving it out, as the fact does, changes no value.
 VINTAGE_ORDER = ["data_as_of_date", "ingested_at", "value", "series_name"]
 
-# The date comes first because the aggregation sorts by these columns, and a
-# date compares as one machine word where a series id is text.
-KEY = ["observation_date", "series_id"]
+# Rows without a date are numbered from here on, above every day number.
+UNDATED = 1 << 40
 
 
 def stage(silver: DataFrame, transformed_at: datetime | None = None) -> DataFrame:
@@ -45,16 +44,21 @@ def current_vintage(staged: DataFrame) -> DataFrame:
     ``max`` over a struct is combined before the shuffle, so a series or a date
     with any number of vintages sends one row per task. The result has at most
     one dated row per series and calendar day.
+
+    One number is the key beside the series: the day, or for a row without a date a number
+    of its own. It comes first because the aggregation sorts by the keys, and a
+    number compares as one machine word where a series id is text.
     """
     aged = [c for c in VINTAGE_ORDER if c in staged.columns]
     constant = ["transformed_at"] if "transformed_at" in staged.columns else []
-    undated = F.when(F.col("observation_date").isNull(), F.monotonically_increasing_id())
-    newest = staged.withColumn("undated_row", undated).groupBy(*KEY, "undated_row").agg(
+    day = F.unix_date("observation_date").cast("long")
+    own = F.lit(UNDATED) + F.monotonically_increasing_id()
+    newest = staged.groupBy(F.coalesce(day, own).alias("day"), "series_id").agg(
         F.max(F.struct(*aged)).alias("newest"), *[F.max(c).alias(c) for c in constant]
     )
-    return newest.select(
-        *[F.col(f"newest.{c}").alias(c) if c in aged else F.col(c) for c in staged.columns]
-    )
+    date_ = F.when(F.col("day") < UNDATED, F.date_from_unix_date(F.col("day").try_cast("int")))
+    found = {c: F.col(f"newest.{c}") for c in aged} | {"observation_date": date_}
+    return newest.select(*[found.get(c, F.col(c)).alias(c) for c in staged.columns])
 
 
 def as_of(staged: DataFrame, day: date | str) -> DataFrame:

@@ -24,8 +24,15 @@ class DataTestError(RuntimeError):
     """At least one data test found failing rows."""
 
 
+class LandingError(RuntimeError):
+    """More documents than allowed could not be read."""
+
+
 @dataclass(frozen=True)
 class DailyRun:
+    """``max_bad_share`` is the share of documents that may be unreadable: these go to the lake's
+    ``quarantine`` and the run goes on. Without it the first one fails the run."""
+
     landing: str
     lake: str
     ingest_date: str
@@ -35,6 +42,7 @@ class DailyRun:
     layout: str = "folders"
     multi_line: bool = True
     catalogue: DataFrame | None = None
+    max_bad_share: float | None = None
 
     @property
     def ingestion_timestamp(self) -> str:
@@ -48,9 +56,22 @@ class DailyRun:
         return f"{self.lake.rstrip('/')}/{layer}"
 
 
+def readable_documents(spark: SparkSession, run: DailyRun) -> DataFrame:
+    """The run date's documents; others are quarantined, as far as the run allows any."""
+    if run.max_bad_share is None:
+        return landing.read_documents(spark, run.landing, run.ingest_date, run.multi_line)
+    landed = landing.read_landed(spark, run.landing, run.ingest_date, run.multi_line)
+    found = landing.document_counts(landed).first()
+    if found["n_quarantined"]:
+        landing.write_quarantine(landing.quarantined(landed), run.path("quarantine"))
+    if found["bad_share"] > run.max_bad_share:
+        raise LandingError(f"{found['n_quarantined']} of {found['n_documents']} documents of {run.ingest_date} cannot be read")
+    return landing.sound_documents(landed)
+
+
 def ingest(spark: SparkSession, run: DailyRun, catalogue: DataFrame) -> dict[str, int]:
     """Landed documents of the run date to bronze; returns the audit totals."""
-    documents = landing.read_documents(spark, run.landing, run.ingest_date, run.multi_line)
+    documents = readable_documents(spark, run)
     rows = landing.explode_documents(documents, run.observation_start)
     bronze.write_bronze(
         landing.to_bronze(rows, catalogue, run.ingestion_timestamp), run.path("bronze")

@@ -150,12 +150,15 @@ def documents(bronze: DataFrame, ingest_date: str | None = None) -> DataFrame:
 
     The ``page`` column bounds the rows of a document, as an API response does.
     """
-    record = F.struct("realtime_start", "realtime_end", "date", "value")
     day = F.col("ingest_date") if ingest_date is None else F.lit(ingest_date)
-    return (
-        bronze.groupBy(day.alias("ingest_date"), "series_id", "page")
-        .agg(F.collect_list(record).alias("observations"))
-        .select("ingest_date", "series_id", "observations")
+    return paged(bronze, day).select("ingest_date", "series_id", "observations")
+
+
+def paged(bronze: DataFrame, day: Column) -> DataFrame:
+    """``documents`` with their page."""
+    record = F.struct("realtime_start", "realtime_end", "date", "value")
+    return bronze.groupBy(day.alias("ingest_date"), "series_id", "page").agg(
+        F.collect_list(record).alias("observations")
     )
 
 
@@ -165,6 +168,28 @@ def land(docs: DataFrame, path: str) -> str:
     return path
 
 
+def land_damaged(docs: DataFrame, path: str) -> str:
+    """``land``, but with some pages broken off, some of another shape and some that are no JSON."""
+    text = F.to_json(F.struct("observations"), {"ignoreNullFields": "false"})
+    damaged = (
+        F.when(F.col("page") % 5 == 1, F.substring(text, 1, F.length(text) - 9))
+        .when(F.col("page") % 5 == 2, F.concat(F.lit('{"observations": "'), F.col("page").cast("string"), F.lit('"}')))
+        .when(F.col("page") % 5 == 3, F.concat(F.lit("<html> "), F.col("page").cast("string")))
+        .otherwise(text)
+    )
+    rows = docs.select("ingest_date", "series_id", damaged.alias("value"))
+    rows.write.partitionBy("ingest_date", "series_id").text(path)
+    return path
+
+
+def probes(lineitem: DataFrame) -> DataFrame:
+    """Questions about ``obs_daily``: a (series, date), and a day from before its first vintage to behind its last."""
+    shipped = F.to_date("l_shipdate")
+    known = F.date_add(shipped, (F.col("l_partkey") % 12).cast("int") - 2)
+    bronze = obs_daily(lineitem, F.col("l_orderkey"), F.col("l_linenumber"), shipped.alias("observation_date"), known.cast("string").alias("known_at"))
+    return bronze.select("l_orderkey", "l_linenumber", "series_id", "observation_date", "known_at")
+
+
 def catalogue_of(bronze: DataFrame) -> DataFrame:
     """A catalogue of the series found, without category and frequency."""
     return (

@@ -237,7 +237,6 @@ edges_bronze AS (
                CAST(date[9:10] AS INTEGER) AS day FROM daily_bronze))"""
 
 
-
 def _nan_apart(relation: str, *columns: str) -> str:
     flags = ", ".join(f"COALESCE(isnan({c}), false) AS {c}_is_nan" for c in columns)
     plain = ", ".join(f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" for c in columns)
@@ -354,6 +353,50 @@ changes AS (
     FROM per_date)
   WHERE before IS NULL OR before <> name)"""
 
+# The names of all as-of dates as intervals.
+INTERVALS = """
+intervals AS (
+  SELECT series_id, name, data_as_of_date AS valid_from,
+         LEAD(data_as_of_date) OVER (PARTITION BY series_id ORDER BY data_as_of_date) AS valid_to
+  FROM changes)"""
+
+# Each day of each series with the value that holds on it.
+WEIGHTED = """
+spine AS (
+  SELECT c.series_id, c.value, c.observation_date AS since,
+         UNNEST(generate_series(c.observation_date,
+                COALESCE(LEAD(c.observation_date) OVER (PARTITION BY c.series_id ORDER BY c.observation_date),
+                         c.observation_date + 1)::DATE - 1, INTERVAL 1 DAY))::DATE AS day
+  FROM {source} c WHERE c.observation_date IS NOT NULL),
+levelled AS (
+  SELECT s.*, u.level, date_trunc(u.level, day)::DATE AS period_start
+  FROM spine s CROSS JOIN (VALUES ('month'), ('quarter'), ('year')) u(level))
+SELECT series_id AS indicator_id, level, period_start, COUNT(*) AS n_days,
+       COUNT(*) FILTER (WHERE day = since) AS n_observations,
+       ROUND(AVG(value), 6) AS mean_value, ARG_MAX(value, day) AS last_value
+FROM levelled GROUP BY series_id, level, period_start"""
+
+# Smoothing of monthly series, one observation after the other.
+SMOOTHED = """
+placed AS (
+  SELECT series_id, value,
+         ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY observation_date) - 1 AS place
+  FROM monthly_current),
+first_cycle AS (
+  SELECT series_id, AVG(value) AS level, LIST(value ORDER BY place) AS cycle
+  FROM placed WHERE place < 12 GROUP BY series_id HAVING COUNT(*) = 12),
+smoothed AS (
+  SELECT series_id, CAST(11 AS BIGINT) AS place, level, CAST(0 AS DOUBLE) AS trend,
+         [v - level for v in cycle] AS season, CAST(NULL AS DOUBLE) AS forecast
+  FROM first_cycle
+  UNION ALL
+  SELECT series_id, place, new_level, 0.05 * (new_level - level) + 0.95 * trend,
+         list_append(season[2:], 0.2 * (value - new_level) + 0.8 * season[1]), forecast
+  FROM (SELECT s.*, p.place AS next_place, p.value, 0.3 * (p.value - s.season[1]) + 0.7 * (s.level + s.trend) AS new_level,
+               s.level + s.trend + s.season[1] AS next_forecast
+        FROM smoothed s JOIN placed p ON p.series_id = s.series_id AND p.place = s.place + 1)
+       t(series_id, old_place, level, trend, season, old_forecast, place, value, new_level, forecast))"""
+
 THREE = "('GDP', 'UNRATE', 'CPIAUCSL')"
 
 SERIES_COLUMNS = {
@@ -391,11 +434,28 @@ EDGES_CURRENT = ",".join(
     [DAILY_BRONZE, EDGES, _silver("edges"), _staged("edges"), _current("edges")]
 )
 
+def _with(ctes: str, body: str) -> str:
+    return f"WITH {ctes.strip()}\n{body.strip()}"
+
+
 FACT = "SELECT * FROM fct"
 
 
-def _with(ctes: str, body: str) -> str:
-    return f"WITH {ctes.strip()}\n{body.strip()}"
+def _recursive(ctes: str, body: str) -> str:
+    return f"WITH RECURSIVE {ctes.strip()}\n{body.strip()}"
+
+
+def _version(where: str) -> str:
+    """The star over gold built from scratch on some of staging."""
+    staged = f"v_staged AS (SELECT * FROM daily_staged WHERE NOT COALESCE({where}, false))"
+    dims = [d.replace("daily_staged", "v_staged") for d in (DIM_INDICATORS, DIM_TIME)]
+    parts = [DAILY_STAGED, staged, _current("v"), *dims, _fact("v_current", "fct"), _star("fct", "star")]
+    return _with(",".join(parts), f"SELECT {STAR_COLUMNS} FROM star")
+
+
+ARRIVING = """(series_id = 'UMCSENT' AND observation_date >= DATE '1997-06-01')
+              OR (series_id = 'DFF' AND data_as_of_date >= '1998-01-01')"""
+WITHDRAWN = "series_id = 'GDP' AND observation_date BETWEEN DATE '1994-03-01' AND DATE '1994-03-20'"
 
 
 SQL = {
@@ -435,6 +495,7 @@ SQL = {
     "stg_view": _with(EVENTS_STAGED, "SELECT * FROM events_staged"),
     "current_vintage": _with(DAILY_CURRENT, "SELECT * FROM daily_current"),
     "current_vintage_events": _with(EVENTS_CURRENT, "SELECT * FROM events_current"),
+    "vintage_stream_roundtrip": _with(EVENTS_CURRENT, "SELECT * FROM events_current"),
     "as_of": _with(
         DAILY_STAGED + "," + _current("daily", "data_as_of_date <= '1998-06-30'"),
         "SELECT * FROM daily_current",
@@ -500,6 +561,104 @@ SQL = {
         ),
     ),
     "gold_refresh": _with(STARS, f"SELECT {STAR_COLUMNS} FROM star"),
+    "landing_quarantine": _with(
+        """paged AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, event_type AS series_id,
+         event_id // 100 AS page, COUNT(*) AS n
+  FROM events GROUP BY ALL)""",
+        """SELECT ingest_date, series_id,
+                  CASE page % 5 WHEN 1 THEN 'broken JSON' WHEN 2 THEN 'another shape'
+                                WHEN 3 THEN 'no JSON' ELSE 'sound' END AS fate,
+                  COUNT(*) AS n_documents,
+                  CAST(SUM(CASE WHEN page % 5 IN (1, 2, 3) THEN 0 ELSE n END) AS BIGINT) AS n_observations
+           FROM paged GROUP BY ALL""",
+    ),
+    "as_of_many": _with(
+        DAILY_STAGED
+        + """, vintage AS (
+  SELECT series_id, observation_date, data_as_of_date, value FROM daily_staged
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY series_id, observation_date, data_as_of_date
+                             ORDER BY ingested_at DESC, value DESC) = 1),
+probe AS (
+  SELECT l_orderkey, l_linenumber, series_id, CAST(l_shipdate AS DATE) AS observation_date,
+         strftime(CAST(l_shipdate AS DATE) + CAST(l_partkey % 12 AS INTEGER) - 2, '%Y-%m-%d') AS known_at
+  FROM daily_named)""",
+        """SELECT p.*, v.value, v.data_as_of_date
+           FROM probe p ASOF LEFT JOIN vintage v
+             ON p.series_id = v.series_id AND p.observation_date = v.observation_date
+            AND p.known_at >= v.data_as_of_date""",
+    ),
+    "indicator_history_refreshed": _with(
+        DAILY_STAGED + "," + HISTORY + "," + INTERVALS,
+        """SELECT series_id AS indicator_id, name AS indicator_name, valid_from, valid_to,
+                  valid_to IS NULL AS is_current FROM intervals""",
+    ),
+    "fact_with_names": _with(
+        DAILY_STAGED + "," + HISTORY + "," + INTERVALS,
+        """SELECT s.series_id AS indicator_id, s.observation_date AS date_key,
+                  s.value AS observation_value, s.data_as_of_date, i.name AS indicator_name
+           FROM daily_staged s LEFT JOIN intervals i
+             ON s.series_id = i.series_id AND s.data_as_of_date >= i.valid_from
+            AND (i.valid_to IS NULL OR s.data_as_of_date < i.valid_to)""",
+    ),
+    "time_weighted": _with(DAILY_CURRENT, "").rstrip() + "," + WEIGHTED.format(source="daily_current"),
+    "time_weighted_gaps": _with(
+        MONTHLY + """, gaps AS (
+  SELECT * FROM monthly_current WHERE EXTRACT(MONTH FROM observation_date) <> 7)""", "").rstrip()
+    + "," + WEIGHTED.format(source="gaps").replace("AVG(value), 6", "AVG(value), 4"),
+    "rolling_anomalies": _with(
+        DAILY_CURRENT
+        + """, ranked AS (
+  SELECT series_id, observation_date, value,
+         ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY observation_date) AS place
+  FROM daily_current WHERE observation_date IS NOT NULL),
+before AS (
+  SELECT a.series_id, a.place, COUNT(b.value) AS n, MEDIAN(b.value) AS median, MAD(b.value) AS mad
+  FROM ranked a LEFT JOIN ranked b
+    ON a.series_id = b.series_id AND b.place BETWEEN a.place - 30 AND a.place - 1
+  GROUP BY a.series_id, a.place)""",
+        """SELECT r.series_id AS indicator_id, r.observation_date AS date_key,
+                  r.value AS observation_value, CAST(n AS INTEGER) AS n_before,
+                  median AS median_before, mad AS deviation_before,
+                  ROUND(CASE WHEN n >= 8 AND mad > 0 THEN abs(r.value - median) / (1.4826 * mad) END, 6) AS robust_score,
+                  CASE WHEN n < 8 THEN false
+                       WHEN mad > 0 THEN abs(r.value - median) / (1.4826 * mad) > 3.5
+                       ELSE r.value <> median END AS is_anomaly
+           FROM ranked r JOIN before b ON r.series_id = b.series_id AND r.place = b.place""",
+    ),
+    "dq_learned_ranges": _with(
+        DAILY_STAGED
+        + """, quantiles AS (
+  SELECT series_id, QUANTILE_DISC(value, 0.3) AS lower, QUANTILE_DISC(value, 0.6) AS upper
+  FROM daily_staged GROUP BY series_id),
+limits AS (
+  SELECT series_id, lower - 0.5 * (upper - lower) AS min_value, upper + 0.5 * (upper - lower) AS max_value
+  FROM quantiles)""",
+        """SELECT s.series_id, s.observation_date, s.value, s.data_as_of_date, s.ingested_at,
+                  l.min_value, l.max_value
+           FROM daily_staged s JOIN limits l ON s.series_id = l.series_id
+           WHERE s.value < l.min_value OR s.value > l.max_value""",
+    ),
+    "seasonal_forecasts": _recursive(
+        MONTHLY + "," + SMOOTHED,
+        """SELECT p.series_id, p.place, p.value, ROUND(s.forecast, 2) AS forecast
+           FROM placed p LEFT JOIN smoothed s ON p.series_id = s.series_id AND p.place = s.place
+           UNION ALL
+           SELECT series_id, place + step, NULL, ROUND(level + step * trend + season[(step - 1) % 12 + 1], 2)
+           FROM (SELECT * FROM smoothed
+                 QUALIFY ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY place DESC) = 1)
+           CROSS JOIN (SELECT UNNEST(generate_series(1, 12)) AS step)""",
+    ),
+    "forecast_backtest": _recursive(
+        MONTHLY + "," + SMOOTHED,
+        """SELECT p.series_id, COUNT(*) AS n_forecasts, ROUND(AVG(abs(p.value - s.forecast)), 2) AS mean_error,
+                  ROUND(AVG(abs(p.value - q.value)), 2) AS naive_error
+           FROM smoothed s JOIN placed p ON p.series_id = s.series_id AND p.place = s.place
+           JOIN placed q ON q.series_id = p.series_id AND q.place = p.place - 1
+           WHERE s.forecast IS NOT NULL GROUP BY p.series_id""",
+    ),
+    "gold_version_refreshed": _version(WITHDRAWN),
+    "gold_version_pinned": _version(ARRIVING),
     "gold_refresh_clustered": _with(STARS, f"SELECT {STAR_COLUMNS} FROM star"),
     "series_timeseries": _with(
         STARS,

@@ -10,12 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsmedallion.operators import correlation, dashboard, marts, quality, silver, staging
+from tsmedallion.operators import (
+    anomalies,
+    calendar,
+    correlation,
+    dashboard,
+    incremental,
+    marts,
+    quality,
+    ranges,
+    silver,
+    smoothing,
+    staging,
+    temporal,
+)
 from tsmedallion.plans import daily, fixtures
-from tsmedallion.schemas import FCT_OBSERVATIONS, default_catalogue, local_table
+from tsmedallion.schemas import FCT_OBSERVATIONS, STAGING, default_catalogue, local_table
 from tsmedallion.session import materialise, scratch_path
-from tsmedallion.sources import bronze, landing, tables
-from tsmedallion.streaming import silver_stream
+from tsmedallion.sources import bronze, landing, snapshots, tables
+from tsmedallion.streaming import silver_stream, vintage_stream
 
 RUN_AT = datetime(2024, 2, 1, 6, tzinfo=timezone.utc)
 RUN_DATE = "2024-02-01"
@@ -119,6 +132,28 @@ def bronze_explode(spark: SparkSession, sf: str) -> DataFrame:
     return landing.to_bronze(rows, catalogue, RUN_AT.isoformat())
 
 
+@query
+def landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and observations per folder and fate; most pages land damaged."""
+    page = F.floor(F.col("event_id") / 100).alias("page")
+    raw = fixtures.obs_events(fixtures.table(spark, sf, "events"), page)
+    landed = fixtures.land_damaged(fixtures.paged(raw, F.col("ingest_date")), scratch_path(spark, "landing"))
+    found = landing.read_landed(spark, landed, multi_line=False)
+    path = scratch_path(spark, "quarantine")
+    landing.write_quarantine(landing.quarantined(found), path)
+    sound = landing.sound_documents(found)
+    keys = ["ingest_date", "series_id"]
+    fates = (
+        (sound.withColumn("fate", F.lit("sound")), F.sum(F.size("observations"))),
+        (landing.read_quarantine(spark, path).withColumnRenamed("cause", "fate"), F.lit(0)),
+    )
+    good, bad = (
+        df.groupBy(*keys, "fate").agg(F.count("*").alias("n_documents"), n.cast("long").alias("n_observations"))
+        for df, n in fates
+    )
+    return good.unionByName(bad)
+
+
 @query
 def bronze_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze written by run date and series, against an expected list with
@@ -187,6 +222,18 @@ def silver_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_silver(spark, path)
 
 
+@query
+def vintage_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest vintages by keyed state: run dates arrive newest first, in three runs of the stream."""
+    raw = _events(spark, sf)
+    landed, path, state = (scratch_path(spark, n) for n in ("bronze", "vintages", "state"))
+    day = F.dayofmonth(F.col("ingest_date").cast("date"))
+    for part in (day > 20, (day <= 20) & (day > 10), day <= 10):
+        bronze.write_bronze(raw.filter(part), landed)
+        vintage_stream.stream_current_vintage(spark, landed, path, state).awaitTermination()
+    return vintage_stream.read_current(spark, path)
+
+
 # --- Staging ----------------------------------------------------------------
 
 
@@ -220,6 +267,21 @@ def as_of(spark: SparkSession, sf: str) -> DataFrame:
     return staging.as_of(_staged_daily(spark, sf), date(1998, 6, 30)).drop("transformed_at")
 
 
+@query
+def as_of_many(spark: SparkSession, sf: str) -> DataFrame:
+    """What was known of an observation on a day, for a question per line item."""
+    asked = fixtures.probes(fixtures.table(spark, sf, "lineitem"))
+    return temporal.as_of_join(
+        asked,
+        _staged_daily(spark, sf),
+        ["series_id", "observation_date"],
+        "known_at",
+        "data_as_of_date",
+        ["value", "data_as_of_date"],
+        ("ingested_at",),
+    )
+
+
 # --- Gold -------------------------------------------------------------------
 
 
@@ -321,6 +383,44 @@ def gold_refresh_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed(spark, sf, "clustered")
 
 
+def _versions(spark: SparkSession, sf: str) -> tuple[str, int, int]:
+    """Versioned gold, refreshed after late, revised and deleted rows; its folder and versions."""
+    root = scratch_path(spark, "gold-versions")
+    staged, catalogue = _staged_daily(spark, sf), default_catalogue(spark)
+    day, series = F.col("observation_date"), F.col("series_id")
+    late = (series == "UMCSENT") & (day >= "1997-06-01")
+    revised = (series == "DFF") & (F.col("data_as_of_date") >= "1998-01-01")
+    deleted = (series == "GDP") & day.between("1994-03-01", "1994-03-20")
+    arriving = F.coalesce(late | revised, F.lit(False))
+    withdrawn = F.coalesce(deleted, F.lit(False))
+    first = incremental.build_version(spark, root, staged.filter(~arriving), catalogue, RUN_AT)
+    incremental.write_staged(staged.filter(~withdrawn), f"{root}/staged")
+    now = spark.read.schema(T.StructType([*STAGING.fields, T.StructField("year", T.IntegerType())])).parquet(f"{root}/staged")
+    second = incremental.refresh_version(
+        spark, root, now, staged.filter(arriving), staged.filter(withdrawn), catalogue, RUN_AT
+    )
+    return root, first, second
+
+
+def _star_of_version(spark: SparkSession, root: str, number: int) -> DataFrame:
+    pinned = snapshots.open_snapshot(spark, root, number)
+    names = ("fct_observations", "dim_indicators", "dim_time")
+    return dashboard.star(*(pinned.read(n) for n in names))
+
+
+@query
+def gold_version_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    root, _, second = _versions(spark, sf)
+    return _star_of_version(spark, root, second)
+
+
+@query
+def gold_version_pinned(spark: SparkSession, sf: str) -> DataFrame:
+    """The version before the refresh, read after it."""
+    root, first, _ = _versions(spark, sf)
+    return _star_of_version(spark, root, first)
+
+
 @query
 def yoy_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series: 365 rows are not always there, so lag 12 would be wrong."""
@@ -350,9 +450,8 @@ def _resampled(spark: SparkSession, sf: str, unit: str) -> DataFrame:
     return means.withColumn("mean_value", F.round("mean_value", 6))
 
 
-@query
-def indicator_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Series renamed with the vintages of 1998, some of them back in 2000."""
+def _renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging with series renamed with the vintages of 1998, some of them back in 2000."""
     staged = _staged_daily(spark, sf)
     as_of_date, name = F.col("data_as_of_date"), F.col("series_name")
     renamed = F.when(
@@ -360,7 +459,76 @@ def indicator_history(spark: SparkSession, sf: str) -> DataFrame:
         & ~((as_of_date >= "2000-01-01") & F.col("series_id").isin("GDP", "DFF")),
         F.concat(name, F.lit(" rebased")),
     ).otherwise(name)
-    return marts.indicator_history(staged.withColumn("series_name", renamed))
+    return staged.withColumn("series_name", renamed)
+
+
+@query
+def indicator_history(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.indicator_history(_renamed(spark, sf))
+
+
+@query
+def indicator_history_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from three deltas whose as-of dates are in no order, over a kept state."""
+    staged = _renamed(spark, sf)
+    part = F.crc32(F.concat("series_id", "data_as_of_date")) % 3
+    first = staged.filter(part == 1)
+    names = materialise(marts.names_by_date(first), "names")
+    history = materialise(marts.name_intervals(names), "history")
+    for i in (0, 2):
+        new_history, new_names = temporal.refresh_history(history, names, staged.filter(part == i))
+        history, names = materialise(new_history, "history"), materialise(new_names, "names")
+    return history
+
+
+@query
+def fact_with_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vintage of the fact with the name that its indicator had at the time."""
+    fact = _gold(spark, sf, "fct_all_vintages").select("indicator_id", "date_key", "observation_value", "data_as_of_date")
+    history = marts.indicator_history(_renamed(spark, sf))
+    until = fact.agg(F.max("data_as_of_date")).first()[0]
+    return temporal.names_valid_at(fact, history, "indicator_id", "data_as_of_date", until)
+
+
+@query
+def time_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    found = calendar.time_weighted(_staged_daily(spark, sf))
+    return found.withColumn("mean_value", F.round("mean_value", 6))
+
+
+@query
+def time_weighted_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly series without any July."""
+    found = calendar.time_weighted(_monthly(spark, sf).filter(F.month("observation_date") != 7))
+    return found.withColumn("mean_value", F.round("mean_value", 4))
+
+
+@query
+def rolling_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    found = anomalies.rolling_anomalies(_staged_daily(spark, sf))
+    return found.withColumn("robust_score", F.round("robust_score", 6))
+
+
+@query
+def seasonal_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """One step ahead for every month, and a year ahead behind the last."""
+    fitted = smoothing.smooth(_monthly(spark, sf))
+    ahead = smoothing.forecast(fitted, 12)
+    known = fitted.observations.select("series_id", "place", "value", "forecast")
+    sizes = fitted.states.select("series_id", "n_observations")
+    future = ahead.join(sizes, "series_id").select(
+        "series_id",
+        (F.col("n_observations") + F.col("step") - 1).alias("place"),
+        F.lit(None).cast("double").alias("value"),
+        "forecast",
+    )
+    return known.unionByName(future).withColumn("forecast", F.round("forecast", 2))
+
+
+@query
+def forecast_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    found = smoothing.backtest(smoothing.smooth(_monthly(spark, sf)))
+    return found.withColumns({c: F.round(c, 2) for c in ("mean_error", "naive_error")})
 
 
 # --- Dashboard --------------------------------------------------------------
@@ -565,6 +733,22 @@ def dq_in_range(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def dq_learned_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows outside ranges learned in two runs, as the quarantine has them.
+
+    The sketches are large enough to be exact on the tables of the tests.
+    """
+    rows = _staged_daily(spark, sf).select("series_id", "observation_date", "value", "data_as_of_date", "ingested_at")
+    early = F.col("data_as_of_date") < "1996-01-01"
+    runs = [ranges.learn(rows.filter(part), "series_id", "value", 65_535) for part in (early, ~early)]
+    state = materialise(runs[0], "sketches")
+    limits = ranges.bounds(ranges.merge(state, runs[1]), 0.3, 0.6, 0.5)
+    path = scratch_path(spark, "quarantine")
+    ranges.quarantine(rows, "series_id", "value", limits, path)
+    return spark.read.parquet(path)
+
+
 @query
 def dq_key_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return quality.key_nulls(silver.clean(_events(spark, sf)), ["series_id", "value"])

@@ -19,6 +19,9 @@ OBSERVATION = _schema(realtime_start=_STR, realtime_end=_STR, date=_STR, value=_
 
 DOCUMENT = _schema(observations=T.ArrayType(OBSERVATION))
 
+# A document that could not be read; the partition column comes last at rest.
+QUARANTINE = _schema(ingest_date=_STR, series_id=_STR, file=_STR, cause=_STR, rescued=_STR)
+
 BRONZE = _schema(
     realtime_start=_STR,
     realtime_end=_STR,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsmedallion.functions.scalar import parse_date
-from tsmedallion.schemas import BRONZE, DOCUMENT
+from tsmedallion.schemas import BRONZE, DOCUMENT, QUARANTINE
 from tsmedallion.sources.bronze import run_folder
 
 
@@ -43,6 +43,71 @@ def read_documents(
     )
 
 
+def read_landed(
+    spark: SparkSession,
+    landing: str,
+    ingest_date: str | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """All documents, sound or not, with their ``file`` and, of one that is not a document of the
+    declared shape, its text as ``rescued``."""
+    fields = [
+        *DOCUMENT.fields,
+        *(T.StructField(n, T.StringType()) for n in ("rescued", "ingest_date", "series_id")),
+    ]
+    return (
+        spark.read.schema(T.StructType(fields))
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "rescued")
+        .option("basePath", landing)
+        .json(landing if ingest_date is None else run_folder(landing, ingest_date))
+        .withColumn("file", F.col("_metadata.file_path"))
+    )
+
+
+def sound_documents(landed: DataFrame) -> DataFrame:
+    return landed.filter(F.col("rescued").isNull()).select("ingest_date", "series_id", "observations")
+
+
+def quarantined(landed: DataFrame) -> DataFrame:
+    """A row per document that could not be read: its folder, file, cause and text.
+
+    Nothing of it gets into bronze, also not what could be read before the fault.
+    """
+    text = F.trim("rescued")
+    cause = (
+        F.when(text == "", "empty")
+        .when(F.try_parse_json("rescued").isNotNull(), "another shape")
+        .when(F.startswith(text, F.lit("{")) | (F.size("observations") > 0), "broken JSON")
+        .otherwise("no JSON")
+    )
+    return landed.filter(F.col("rescued").isNotNull()).select(
+        "ingest_date", "series_id", "file", cause.alias("cause"), "rescued"
+    )
+
+
+def write_quarantine(bad: DataFrame, path: str) -> None:
+    """Replace the quarantine of the run dates in ``bad``; other run dates keep theirs."""
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names)
+
+
+def document_counts(landed: DataFrame) -> DataFrame:
+    """Documents, those quarantined and their share, and observations; of no document the share is 0."""
+    counts = landed.agg(
+        F.count("*").alias("n_documents"),
+        F.count_if(F.col("rescued").isNotNull()).alias("n_quarantined"),
+        F.coalesce(F.sum(F.size("observations")), F.lit(0)).alias("n_observations"),
+    )
+    return counts.withColumn(
+        "bad_share", F.coalesce(F.try_divide("n_quarantined", "n_documents"), F.lit(0.0))
+    )
+
+
 def explode_documents(docs: DataFrame, observation_start: str | None = None) -> DataFrame:
     """One row per observation. A document without the array gives no row.
 
