@@ -36,12 +36,31 @@ def rows():
 
 def test_against_plain_python(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
-    for ratio, least in ((0.1, 5), (0.45, 5), (0.6, 2), (0.0, 1)):
+    for ratio, least in ((0.02, 5), (0.1, 5), (0.45, 5), (0.6, 2), (0.0, 1)):
         found = drop_boilerplate(docs, max_ratio=ratio, min_pages=least)
         assert {r.doc_id: r.text for r in found.collect()} == plain(rows(), ratio, least)
     assert found.columns == docs.columns
 
 
+def test_boilerplate_on_a_few_percent_of_a_large_host_goes(spark):
+    """Of 1,000 pages: lines on 21 and 30 pages go, one on 20 stays; on a small host five pages decide."""
+    def page(i):
+        lines = [f"story {i} of the day"]
+        lines += ["subscribe to our letter"] if i % 33 == 0 else []
+        lines += ["all rights reserved"] if i < 21 else []
+        lines += ["see also"] if 100 <= i < 120 else []
+        return "\n".join(lines)
+
+    big = [(i, page(i), "big") for i in range(1000)]
+    small = [(2000 + i, f"tale {i}\n" + ("follow us" if i < 5 else "read on" if i < 9 else "end"), "small") for i in range(60)]
+    found = {r.doc_id: r.text for r in drop_boilerplate(spark.createDataFrame(big + small, SCHEMA)).collect()}
+    assert found == plain(big + small, 0.02, 5)
+    texts = "\n".join(t for i, t in found.items() if i < 2000)
+    assert "subscribe" not in texts and "rights" not in texts and texts.count("see also") == 20
+    texts = "\n".join(t for i, t in found.items() if i >= 2000)
+    assert "follow us" not in texts and texts.count("read on") == 4
+
+
 def test_copies_of_a_page_are_one_page(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
     hosts = {r.host_key: len(r.lines) for r in boilerplate(docs, max_ratio=0.1, min_pages=5).collect()}

@@ -1,5 +1,8 @@
 """License scans by template markup compiled into token automata.
 
+There are templates of whole licences, with all of their mandatory wording, and of short notices
+that name a licence. A licence text that was changed anywhere, at its end too, is not accepted.
+
 A template is licence wording in which ``[[...]]`` encloses wording that may be left out and
 ``<<n>>`` or ``<<m..n>>`` stands for m to n words that may be replaced. It is compiled into
 an automaton over words; a place in a text is accepted if a run from there ends in the last
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,15 +39,53 @@ BASE = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-TEMPLATES = (
-    ("mit", "[[released]] [[distributed]] [[licensed]] [[available]] under the [[terms of the]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this <<1..2>> and associated documentation files"),
-    ("apache-2", "licensed under the apache license version 2 [[0]] [[the license]]"),
-    ("gpl-3", "licensed under the [[terms of the]] gnu general public license [[as published by the free software foundation]] [[either]] version 3 [[or at your option any later version]]"),
-    ("cc-by-nc", "licensed under [[a]] [[the]] [[creative commons]] cc by nc [[sa]] [[nd]] <<0..1>>"),
-    ("cc-by-nc", "licensed under [[a]] [[the]] creative commons attribution noncommercial [[<<1..3>>]] [[international]] license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+
+# Short statements that name a licence.
+NAMED = (
+    ("mit", "mit license"),
+    ("isc", "isc license"),
+    ("bsd-2", "bsd 2 clause license"),
+    ("bsd-3", "bsd 3 clause license"),
+    ("mpl-2", "mozilla public license [[version]] [[v]] 2 0"),
+)
+GNU = (
+    ("gpl-2", "general", "2"),
+    ("gpl-3", "general", "3"),
+    ("lgpl-2", "library general", "2"),
+    ("lgpl-2.1", "lesser general", "2 1"),
+    ("lgpl-3", "lesser general", "3"),
+    ("agpl-3", "affero general", "3"),
 )
+CREATIVE = (("cc-by", "by", "attribution"), ("cc-by-sa", "by sa", "attribution sharealike"))
+CREATIVE_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+
+
+def notices() -> list[tuple[str, str]]:
+    """Templates of the statements that put a work under a licence without its wording."""
+    out = [(label, f"[[released]] [[distributed]] [[licensed]] [[available]] under the [[terms of the]] {name}") for label, name in NAMED]
+    for label, name, version in GNU:
+        later = "[[or at your option any later version]]"
+        out.append((label, f"licensed under the [[terms of the]] gnu {name} public license [[as published by the free software foundation]] [[either]] version {version} {later}"))
+        out.append((label, f"under the terms of the gnu {name} public license as published by the free software foundation [[either]] version {version} [[of the license]] {later}"))
+    for label, short, long in CREATIVE:
+        for v in CREATIVE_VERSIONS:
+            out.append((label, f"licensed under [[a]] [[the]] [[creative commons]] cc {short} {v}"))
+            out.append((label, f"licensed under [[a]] [[the]] creative commons {long} {v} [[international]] [[unported]] [[generic]] license"))
+    return out + [
+        ("apache-2", "licensed under the apache license version 2 [[0]] [[the license]]"),
+        ("cc-by-nc", "licensed under [[a]] [[the]] [[creative commons]] cc by nc [[sa]] [[nd]] <<0..1>>"),
+        ("cc-by-nc", "licensed under [[a]] [[the]] creative commons attribution noncommercial [[<<1..3>>]] [[international]] license"),
+        ("mpl-2", "subject to the terms of the mozilla public license [[version]] [[v]] 2 0"),
+    ]
+
+
+def wordings(folder: Path = Path(__file__).with_name("licences")) -> list[tuple[str, str]]:
+    """Templates of whole licences: a file each, named by its label, with the wording as it is published,
+    from its first sentence or article to its last, and markup where it may vary."""
+    return [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(folder.glob("*.txt"))]
+
+
+TEMPLATES = (*notices(), *wordings())
 
 
 @dataclass

@@ -2,7 +2,53 @@
 
 from __future__ import annotations
 
+import re
+
 import corpus_pipeline
+from tsmedallion.llm.license_scan import BASE, MARK, TEMPLATES
+
+
+def _pattern(markup: str) -> str:
+    """A template as a regular expression over words that each end in a blank."""
+    out = ""
+    for part in MARK.split(markup):
+        if part in ("[[", "]]"):
+            out += {"[[": "(?:", "]]": ")?"}[part]
+        elif part.startswith("<<"):
+            least, _, most = part[2:-2].rpartition("..")
+            out += f"(?:[^ ]+ ){{{least or most},{most}}}"
+        else:
+            out += "".join(f"{word} " for word in re.findall("[a-z0-9]+", part.lower()))
+    return out
+
+
+def _licenses() -> str:
+    phrases = [(phrase.split(), label) for phrase, label in BASE.items()]
+    places = " || ".join(
+        f"[{{'at': i - 1, 'label': '{label}'}} for i in range(1, len(words) + 1) if words[i:i + {len(p) - 1}] = {p}]" for p, label in phrases
+    )
+    labels = ", ".join(f"CASE WHEN regexp_matches(joined, ' {_pattern(m)}') THEN '{label}' END" for label, m in TEMPLATES)
+    return rf"""
+        WITH cut AS (
+            SELECT doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), joined AS (
+            SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM cut
+        ), found AS (
+            SELECT doc_id, len(words) AS n_words, {places} AS places,
+                   [x for x in [{labels}] if x IS NOT NULL] AS more
+            FROM joined
+        )
+        SELECT doc_id, n_words, len(places) AS n_base,
+               list_min([p.at for p in places]) AS first_word, list_max([p.at for p in places]) AS last_word,
+               array_to_string(list_sort(list_distinct([p.label for p in places])), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct([p.label for p in places] || more)), ',') AS labels,
+               CASE WHEN len(more) > 0 THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+        FROM found
+    """
+
 
 SQL = {
     "op2_hamming_top_k": """
@@ -37,7 +83,7 @@ SQL = {
             FROM keyed k JOIN total t ON k.source IS NOT DISTINCT FROM t.source
             WHERE k.line <> ''
             GROUP BY k.source, k.line, t.pages
-            HAVING count(DISTINCT k.text) >= 5 AND count(DISTINCT k.text) > 0.1 * t.pages
+            HAVING count(DISTINCT k.text) >= 5 AND count(DISTINCT k.text) > 0.02 * t.pages
         ), marked AS (
             SELECT k.doc_id, k.raw, k.place, d.line IS NOT NULL AS gone
             FROM keyed k LEFT JOIN drops d ON k.source IS NOT DISTINCT FROM d.source AND k.line = d.line
@@ -49,6 +95,7 @@ SQL = {
         SELECT p.doc_id, coalesce(j.n_dropped, 0) AS n_dropped, md5(j.text) AS text_md5
         FROM page p LEFT JOIN joined j ON p.doc_id = j.doc_id
     """,
+    "op7_license_scan": _licenses(),
     "op11_lexical_search": r"""
         WITH doc AS (
             SELECT row_number() OVER () AS r, doc_id,
