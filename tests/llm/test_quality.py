@@ -54,3 +54,55 @@ def test_confident_documents_teach_the_other_view(spark):
     assert odds[b"site1"] > 1 and odds[b"site0"] < -1
     found = quality.classify(docs, labels).where("doc_id >= 40").toPandas()
     assert ((found["score"] >= 0.5) == (found["doc_id"] % 2 == 1)).all()
+
+
+def _vectors(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return quality.with_labels(
+        quality.features(docs, "doc_id", "text", "source", "lang", "n_chars"), spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "quality"
+    )
+
+
+def test_rounds_against_plain_numpy_over_all_rows(spark):
+    """Every round hands over the surest rows of all that were not handed over, copies once."""
+    vectors = _vectors(spark, "/root/testdata/sf0.01").repartition(6)
+    vectors = vectors.unionByName(vectors.where("id % 50 = 0").withColumn("id", vectors.id + 10**6))  # copies
+    rows = vectors.where("y is null").select("id", "text_view", "meta_view").collect()
+    sample = vectors.where("y is not null").collect()
+    y = np.array([r.y for r in sample], float)
+    views = tuple(
+        quality.fit(quality._matrix([r[c] for r in sample], size), y)
+        for c, size in (("text_view", quality.TEXT_SIZE), ("meta_view", quality.META_SIZE))
+    )
+    n, taught = {0: 40, 1: 25}, (set(), set())
+    odds = [
+        v.log_odds(quality._matrix([r[c] for r in rows], size))
+        for v, c, size in zip(views, ("text_view", "meta_view"), (quality.TEXT_SIZE, quality.META_SIZE))
+    ]
+    pool = vectors.where("y is null").select("id", "text_view", "meta_view")
+    for _ in range(3):
+        got = quality._surest(pool, views, n, taught, 5).to_pylist()
+        for view in (0, 1):
+            for label in (0, 1):
+                sure = odds[view] if label else -odds[view]
+                best = {}
+                for s, r in zip(sure, rows):
+                    key = quality._features_key(r.text_view, r.meta_view)
+                    if s >= np.log(19) - 1e-12 and key not in taught[view]:
+                        low, first = best.get(key, (0.0, r.id))
+                        best[key] = (min(low, -s), min(first, r.id))
+                want = [i for _, i in sorted(best.values())[: n[label]]]
+                assert [g["id"] for g in got if (g["view"], g["y"]) == (view, label)] == want
+        assert got
+        for g in got:
+            taught[g["view"]].add(quality._features_key(g["text_view"], g["meta_view"]))
+    assert len(taught[0]) > 65  # the third round still found others
+
+
+def test_the_sample_has_the_smallest_hashes(spark):
+    labelled = spark.range(50_000).selectExpr("id", "cast('t' as binary) text_view", "cast('m' as binary) meta_view", "1 as y")
+    got = quality._sample(labelled, 300).column("id").to_pylist()
+    want = [r.id for r in labelled.orderBy(F.xxhash64("id")).limit(300).collect()]
+    assert got == want
+    plan_rows = labelled.where(F.xxhash64("id") < F.lit(round(-(2**63) + (300 + 8 * 300**0.5 + 64) / 50_000 * 2**64)).cast("long")).count()
+    assert 300 <= plan_rows < 1_000

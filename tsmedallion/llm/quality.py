@@ -9,10 +9,13 @@ training, and the calibrated log odds are added (less the prior that both contai
 
 Features are computed once, joined with the labels and written to the scratch folder; a
 round is one pass over them without a join, in which a task keeps its surest documents and
-Spark merges these, by salts and then as a whole, to the surest of all.
+Spark merges these, by salts and then as a whole, to the surest of all. Copies are one: of equal
+features the smallest id counts. What a view has been taught leaves the pool of the view that
+taught it, so that each round hands over others.
 The driver fits on a bounded sample: at most ``MAX_LABELLED`` labelled documents (those with
-the smallest hash of their id) and ``PSEUDO`` pseudo-labelled ones a view and round. The
-scoring, the choice of pseudo-labels and the statistics cover every document.
+the smallest hash of their id, of which hardly more are sorted) and ``PSEUDO`` pseudo-labelled ones a
+view and round. Neither bound grows with the corpus. The scoring, the choice of pseudo-labels and the
+statistics cover every document.
 
 * A null text is an empty text; null metadata is a value of its own.
 * Labels that are null are not used; of several labels for one id the mean decides, a tie
@@ -23,6 +26,7 @@ scoring, the choice of pseudo-labels and the statistics cover every document.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +43,8 @@ MAX_LABELLED = 20_000
 ROUNDS = 3
 PSEUDO = 400
 SURE = 0.95
-SALTS = 16
+ROWS_PER_SALT = 1_000_000
+LEAST_SALTS = 16
 HELD_PART = 5  # one in so many labelled documents calibrates
 RIDGE = 1.0
 PAIR_BUCKETS = 64
@@ -178,44 +183,91 @@ def _matrix(column: list[bytes] | pa.ChunkedArray, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.float32).reshape(-1, size)
 
 
-def _surest(rows: DataFrame, views: tuple[Logistic, Logistic], n: dict[int, int]) -> pa.Table:
-    """The unlabelled documents that each view is surest of, of each class, at most ``n[class]``."""
+def _features_key(text: bytes, meta: bytes) -> int:
+    """Tells features apart; signed, as Spark's longs are."""
+    return int.from_bytes(hashlib.blake2b(text + meta, digest_size=8).digest(), "big", signed=True)
+
+
+class _Surest:
+    """The surest documents of one view and class so far, one for each feature vector."""
+
+    def __init__(self, n: int, taught: set[int]):
+        self.n, self.taught = n, taught
+        self.held: dict[int, tuple] = {}  # by features: (-sureness, id, text, meta)
+
+    def add(self, sure: np.ndarray, ids: list, texts: list[bytes], metas: list[bytes], bound: float) -> None:
+        least = bound if len(self.held) < self.n else max(bound, -max(self.held.values())[0])
+        for i in np.nonzero(sure >= least)[0].tolist():
+            key = _features_key(texts[i], metas[i])
+            if key in self.taught:
+                continue
+            low, first, *_ = self.held.get(key, (0.0, ids[i]))
+            self.held[key] = (min(low, -float(sure[i])), min(first, ids[i]), texts[i], metas[i])
+            if len(self.held) > 4 * self.n:
+                self._cut()
+        self._cut()
+
+    def _cut(self) -> None:
+        self.held = dict(sorted(self.held.items(), key=lambda x: x[1][:2])[: self.n])
+
+
+def _surest(
+    rows: DataFrame, views: tuple[Logistic, Logistic], n: dict[int, int], taught: tuple[set[int], set[int]], salts: int
+) -> pa.Table:
+    """The unlabelled documents that each view is surest of, of each class, at most ``n[class]``.
+
+    ``taught`` has what each view has handed over before. Of equal sureness the smaller id goes first.
+    """
     bound = float(np.log(SURE / (1 - SURE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["view", "y", "odds", "id", "text_view", "meta_view"]
+        best = {(view, y): _Surest(n[y], taught[view]) for view in (0, 1) for y in (0, 1)}
+        kind = None
         for batch in batches:
-            text, meta = _matrix(batch.column(1).to_pylist(), TEXT_SIZE), _matrix(batch.column(2).to_pylist(), META_SIZE)
+            kind = batch.schema.field(0).type
+            ids, texts, metas = (c.to_pylist() for c in batch.columns)
+            text, meta = _matrix(texts, TEXT_SIZE), _matrix(metas, META_SIZE)
             for view, odds in enumerate(v.log_odds(x) for v, x in zip(views, (text, meta))):
                 for y in (0, 1):
-                    sure = odds if y else -odds
-                    order = np.lexsort((batch.column(0).to_numpy(zero_copy_only=False), -sure))[: n[y]]
-                    order = pa.array(order[sure[order] >= bound])
-                    part = batch.take(order)
-                    value = pa.array(sure)
-                    columns = [pa.array([view] * len(part), pa.int32()), pa.array([y] * len(part), pa.int32()), value.take(order)]
-                    yield pa.RecordBatch.from_arrays([*columns, *part.columns], names=names)
+                    best[view, y].add(odds if y else -odds, ids, texts, metas, bound)
+        held = [(view, y, -low, i, key, t, m) for (view, y), b in best.items() for key, (low, i, t, m) in b.held.items()]
+        if held:
+            kinds = (pa.int32(), pa.int32(), pa.float64(), kind, pa.int64(), pa.binary(), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["view", "y", "odds", "id", "key", "text_view", "meta_view"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(run, f"view int, y int, odds double, id {kind}, text_view binary, meta_view binary")
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    found = rows.mapInArrow(run, f"view int, y int, odds double, id {kind}, key long, text_view binary, meta_view binary")
+    # Equal features of several tasks, then the surest by salt, then of all.
+    found = found.groupBy("view", "y", "key").agg(
+        F.max("odds").alias("odds"), F.min("id").alias("id"), F.min("text_view").alias("text_view"), F.min("meta_view").alias("meta_view")
+    )
+    salt = F.pmod(F.xxhash64("key"), F.lit(salts))
     for keys in (["view", "y", salt], ["view", "y"]):
         order = Window.partitionBy(*keys).orderBy(F.desc("odds"), "id")
         found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(n.values()))
     most = F.when(F.col("y") == 1, F.lit(n[1])).otherwise(F.lit(n[0]))
-    return found.where(F.col("place") <= most).select("view", "y", "text_view", "meta_view").toArrow()
+    return found.where(F.col("place") <= most).select("view", "y", "id", "text_view", "meta_view").orderBy("view", "y", "place").toArrow()
+
+
+def _sample(labelled: DataFrame, most: int) -> pa.Table:
+    """The ``most`` labelled rows with the smallest hashes of their ids.
+
+    A bound on the hash, from the number of rows, leaves little more than that to be sorted.
+    """
+    n = labelled.count()
+    share = (most + 8 * most**0.5 + 64) / max(1, n)
+    near = labelled
+    if share < 1:
+        near = labelled.where(F.xxhash64("id") < F.lit(round(-(2**63) + share * 2**64)).cast("long"))
+    return near.orderBy(F.xxhash64("id"), "id", "text_view", "meta_view").limit(most).toArrow()
 
 
 def co_train(
     vectors: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, pseudo: int = PSEUDO
 ) -> CoModel:
     """Learn from the labelled and the unlabelled rows of ``vectors`` (written features)."""
-    sample = (
-        vectors.where("y is not null")
-        .orderBy(F.xxhash64("id"), "id", "text_view", "meta_view")
-        .limit(max_labelled)
-        .toArrow()
-    )
+    sample = _sample(vectors.where("y is not null"), max_labelled)
     y = sample.column("y").to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
         return CoModel(float(y.mean()) if len(y) else 0.5)
@@ -228,16 +280,19 @@ def co_train(
     train_y = [y[~held], y[~held]]
     views = tuple(fit(a, b) for a, b in zip(train_x, train_y))
     unlabelled = vectors.where("id is not null and y is null").select("id", "text_view", "meta_view")
+    salts = max(LEAST_SALTS, unlabelled.count() // ROWS_PER_SALT)
     n = {1: max(1, round(pseudo * prior)), 0: max(1, round(pseudo * (1 - prior)))}
+    taught: tuple[set[int], set[int]] = (set(), set())
     for _ in range(rounds):
-        found = _surest(unlabelled, views, n)
-        taught, new_y = found.column("view").to_numpy(), found.column("y").to_numpy().astype(np.float64)
-        new = [_matrix(found.column("text_view"), TEXT_SIZE), _matrix(found.column("meta_view"), META_SIZE)]
-        views = tuple(
-            fit(np.vstack([train_x[v], new[v][taught != v]]), np.append(train_y[v], new_y[taught != v])) for v in (0, 1)
-        )
-        train_x = [np.vstack([train_x[v], new[v][taught != v]]) for v in (0, 1)]
-        train_y = [np.append(train_y[v], new_y[taught != v]) for v in (0, 1)]
+        found = _surest(unlabelled, views, n, taught, salts)
+        teacher, new_y = found.column("view").to_numpy(), found.column("y").to_numpy().astype(np.float64)
+        texts, metas = found.column("text_view").to_pylist(), found.column("meta_view").to_pylist()
+        for view, text, meta in zip(teacher.tolist(), texts, metas):
+            taught[view].add(_features_key(text, meta))
+        new = [_matrix(texts, TEXT_SIZE), _matrix(metas, META_SIZE)]
+        train_x = [np.vstack([train_x[v], new[v][teacher != v]]) for v in (0, 1)]
+        train_y = [np.append(train_y[v], new_y[teacher != v]) for v in (0, 1)]
+        views = tuple(fit(a, b) for a, b in zip(train_x, train_y))
     fold = held if held.any() else ~held
     calibrations = tuple(fit(v.log_odds(a[fold])[:, None], y[fold]) for v, a in zip(views, x))
     return CoModel(prior, views, calibrations)
