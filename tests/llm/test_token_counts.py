@@ -47,6 +47,17 @@ def test_a_full_trie_is_begun_anew_without_changing_counts():
     assert [small.count(w) for w in words] == [large.count(w) for w in words]
 
 
+def test_long_words_are_counted_without_the_trie():
+    rng = random.Random(8)
+    pieces = {"".join(rng.choices("abc", k=rng.randint(1, 4))): rng.uniform(-9, -1) for _ in range(40)}
+    window, trie = ForwardTrie(pieces, longest_word=1), ForwardTrie(pieces)
+    for _ in range(200):
+        word = "".join(rng.choices("abcé", k=rng.randint(1, 60)))
+        assert window.count(word) == trie.count(word)
+    assert len(window.score) == 1 and not window.terminal
+    assert window.count("ab" * 100_000) > 0  # a word of any length, in the memory of its longest piece
+
+
 def test_prefixes_are_scored_once():
     trie = ForwardTrie({"a": -1.0, "b": -1.0})
     trie.count("aaaa")

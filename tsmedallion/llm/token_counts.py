@@ -7,7 +7,9 @@ prefixes, so a task keeps them in a trie: the forward score of a prefix is compu
 once, when its node is made, and a pre-token's count is read at its last node.
 
 Texts are independent, so there is no shuffle. The trie of a task has at most
-``max_nodes`` nodes; a full one is begun anew, which costs time and changes nothing.
+``max_nodes`` nodes; a full one is begun anew, which costs time and changes nothing. A word of
+over ``longest_word`` characters, which hardly ever repeats, is not put into the trie: its forward
+scores go through a window as long as the longest piece.
 
 * A null or empty text has no words and no tokens; repeated rows are counted each.
 * A character that no piece covers costs its UTF-8 bytes, as with byte fallback.
@@ -28,6 +30,7 @@ from tsmedallion.llm.common import strings
 WORD_START = "▁"
 MAX_PIECES = 1_000_000
 MAX_NODES = 1_000_000
+LONGEST_WORD = 1_000
 UNKNOWN_BELOW = 10.0  # an unknown character scores so far below the rarest piece
 
 
@@ -56,8 +59,9 @@ def load_pieces(path: str, max_pieces: int = MAX_PIECES) -> dict[str, float]:
 class ForwardTrie:
     """Pre-tokens, with the best score and its token count at every prefix."""
 
-    def __init__(self, pieces: Mapping[str, float], max_nodes: int = MAX_NODES):
-        self.max_nodes = max_nodes
+    def __init__(self, pieces: Mapping[str, float], max_nodes: int = MAX_NODES, longest_word: int = LONGEST_WORD):
+        self.max_nodes, self.longest_word = max_nodes, min(longest_word, max_nodes)
+        self.longest_piece = max(map(len, pieces), default=1)
         # Every end of a piece, with its score if it is a piece itself: a search for the
         # pieces that end at a place stops at the first end that none has.
         self.ends: dict[str, float | None] = {p[i:]: None for p in pieces for i in range(len(p))}
@@ -74,6 +78,8 @@ class ForwardTrie:
         """Tokens of ``word``, inserted at its first occurrence."""
         if (found := self.terminal.get(word)) is not None:
             return found
+        if len(word) >= self.longest_word:
+            return self._count_long(word)
         if len(self.score) + len(word) > self.max_nodes:
             self._clear()
         path = [0]
@@ -86,6 +92,25 @@ class ForwardTrie:
         self.terminal[word] = tokens = self.tokens[path[-1]]
         return tokens
 
+    def _count_long(self, word: str) -> int:
+        """The same for a word that is not kept, with the last prefixes' scores alone."""
+        keep = self.longest_piece + 1
+        score, tokens = [0.0] * keep, [0] * keep  # of the prefix of n characters, at n % keep
+        for end in range(1, len(word) + 1):
+            best = score[(end - 1) % keep] + self.unknown
+            n = tokens[(end - 1) % keep] + len(word[end - 1].encode())
+            for start in range(end - 1, -1, -1):
+                part = word[start:end]
+                if part not in self.ends:
+                    break
+                piece = self.ends[part]
+                if piece is not None:
+                    own, count = score[start % keep] + piece, tokens[start % keep] + 1
+                    if own > best or own == best and count < n:
+                        best, n = own, count
+            score[end % keep], tokens[end % keep] = best, n
+        return tokens[len(word) % keep]
+
     def _forward(self, word: str, end: int, path: list[int]) -> int:
         """A node for ``word[:end]``; ``path`` has the nodes of its shorter prefixes."""
         before = path[end - 1]
