@@ -38,6 +38,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -179,8 +180,8 @@ class Packer:
 
     def _row(self, conv_id, **more) -> dict:
         self.seq += 1
-        attends = [{"first": a, "end": b} for a, b in self.spans]
-        return {"pack": self.pack, "seq": self.seq, "conv_id": conv_id, "position": self.position, "attends": attends, **more}
+        row = {"pack": self.pack, "seq": self.seq, "conv_id": conv_id, "position": self.position, "attends": self.spans}
+        return row | {"loss_first": None, "loss_end": None} | more
 
 
 def pack_conversations(
@@ -232,6 +233,17 @@ def pack_conversations(
             + [("position", pa.int64()), ("attends", span), ("tokens", pa.list_(pa.int32()))]
             + [("loss_first", pa.int64()), ("loss_end", pa.int64())]
         )
+
+        def table(rows: list[dict]) -> pa.RecordBatch:
+            found = {c: pa.array([r[c] for r in rows], schema.field(c).type) for c in schema.names if c not in ("attends", "tokens")}
+            ends = np.array([b for r in rows for b in r["attends"]], np.int64).reshape(-1, 2)
+            parts = pa.StructArray.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["first", "end"])
+            flat = np.concatenate([np.empty(0, np.int32), *(np.array(r["tokens"], np.int32) for r in rows)])
+            for name, values in (("attends", parts), ("tokens", pa.array(flat))):
+                offsets = np.concatenate([[0], np.cumsum([len(r[name]) for r in rows], dtype=np.int64)])
+                found[name] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            return pa.RecordBatch.from_arrays([found[c] for c in schema.names], names=schema.names)
+
         packer = Packer(Codec(file.value), TaskContext.get().partitionId() << 32, pack_tokens, depth, trained_role)
         open_, last = False, None
         for batch in batches:
@@ -245,9 +257,9 @@ def pack_conversations(
                 row = packer.turn(conv_id, role, text, digest)
                 if row is not None:
                     out.append(row)
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            yield table(out)
         if open_:
-            yield pa.RecordBatch.from_pylist([packer.close(last)], schema=schema)
+            yield table([packer.close(last)])
 
     span = "array<struct<first: long, end: long>>"
     packs = sorted_.mapInArrow(
@@ -293,22 +305,27 @@ def read_back(packs: DataFrame, vocabulary_path: str, depth: int = DEPTH) -> Dat
         codec, pack, path = Codec(file.value), None, [Read()]
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                if row["pack"] != pack:
-                    pack, path = row["pack"], [Read()]
-                at = next((i for i in range(len(path) - 1, -1, -1) if path[i].position == row["position"]), None)
-                if at is None or sum(s["end"] - s["first"] for s in row["attends"]) != row["position"]:
-                    raise ValueError(f"pack {pack} has no path to row {row['seq']}")
-                if row["closes"]:
+            tokens, spans = batch.column("tokens"), batch.column("attends")
+            token_at, span_at = tokens.offsets.to_pylist(), spans.offsets.to_numpy()
+            tokens, spans = tokens.values.to_numpy(), spans.values
+            lengths = np.concatenate([[0], np.cumsum(spans.field("end").to_numpy() - spans.field("first").to_numpy())])
+            attended = (lengths[span_at[1:]] - lengths[span_at[:-1]]).tolist()
+            plain = ("pack", "seq", "conv_id", "closes", "first", "position", "loss_first", "loss_end")
+            rows = zip(*(batch.column(c).to_pylist() for c in plain), attended, token_at, token_at[1:])
+            for own, seq, conv_id, closes, first, position, loss_first, loss_end, n_attended, low, high in rows:
+                if own != pack:
+                    pack, path = own, [Read()]
+                at = next((i for i in range(len(path) - 1, -1, -1) if path[i].position == position), None)
+                if at is None or n_attended != position:
+                    raise ValueError(f"pack {pack} has no path to row {seq}")
+                if closes:
                     end = path[at]
-                    values = (end.n_turns, end.turns.hexdigest(), end.loss_chars, end.loss.hexdigest(), end.chars)
-                    out.append((row["conv_id"], *values))
+                    out.append((conv_id, end.n_turns, end.turns.hexdigest(), end.loss_chars, end.loss.hexdigest(), end.chars))
                     continue
-                tokens, first = row["tokens"], row["first"]
-                loss = ""
-                if row["loss_first"] is not None:
-                    loss = unescape(codec.decode(tokens[row["loss_first"] - first : row["loss_end"] - first]))
-                after = path[at].then(codec.decode(tokens), loss, len(tokens))
+                turn, loss = tokens[low:high].tolist(), ""
+                if loss_first is not None:
+                    loss = unescape(codec.decode(turn[loss_first - first : loss_end - first]))
+                after = path[at].then(codec.decode(turn), loss, len(turn))
                 # Behind the turns that can be shared, only the last one is gone on from.
                 path[min(at, depth) + 1 :] = [after]
             kinds = (ids, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())

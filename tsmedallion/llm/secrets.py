@@ -14,7 +14,7 @@ committed leaves the ledger as it was, and a repeated append is read once.
 
 * A null text is an empty text. A null path is kept as such. Repeated rows are kept each.
 * Positions are code points, the end exclusive. Matches of one rule never overlap.
-* No versions: no rows, and nothing is appended.
+* No versions: no rows, and no blob is appended.
 """
 
 from __future__ import annotations

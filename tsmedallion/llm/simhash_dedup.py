@@ -15,8 +15,9 @@ The fingerprint is cut into segments of 23, 23 and 18 bits. Of at most four erro
   choices of the third, four of the halves).
 
 So a fingerprint has about 90 keys of over 32 bits, and linked fingerprints share at least one. Candidates
-are joined by key and verified by their distance. Only connectivity is asked for, so no
-bucket is paired out:
+are joined by key and verified by their distance. Only connectivity is asked for, so a bucket
+that is one component after the first step is not paired out; one of many components is,
+but for the pairs within its commonest:
 
 1. every fingerprint is compared with the smallest one of its bucket (a star), and the
    components of the verified links are found;
