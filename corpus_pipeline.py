@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tsmedallion.llm import decontaminate, language_id, line_dedup, mixing, simhash_dedup
 from tsmedallion.llm.common import table, unused
-from tsmedallion.session import materialise
+from tsmedallion.session import materialise, scratch_path, scratch_scope
 
 LEAST_LANGUAGE_SCORE = 1 / 3
 
@@ -44,6 +44,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Drops boilerplate lines by source; ``n_chars`` follows the text. No row goes."""
     (dropped,) = unused(docs, "dropped")
     cleaned = line_dedup.drop_boilerplate(docs, dropped_col=dropped)
+    if "n_chars" not in docs.columns:
+        return _only(cleaned, docs.columns)
     size = F.when(F.col(dropped) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return _only(cleaned.withColumn("n_chars", size), docs.columns)
 
@@ -82,7 +84,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    """The rows of the last stage. The tables that stages wrote go at the end, but for that one."""
+    *earlier, (last, mix) = STAGES
+    result = scratch_path(spark, f"stage-{last}")
+    with scratch_scope(spark):
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in earlier:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        mixed = mix(spark, docs, sf_dir)
+        mixed.write.parquet(result)
+    return spark.read.schema(mixed.schema).parquet(result)
