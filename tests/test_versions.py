@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
 
 from tsmedallion.operators import incremental, marts
+from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily, run_versions
 from tsmedallion.schemas import STAGING, default_catalogue
-from tsmedallion.sources import snapshots
+from tsmedallion.sources import snapshots, tables
 
 NOW = datetime(2024, 2, 1, 6)
 BY_YEAR = T.StructType([*STAGING.fields, T.StructField("year", T.IntegerType())])
@@ -59,7 +61,7 @@ def test_refresh_equals_rebuild_under_random_changes(spark, tmp_path):
     ]
     catalogue, root = default_catalogue(spark), str(tmp_path / "gold")
     incremental.build_version(spark, root, _frame(spark, rows), catalogue, NOW)
-    for step in range(4):
+    for step in range(3):
         gone = rng.sample(range(len(rows)), 6)
         deleted = [rows[i] for i in gone]
         new = [_row(r[0], r[2], rng.random(), f"2024-02-{step + 1:02d}", rng.choice([None, "renamed"])) for r in rng.sample(rows, 5)]
@@ -67,7 +69,7 @@ def test_refresh_equals_rebuild_under_random_changes(spark, tmp_path):
         rows = [r for i, r in enumerate(rows) if i not in gone] + new
         staged = _staged(spark, tmp_path / f"staged{step}", rows)
         number = incremental.refresh_version(
-            spark, root, staged, _frame(spark, new), _frame(spark, deleted), catalogue, NOW, max_layers=3
+            spark, root, staged, _frame(spark, new), _frame(spark, deleted), catalogue, NOW, max_layers=2
         )
         assert number == step + 2
         assert _content(snapshots.open_snapshot(spark, root)) == _rebuilt(spark, rows), step
@@ -138,3 +140,83 @@ def test_nothing_changed_publishes_nothing(spark, tmp_path):
     staged = _staged(spark, tmp_path / "staged", rows)
     assert incremental.refresh_version(spark, root, staged, _frame(spark, []), _frame(spark, []), catalogue, NOW) == 1
     assert snapshots.versions(spark, root) == [1]
+
+
+# --- The daily run ----------------------------------------------------------
+
+
+def _land(lake, ingest_date, **series):
+    for name, observations in series.items():
+        folder = lake / "landing" / f"ingest_date={ingest_date}" / f"series_id={name}"
+        folder.mkdir(parents=True, exist_ok=True)
+        rows = [{"realtime_start": ingest_date, "realtime_end": "9999-12-31", "date": d, "value": v} for d, v in observations]
+        (folder / "doc.json").write_text(json.dumps({"observations": rows}))
+
+
+def _run(lake, ingest_date, hour=6):
+    at = datetime.fromisoformat(f"{ingest_date}T{hour:02d}:00:00").replace(tzinfo=timezone.utc)
+    return DailyRun(landing=str(lake / "landing"), lake=str(lake / "lake"), ingest_date=ingest_date, run_at=at)
+
+
+def _facts(snapshot):
+    return sorted((tuple(r)[:8] for r in snapshot.read("fct_observations").collect()), key=str)
+
+
+def test_daily_versions_equal_daily_rebuilds(spark, tmp_path):
+    """New observations, revisions, a rerun that withdraws rows, and a run that adds nothing."""
+    months = [f"{2020 + i // 12}-{i % 12 + 1:02d}-01" for i in range(30)]
+    days = {
+        "2024-02-01": {"GDP": [(m, str(100 + i)) for i, m in enumerate(months)], "DFF": [(m, str(i)) for i, m in enumerate(months[:20])]},
+        "2024-02-02": {"GDP": [(months[25], "7"), ("2022-07-01", "8")], "UNRATE": [(months[3], "4"), ("bad", "."), (months[4], ".")]},
+        "2024-02-03": {"DFF": [(m, str(i)) for i, m in enumerate(months[:20])]},
+    }
+    for day, series in days.items():
+        _land(tmp_path, day, **series)
+    root = str(tmp_path / "lake" / "versions")
+    for number, day in enumerate(days, 1):
+        assert run_versions(spark, _run(tmp_path, day))["version"] == number
+        run_daily(spark, _run(tmp_path, day))
+        gold = str(tmp_path / "lake" / "gold")
+        found = snapshots.open_snapshot(spark, root)
+        assert sorted(found.runs) == sorted(list(days)[:number])
+        for table, n in (("fct_observations", 8), ("dim_indicators", 4), ("dim_time", 12)):
+            wanted = sorted((tuple(r)[:n] for r in tables.read_gold(spark, gold, table).collect()), key=str)
+            assert sorted((tuple(r)[:n] for r in found.read(table).collect()), key=str) == wanted, (day, table)
+    # The second day comes again without the revision, the third as it was.
+    before = _facts(snapshots.open_snapshot(spark, root))
+    _land(tmp_path, "2024-02-02", GDP=[("2022-07-01", "8")], UNRATE=[(months[3], "4")])
+    assert run_versions(spark, _run(tmp_path, "2024-02-02", 9))["version"] == 4
+    after = snapshots.open_snapshot(spark, root)
+    revised = date(2022, 2, 1)
+    assert {r[2] for r in before if r[:2] == ("GDP", revised)} == {7.0}
+    assert {r[2] for r in _facts(after) if r[:2] == ("GDP", revised)} == {125.0}
+    staged = after.read("stg_observations").collect()
+    assert len(staged) == 30 + 20 + 1 + 1 + 20
+
+
+def test_only_the_years_of_a_run_are_transformed_again(spark, tmp_path):
+    _land(tmp_path, "2024-02-01", GDP=[(f"{2000 + i // 12}-{i % 12 + 1:02d}-01", str(i)) for i in range(288)])
+    run = _run(tmp_path, "2024-02-01")
+    run = DailyRun(**{**run.__dict__, "observation_start": None})
+    run_versions(spark, run)
+    _land(tmp_path, "2024-02-02", GDP=[("2024-01-01", "5")])
+    second = DailyRun(**{**run.__dict__, "ingest_date": "2024-02-02"})
+    run_versions(spark, second)
+    layers = snapshots.open_snapshot(spark, str(tmp_path / "lake" / "versions")).tables
+    assert layers["stg_observations"][-1]["years"] == [2024]
+    assert [p.name for p in Path(layers["fct_observations"][-1]["rows"]).glob("year=*")] == ["year=2024"]
+
+
+def test_a_version_that_fails_its_tests_is_not_published(spark, tmp_path):
+    _land(tmp_path, "2024-02-01", GDP=[("2024-01-01", "5")])
+    run_versions(spark, _run(tmp_path, "2024-02-01"))
+    root = str(tmp_path / "lake" / "versions")
+    before = _content(snapshots.open_snapshot(spark, root))
+    _land(tmp_path, "2024-02-02", GDP=[("2024-01-02", "6"), ("no date", "7")])
+    with pytest.raises(DataTestError, match="observation_date"):
+        run_versions(spark, _run(tmp_path, "2024-02-02"))
+    assert snapshots.versions(spark, root) == [1]
+    assert _content(snapshots.open_snapshot(spark, root)) == before
+    _land(tmp_path, "2024-02-02", GDP=[("2024-01-02", "6")])
+    assert run_versions(spark, _run(tmp_path, "2024-02-02"))["version"] == 2
+    assert len(_facts(snapshots.open_snapshot(spark, root))) == 2

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from tsmedallion.plans.daily import DailyRun, run_daily
+from tsmedallion.plans.daily import DailyRun, run_daily, run_versions
 from tsmedallion.schemas import CATALOGUE, DEFAULT_OBSERVATION_START
 from tsmedallion.session import SESSION_CONF
 from tsmedallion.sources.tables import LAYOUTS
@@ -25,6 +25,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--vintages", choices=("current", "all"), default="current")
     parser.add_argument("--layout", choices=LAYOUTS, default="folders")
     parser.add_argument("--json-lines", action="store_true", help="one document per line")
+    parser.add_argument("--versions", action="store_true", help="publish a version of gold instead of rebuilding it")
     parser.add_argument(
         "--max-bad-share", type=float, help="share of unreadable documents to quarantine; none by default"
     )
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
             catalogue=catalogue,
             max_bad_share=args.max_bad_share,
         )
-        print(json.dumps(run_daily(spark, run)))
+        print(json.dumps(run_versions(spark, run) if args.versions else run_daily(spark, run)))
         return 0
     except Exception:
         traceback.print_exc()

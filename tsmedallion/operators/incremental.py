@@ -10,15 +10,28 @@ Dimensions are kept by key: only the dates and names that occur in the change se
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tsmedallion.operators import marts
+from tsmedallion.operators import marts, silver, staging
 from tsmedallion.operators.staging import current_vintage
+from tsmedallion.schemas import BRONZE_AT_REST, STAGING
 from tsmedallion.session import materialise, scratch_scope
-from tsmedallion.sources.snapshots import FACT, Snapshot, open_snapshot, publish, write_layer
+from tsmedallion.sources.snapshots import (
+    FACT,
+    STAGED,
+    Layer,
+    Snapshot,
+    in_years,
+    open_snapshot,
+    publish,
+    versions,
+    write_layer,
+    write_run,
+)
 
 # Of a change to rows without a date, which follow all dated ones.
 BEHIND_ALL_DATES = "9999-12-31"
@@ -118,9 +131,7 @@ def upsert_time(dim: DataFrame, staged: DataFrame, inserted: DataFrame, deleted:
     days = materialise(
         inserted.select("observation_date").unionByName(deleted.select("observation_date")).distinct(), "changed-dates"
     )
-    years = [r[0] for r in days.select(F.year("observation_date")).distinct().collect()]  # a calendar's worth
-    of_years = F.col("year").isin([y for y in years if y is not None])
-    near = staged.filter(of_years | F.col("year").isNull() if None in years else of_years)
+    near = staged.filter(in_years(_years(days)))
     changed = days.select(F.col("observation_date").alias("changed"))
     same = F.col("observation_date").eqNullSafe(F.col("changed"))
     found = marts.dim_time(near.join(changed, same, "left_semi"))
@@ -155,16 +166,49 @@ def upsert_indicators(
     return _upserted(dim, ["indicator_id", "indicator_name"], gone, found)
 
 
+def gold_layers(root: str, staged: DataFrame, catalogue: DataFrame, created_at: datetime | None = None) -> dict[str, list[Layer]]:
+    """All of gold, built from all of staging."""
+    return {
+        "dim_indicators": [write_layer(marts.dim_indicators(staged, catalogue, created_at), root, "dim_indicators")],
+        "dim_time": [write_layer(marts.dim_time(staged), root, "dim_time")],
+        FACT: [write_layer(marts.fct_observations(staged, "current", created_at), root, FACT)],
+    }
+
+
 def build_version(
     spark: SparkSession, root: str, staged: DataFrame, catalogue: DataFrame, created_at: datetime | None = None, after: int = 0
 ) -> int:
     """A version built from all of staging; returns its number."""
-    layers = {
-        "dim_indicators": write_layer(marts.dim_indicators(staged, catalogue, created_at), root, "dim_indicators"),
-        "dim_time": write_layer(marts.dim_time(staged), root, "dim_time"),
-        FACT: write_layer(marts.fct_observations(staged, "current", created_at), root, FACT),
+    return publish(spark, root, after, gold_layers(root, staged, catalogue, created_at))
+
+
+def refreshed_layers(
+    snapshot: Snapshot,
+    staged: DataFrame,
+    inserted: DataFrame,
+    deleted: DataFrame,
+    catalogue: DataFrame,
+    created_at: datetime | None = None,
+    max_layers: int = MAX_LAYERS,
+) -> dict[str, list[Layer]] | None:
+    """Gold of ``snapshot`` brought up to date, not yet published; None if nothing changed."""
+    spark, root = snapshot.spark, snapshot.root
+    changes = materialise(change_set(inserted, deleted), "changes")
+    first = changes.agg(F.year(F.min("from_date"))).first()[0]
+    if first is None:
+        return None
+    time = upsert_time(snapshot.read("dim_time"), staged, inserted, deleted)
+    names = upsert_indicators(snapshot.read("dim_indicators"), staged, inserted, deleted, first, catalogue, created_at)
+    fact = write_layer(suffix_fact(snapshot, staged, changes, first, created_at), root, FACT, changes)
+    tables = {
+        "dim_time": [write_layer(time, root, "dim_time")],
+        "dim_indicators": [write_layer(names, root, "dim_indicators")],
+        FACT: [*snapshot.tables[FACT], fact],
     }
-    return publish(spark, root, after, {name: [layer] for name, layer in layers.items()})
+    if len(tables[FACT]) > max_layers:
+        whole = Snapshot(spark, root, snapshot.number, tables).read(FACT)
+        tables[FACT] = [write_layer(whole, root, FACT)]
+    return tables
 
 
 def refresh_version(
@@ -186,19 +230,84 @@ def refresh_version(
     """
     snapshot = open_snapshot(spark, root)
     with scratch_scope(spark):
-        changes = materialise(change_set(inserted, deleted), "changes")
-        first = changes.agg(F.year(F.min("from_date"))).first()[0]
-        if first is None:
-            return snapshot.number
-        time = upsert_time(snapshot.read("dim_time"), staged, inserted, deleted)
-        names = upsert_indicators(snapshot.read("dim_indicators"), staged, inserted, deleted, first, catalogue, created_at)
-        fact = write_layer(suffix_fact(snapshot, staged, changes, first, created_at), root, FACT, changes)
-        tables = {
-            "dim_time": [write_layer(time, root, "dim_time")],
-            "dim_indicators": [write_layer(names, root, "dim_indicators")],
-            FACT: [*snapshot.tables[FACT], fact],
-        }
-        if len(tables[FACT]) > max_layers:
-            whole = Snapshot(spark, root, snapshot.number, tables).read(FACT)
-            tables[FACT] = [write_layer(whole, root, FACT)]
-        return publish(spark, root, snapshot.number, tables)
+        tables = refreshed_layers(snapshot, staged, inserted, deleted, catalogue, created_at, max_layers)
+        return snapshot.number if tables is None else publish(spark, root, snapshot.number, tables)
+
+
+# --- From raw rows ----------------------------------------------------------
+
+# What tells rows of staging apart; the time of transformation does not.
+STAGED_COLUMNS = [c for c in STAGING.names if c != "transformed_at"]
+
+
+def _years(*rows: DataFrame) -> set[int | None]:
+    """The years in which any of the frames has rows: a calendar's worth."""
+    found = None
+    for df in rows:
+        own = df.select(F.year("observation_date").alias("year"))
+        found = own if found is None else found.unionByName(own)
+    return {r[0] for r in found.distinct().collect()}
+
+
+def staged_layers(snapshot: Snapshot | None, root: str, inserted: DataFrame, deleted: DataFrame, at: datetime) -> list[Layer]:
+    """Staging after the changes: the years that they are in are written anew, all others kept."""
+    years = _years(inserted, deleted)
+    held = [] if snapshot is None else snapshot.tables[STAGED]
+    if not years:
+        return held
+    rows = inserted.select(*STAGED_COLUMNS)
+    if held:
+        before = snapshot.by_year(STAGED).filter(in_years(years)).select(*STAGED_COLUMNS)
+        rows = before.exceptAll(deleted.select(*STAGED_COLUMNS)).unionByName(rows)
+    stamped = rows.withColumn("transformed_at", F.lit(at).cast("timestamp"))
+    layer = write_layer(stamped, root, STAGED, years=years)
+    unused = [x for x in held if set(x["years"]) <= years]
+    return [*(x for x in held if x not in unused), layer]
+
+
+def refresh_from_run(
+    spark: SparkSession,
+    root: str,
+    bronze: DataFrame,
+    ingest_date: str,
+    catalogue: DataFrame,
+    at: datetime,
+    check: Callable[[Snapshot], list[str]] | None = None,
+    max_layers: int = MAX_LAYERS,
+) -> Snapshot:
+    """Publish the version that has these raw rows as those of the run date; returns it.
+
+    What the run adds, and of a repeated run what it withdraws, follows from the raw rows that the
+    newest version names for that date. Only the years of these rows are transformed again. The
+    version is published if ``check`` finds no failure in it; else nothing has changed, and a
+    later run starts from the version that there is.
+    """
+    numbers = versions(spark, root)
+    snapshot = open_snapshot(spark, root, numbers[-1]) if numbers else None
+    folder = write_run(bronze, root)
+    with scratch_scope(spark):
+        clean = lambda rows: staging.stage(silver.clean(rows), at).select(*STAGED_COLUMNS)
+        now = clean(spark.read.schema(BRONZE_AT_REST).parquet(folder))
+        before = now.limit(0) if snapshot is None else clean(snapshot.run(ingest_date))
+        inserted, deleted = (
+            materialise(rows.withColumn("transformed_at", F.lit(at).cast("timestamp")), name)
+            for rows, name in ((now.exceptAll(before), "inserted"), (before.exceptAll(now), "deleted"))
+        )
+        staged = {STAGED: staged_layers(snapshot, root, inserted, deleted, at)}
+        after = Snapshot(spark, root, 0, staged).by_year(STAGED)
+        if snapshot is None:
+            gold = gold_layers(root, after.drop("year"), catalogue, at)
+        else:
+            gold = refreshed_layers(snapshot, after, inserted, deleted, catalogue, at, max_layers)
+            gold = gold or {t: x for t, x in snapshot.tables.items() if t != STAGED}
+        runs = ({} if snapshot is None else snapshot.runs) | {ingest_date: folder}
+        made = Snapshot(spark, root, (snapshot.number if snapshot else 0) + 1, gold | staged, runs)
+        failures = check(made) if check else []
+        if failures:
+            raise CheckFailed("; ".join(failures))
+        publish(spark, root, made.number - 1, made.tables, runs)
+    return made
+
+
+class CheckFailed(RuntimeError):
+    """A version did not pass its tests and was not published."""

@@ -765,4 +765,5 @@ limits AS (
            LEFT JOIN catalogue c ON f.indicator_id = c.series_id WHERE c.series_id IS NULL""",
     ),
     "daily_run": _with(DAILY_RUN, FACT),
+    "daily_versions": _with(DAILY_RUN, FACT),
 }

@@ -781,3 +781,24 @@ def daily_run(spark: SparkSession, sf: str) -> DataFrame:
     )
     daily.run_daily(spark, run)
     return tables.read_gold(spark, run.path("gold"), "fct_observations").drop("created_at")
+
+
+@query
+def daily_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same fact by versions: a run with half of the pages, then a repeated run with all."""
+    page = F.floor(F.col("l_orderkey") / 4000).alias("page")
+    raw = fixtures.obs_daily(fixtures.table(spark, sf, "lineitem"), page)
+    catalogue, lake = materialise(fixtures.catalogue_of(raw), "catalogue"), scratch_path(spark, "lake")
+    for part in (raw.filter(F.col("page") % 2 == 0), raw):
+        run = daily.DailyRun(
+            landing=fixtures.land(fixtures.documents(part, RUN_DATE), scratch_path(spark, "landing")),
+            lake=lake,
+            ingest_date=RUN_DATE,
+            run_at=RUN_AT,
+            observation_start="1996-01-01",
+            multi_line=False,
+            catalogue=catalogue,
+        )
+        daily.run_versions(spark, run)
+    newest = snapshots.open_snapshot(spark, run.path("versions"))
+    return newest.read("fct_observations").drop("created_at")

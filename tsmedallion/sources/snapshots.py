@@ -8,26 +8,32 @@ number is taken. A run that dies before leaves folders that no version names, an
 version before it is the newest still.
 
 A table is a list of layers, oldest first. Layers of the fact have cuts: of a series in
-them, a layer holds all rows from a date on, and older layers those before.
+them, a layer holds all rows from a date on, and older layers those before. A layer of staging
+holds whole years, and older layers the others. A version also names the raw rows of every
+run date that it was made from, so that it is known what a repeated run replaces.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsmedallion.schemas import GOLD
+from tsmedallion.schemas import BRONZE_AT_REST, GOLD, STAGING
 
 FACT = "fct_observations"
+STAGED = "stg_observations"
+SCHEMAS = GOLD | {STAGED: STAGING}
+DATES = {FACT: "date_key", STAGED: "observation_date"}  # tables with a folder per year
 CUTS = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("from_date", T.DateType())])
 
-Layer = dict[str, str | None]
+# rows, and of the fact cuts, are folders; years, of staging, are numbers or None for rows without a date.
+Layer = dict[str, str | list[int | None] | None]
 
 
 class VersionTaken(RuntimeError):
@@ -56,12 +62,21 @@ class Snapshot:
     root: str
     number: int
     tables: dict[str, list[Layer]]
+    runs: dict[str, str] = field(default_factory=dict)
 
     def read(self, table: str) -> DataFrame:
-        return self.by_year(table).select(*GOLD[table].names)
+        return self.by_year(table).select(*SCHEMAS[table].names)
+
+    def run(self, ingest_date: str) -> DataFrame:
+        """The raw rows that this version has of a run date."""
+        rows = self.spark.read.schema(BRONZE_AT_REST)
+        folder = self.runs.get(ingest_date)
+        return rows.parquet(folder) if folder else self.spark.createDataFrame([], BRONZE_AT_REST)
 
     def by_year(self, table: str) -> DataFrame:
         """The table with the ``year`` that its folders are made of, for filters to prune."""
+        if table == STAGED:
+            return self._staged()
         layers = self.tables[table]
         out = None
         for i, layer in enumerate(layers):
@@ -78,9 +93,20 @@ class Snapshot:
             out = rows if out is None else out.unionByName(rows)
         return out
 
+    def _staged(self) -> DataFrame:
+        """Every year from the newest layer that has it; a layer with none left is not read."""
+        out, seen = None, set()
+        for layer in reversed(self.tables[STAGED]):
+            years = set(layer["years"]) - seen
+            seen |= years
+            if years:
+                rows = self._rows(STAGED, layer).filter(in_years(years))
+                out = rows if out is None else rows.unionByName(out)
+        return self.spark.createDataFrame([], _by_year(STAGED)) if out is None else out
+
     def _rows(self, table: str, layer: Layer) -> DataFrame:
-        schema = T.StructType([*GOLD[table].fields, T.StructField("year", T.IntegerType())])
-        return self.spark.read.schema(schema if table == FACT else GOLD[table]).parquet(layer["rows"])
+        schema = _by_year(table) if table in DATES else SCHEMAS[table]
+        return self.spark.read.schema(schema).parquet(layer["rows"])
 
     def years(self) -> list[int]:
         """The years that the fact has folders for."""
@@ -93,30 +119,53 @@ class Snapshot:
         return sorted(found)
 
 
+def _by_year(table: str) -> T.StructType:
+    return T.StructType([*SCHEMAS[table].fields, T.StructField("year", T.IntegerType())])
+
+
+def in_years(years: set[int | None]) -> Column:
+    """Filters the folders of these years; None is that of rows without a date."""
+    dated = F.col("year").isin([y for y in years if y is not None])
+    return dated | F.col("year").isNull() if None in years else dated
+
+
 def open_snapshot(spark: SparkSession, root: str, number: int | None = None) -> Snapshot:
     """A version by its number, or the newest."""
     number = max(versions(spark, root)) if number is None else number
     (row,) = spark.read.text(f"{root}/versions/{number:020d}.json", wholetext=True).collect()
-    return Snapshot(spark, root, number, json.loads(row[0])["tables"])
+    held = json.loads(row[0])
+    return Snapshot(spark, root, number, held["tables"], held["runs"])
 
 
-def write_layer(df: DataFrame, root: str, table: str, cuts: DataFrame | None = None) -> Layer:
-    """Rows of a table, the fact by year, in a folder that no version names yet."""
+def write_layer(
+    df: DataFrame, root: str, table: str, cuts: DataFrame | None = None, years: set[int | None] | None = None
+) -> Layer:
+    """Rows of a table in a folder that no version names yet, with the cuts or years that they stand for."""
     path = f"{root}/data/{table}-{uuid.uuid4().hex}"
-    if table == FACT:
-        rows = df.withColumn("year", F.year("date_key")).hint("rebalance", "year")
+    if table in DATES:
+        rows = df.withColumn("year", F.year(DATES[table])).hint("rebalance", "year")
         rows.write.partitionBy("year").parquet(path)
     else:
         df.write.parquet(path)
     if cuts is not None:
         cuts.select(*CUTS.names).write.parquet(f"{path}-cuts")
-    return {"rows": path, "cuts": f"{path}-cuts" if cuts is not None else None}
+    held = {"rows": path, "cuts": f"{path}-cuts" if cuts is not None else None}
+    return held if years is None else held | {"years": sorted(years, key=lambda y: (y is None, y))}
+
+
+def write_run(bronze: DataFrame, root: str) -> str:
+    """The raw rows of a run date, in a folder that no version names yet."""
+    path = f"{root}/data/bronze-{uuid.uuid4().hex}"
+    bronze.select(*BRONZE_AT_REST.names).write.parquet(path)
+    return path
 
 
-def publish(spark: SparkSession, root: str, after: int, tables: dict[str, list[Layer]]) -> int:
+def publish(
+    spark: SparkSession, root: str, after: int, tables: dict[str, list[Layer]], runs: dict[str, str] | None = None
+) -> int:
     """Name the version behind ``after``; raises ``VersionTaken`` if there is one by now."""
     number = after + 1
-    conf, text = spark._jsc.hadoopConfiguration(), json.dumps({"tables": tables}).encode()
+    conf, text = spark._jsc.hadoopConfiguration(), json.dumps({"tables": tables, "runs": runs or {}}).encode()
     draft = _hadoop_path(spark, f"{root}/drafts/{uuid.uuid4().hex}")
     target = _hadoop_path(spark, f"{root}/versions/{number:020d}.json")
     files = draft.getFileSystem(conf)
