@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tsmedallion.llm.hamming_search import hamming_top_k, sign_code
+from tsmedallion.llm.hamming_search import SegmentIndex, hamming_top_k, sign_code
 
 MASK = (1 << 64) - 1
 
@@ -44,6 +45,21 @@ def test_fewer_rows_than_asked_for_and_far_codes(spark):
     check(spark, [(1, 0), (2, 3)], [(9, 1), (1, 0)], 1)
 
 
+def test_the_index_prunes_and_the_more_the_larger_it_is():
+    rng = np.random.default_rng(1)
+    shares = []
+    for n in (8_192, 131_072):
+        codes = rng.integers(0, 1 << 32, (2, n)).astype(np.uint64)
+        codes = codes[0] << np.uint64(32) | codes[1]
+        index = SegmentIndex(codes, np.ones(n, np.int64))
+        for q in codes[:20]:
+            hit, distance = index.nearest(q, 11)
+            every = np.sort(np.bitwise_count(codes ^ q))
+            assert np.array_equal(np.sort(distance), every[every <= every[10]])
+        shares.append(index.verified / 20 / n)
+    assert shares[1] < 0.1 < shares[0] < 0.25
+
+
 def test_vectors_longer_than_the_code_are_refused(spark):
     code = lambda n: spark.createDataFrame([([1.0] * n,), (None,)], "v array<double>").select(sign_code(F.col("v"))).collect()
     assert [r[0] for r in code(64)] == [-1, None] and [r[0] for r in code(3)] == [7, None]
