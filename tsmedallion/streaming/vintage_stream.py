@@ -21,7 +21,8 @@ from tsmedallion.schemas import STAGING
 from tsmedallion.streaming.silver_stream import bronze_stream
 
 KEYS = ["series_id", "observation_date"]
-KEPT = "data_as_of_date string, ingested_us bigint, value double, series_name string"
+# The value goes through pandas as text, which would take NaN for NULL.
+KEPT = "data_as_of_date string, ingested_us bigint, value_text string, series_name string"
 NAMES = [field.split()[0] for field in KEPT.split(", ")]
 ROW = f"series_id string, observation_date date, {KEPT}"
 STATE_STORE = {
@@ -31,8 +32,10 @@ STATE_STORE = {
 
 def age(vintage: tuple) -> tuple:
     """Sorts as ``VINTAGE_ORDER`` does: a missing part first, NaN behind all numbers."""
+    as_of, at, text, name = vintage
+    value = None if text is None else float(text)
     return tuple(
-        (0,) if x is None else (2, 0) if isinstance(x, float) and math.isnan(x) else (1, x) for x in vintage
+        (0,) if x is None else (2, 0) if isinstance(x, float) and math.isnan(x) else (1, x) for x in (as_of, at, value, name)
     )
 
 
@@ -49,7 +52,7 @@ class NewestVintage(StatefulProcessor):
         for frame in rows:
             for row in zip(*(frame[c].tolist() for c in NAMES)):
                 as_of, at, value, name = row
-                row = (as_of, None if at is None or at != at else int(at), value, name)
+                row = (as_of, None if at is None or at != at else int(at), value, name)  # a long with gaps is read as floats
                 if best is None or age(row) > age(best):
                     best = row
         if best is not None and best != before:
@@ -71,7 +74,7 @@ def newest_vintages(staged: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         *KEYS,
         "data_as_of_date",
         F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("ingested_us"),
-        "value",
+        F.col("value").cast("string").alias("value_text"),
         "series_name",
     )
     dated = (
@@ -96,21 +99,26 @@ def stream_current_vintage(
 
     A batch that is repeated after a failure replaces the folder that it wrote.
     """
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
-
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     staged = staging.stage(silver.clean(bronze_stream(spark, bronze_path, max_bytes_per_trigger)))
-    return (
+    writer = (
         newest_vintages(staged, ttl_ms)
         .writeStream.foreachBatch(write)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A query keeps the settings that it starts with; the session gets its own back.
+    own = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    try:
+        for key, value in STATE_STORE.items():
+            spark.conf.set(key, value)
+        return writer.start()
+    finally:
+        for key, value in own.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:
@@ -118,4 +126,5 @@ def read_current(spark: SparkSession, target: str) -> DataFrame:
     rows = spark.read.schema(ROW).parquet(target)
     at = F.timestamp_micros("ingested_us").cast("timestamp_ntz")
     columns = [c for c in STAGING.names if c != "transformed_at"]
-    return staging.current_vintage(rows.withColumn("ingested_at", at).select(*columns))
+    value = F.col("value_text").cast("double")
+    return staging.current_vintage(rows.withColumns({"ingested_at": at, "value": value}).select(*columns))
