@@ -46,6 +46,20 @@ def test_und_is_for_texts_without_letters_alone(spark, write_tables):
         assert 0 <= r.score <= 1
 
 
+def test_the_table_of_words_changes_nothing(model, monkeypatch):
+    odd = "".join(map(chr, [0x130, 0x1C5, 0x3A3, 0x2B0, 0xAA, 0x4E00, 0x20000, 0xFF21, 0x1F600, 0xB2, 0xBD, 0x661]))
+    texts = [*(t for _, t in TRAIN), "ΟΔΟΣ der " + odd, "the the der дом", "x" * 500, "", "der garten und the garden " * 3]
+    whole = li.label(model, texts)
+    monkeypatch.setattr(li, "CELLS_AT_ONCE", 8)
+    assert li.label(model, texts) == whole
+    found = li.words_of(texts)
+    runs = [w for t in texts for w in li._letter_runs().findall(t.lower())]
+    assert len(runs) == len(found.first)
+    assert [len(w) for w in runs] == np.diff(np.append(found.first, len(found.trigrams))).tolist()
+    assert li._letter_runs().fullmatch("".join(chr(c) for c in range(0x110000) if chr(c).isalpha()))
+    assert not any(li._letter_runs().match(chr(c)) for c in range(0x110000) if not chr(c).isalpha())
+
+
 def test_scores_do_not_depend_on_how_many_letters_go_at_once(model, monkeypatch):
     texts = ["a the " * 40 + "дом 中文 " * 30, *(t for _, t in TRAIN)]
     whole = model.word_scores(li.words_of(texts))
@@ -77,6 +91,14 @@ def test_viterbi_against_all_paths():
         assert value(li.viterbi(scores, 5.0)) == pytest.approx(best)
 
 
+def test_both_ways_to_search_agree(monkeypatch):
+    rng = np.random.default_rng(6)
+    cases = [rng.normal(0, 4, (rng.integers(1, 60), rng.integers(1, 6))).round(rng.integers(0, 3)) for _ in range(200)]
+    few = [li.viterbi(c, 5.0).tolist() for c in cases]
+    monkeypatch.setattr(li, "FEW_LANGUAGES", 0)
+    assert few == [li.viterbi(c, 5.0).tolist() for c in cases]
+
+
 def test_texts_without_letters_and_without_a_model(model):
     assert li.label(model, ["", "12 ☃ !?", "\U0001f600"]) == [("und", 0.0, [])] * 3
     empty = li.Model([], np.zeros((li.BUCKETS, 0)), np.zeros((len(li.SCRIPT_NAMES), 0), bool))

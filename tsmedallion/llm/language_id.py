@@ -21,9 +21,10 @@ is. Letters in a script that the language is not written in count for none.
 The text's language is the learned one with most fitting letters, and its score their share of
 all. So a text in a language never learned has a low score; whoever calls decides what to reject.
 
-Texts are independent, so prediction has no shuffle; columns are passed through. A task scores
-``CELLS_AT_ONCE`` letters x languages at once, so memory does not grow with their product; of a long
-text it holds the scores of its words.
+Texts are independent, so prediction has no shuffle; columns are passed through. Words repeat, so a
+task keeps what it knows of a word in a table, begun anew at ``CELLS_AT_ONCE`` words x
+languages. New words are scored so many letters x languages at once. Of a long text a task holds the
+scores of its words.
 
 * A null text, or one without letters, is ``und`` with score 0 and no spans; so is every
   text if nothing could be learned. A text with a letter always has a learned language. If
@@ -34,9 +35,11 @@ text it holds the scores of its words.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +57,9 @@ CHANCE = -float(np.log(BUCKETS))
 LEAST_SHARE = 0.01
 BARRED = -1e6
 MAX_LANGUAGES = 1_000
+FEW_LANGUAGES = 16
 CHARS_AT_ONCE = 1 << 19
-CELLS_AT_ONCE = 1 << 21
+CELLS_AT_ONCE = 1 << 18
 UNDETERMINED = "und"
 
 # First code points of script ranges (Unicode blocks), and their scripts.
@@ -120,6 +124,13 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)], bool)
 
 
+@lru_cache(maxsize=1)
+def _letter_runs() -> re.Pattern:
+    """Runs of letters as ``_letters`` has them."""
+    edge = np.nonzero(np.diff(_letters().astype(np.int8), prepend=0, append=0))[0].tolist()
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in zip(edge[::2], edge[1::2])) + "]+")
+
+
 @dataclass
 class Words:
     """The words of several texts, one after the other."""
@@ -254,6 +265,8 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     if (gain - np.vstack([np.zeros_like(floor[:1]), floor[:-1]])).max() <= switch / 2:
         return np.full(len(scores), best)
     n, m = scores.shape
+    if m <= FEW_LANGUAGES and n * m <= CELLS_AT_ONCE:
+        return _search_few(scores, switch)
     back = np.empty((n, m), np.int32)
     own = np.arange(m)
     total = scores[0].copy()
@@ -272,6 +285,27 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     return path
 
 
+def _search_few(scores: np.ndarray, switch: float) -> np.ndarray:
+    """The search of ``viterbi`` over lists, which is faster where a word has few numbers."""
+    first, *rest = scores.tolist()
+    totals, tops, jumps = [first], [0], [0.0]
+    total = first
+    for row in rest:
+        best = max(total)
+        jump = best - switch
+        tops.append(total.index(best))
+        jumps.append(jump)
+        total = [(t if t >= jump else jump) + r for t, r in zip(total, row)]
+        totals.append(total)
+    state = total.index(max(total))
+    path = [state] * len(totals)
+    for i in range(len(totals) - 1, 0, -1):
+        if totals[i - 1][state] < jumps[i]:
+            state = tops[i]
+        path[i - 1] = state
+    return np.array(path, np.int64)
+
+
 def unfit(above: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Whether each word of a text is in a stretch that fits no language.
 
@@ -286,28 +320,69 @@ def unfit(above: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     return viterbi(scores, switch) == 1
 
 
-def label(model: Model, texts: list[str], switch: float = SWITCH) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
+class WordTable:
+    """What a model says of each word met so far."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        n = len(self.model.languages)
+        self.index: dict[str, int] = {}
+        self.scores, self.above = np.empty((0, n)), np.empty((0, n))
+        self.able, self.letters = np.empty((0, n), np.int32), np.empty(0, np.int64)
+
+    def places(self, texts: list[str]) -> list[np.ndarray]:
+        """Of each text the rows of its words, in order."""
+        found = [_letter_runs().findall(t.lower()) for t in texts]
+        if len(self.index) * len(self.model.languages) > CELLS_AT_ONCE:
+            self._clear()
+        new = [w for w in dict.fromkeys(chain.from_iterable(found)) if w not in self.index]
+        if new:
+            self._add(new)
+        return [np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)) for words in found]
+
+    def _add(self, new: list[str]) -> None:
+        old, every = len(self.index), range(len(self.model.languages))
+        self.index.update(zip(new, range(old, old + len(new))))
+        if len(self.index) > len(self.scores):
+            rows = max(1 << 12, 2 * len(self.index))
+            for name in ("scores", "above", "able", "letters"):
+                held = getattr(self, name)
+                grown = np.empty((rows, *held.shape[1:]), held.dtype)
+                grown[:old] = held[:old]
+                setattr(self, name, grown)
+        for low, high in runs(map(len, new), CHARS_AT_ONCE):
+            words, to = words_of(new[low:high]), slice(old + low, old + high)
+            self.scores[to] = self.model.word_scores(words)
+            self.letters[to] = np.diff(np.append(words.first, len(words.trigrams)))
+            for k in every:
+                self.able[to, k], self.above[to, k] = self.model.fit(words, np.full(high - low, k))
+
+
+def label(
+    model: Model, texts: list[str], switch: float = SWITCH, table: WordTable | None = None
+) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
     """Of each text: language, score, and spans (first word, end, language)."""
-    out = [(UNDETERMINED, 0.0, [])] * len(texts)
-    words = words_of(texts)
-    if not len(words.first) or not model.languages:
-        return out
-    scores = model.word_scores(words)
-    letters = np.diff(np.append(words.first, len(words.trigrams)))
-    cuts = np.append(np.nonzero(np.diff(words.text, prepend=-1))[0], len(words.text))
-    texts_ = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-    path = np.concatenate([viterbi(scores[low:high], switch) for low, high in texts_])
-    able, above = model.fit(words, path)
+    out, table = [], table or WordTable(model)
     names = [*model.languages, UNDETERMINED]
     none = len(model.languages)
-    for low, high in texts_:
-        fits = able[low:high] * ~unfit(above[low:high])
-        share = np.bincount(path[low:high], fits, none)
-        best = max(range(none), key=lambda k: (share[k], scores[low:high, k].sum(), -k))
-        own = np.where(fits > 0, path[low:high], none)
-        turn = np.append(np.nonzero(np.diff(own, prepend=-1))[0], len(own))
-        spans = [(int(a), int(b), names[own[a]]) for a, b in zip(turn[:-1], turn[1:])]
-        out[words.text[low]] = (names[best], float(share[best] / letters[low:high].sum()), spans)
+    if not none:
+        return [(UNDETERMINED, 0.0, [])] * len(texts)
+    for places in chain.from_iterable(table.places(texts[low:high]) for low, high in runs(map(len, texts), CHARS_AT_ONCE)):
+        if not len(places):
+            out.append((UNDETERMINED, 0.0, []))
+            continue
+        scores = table.scores[places]
+        path = viterbi(scores, switch)
+        fits = table.able[places, path] * ~unfit(table.above[places, path])
+        share = np.bincount(path, fits, none)
+        best = max(range(none), key=lambda k: (share[k], scores[:, k].sum(), -k))
+        own = np.where(fits > 0, path, none)
+        turn = np.append(np.nonzero(np.diff(own, prepend=-1))[0], len(own)).tolist()
+        spans = [(a, b, names[own[a]]) for a, b in zip(turn[:-1], turn[1:])]
+        out.append((names[best], float(share[best] / table.letters[places].sum()), spans))
     return out
 
 
@@ -329,11 +404,9 @@ def identify(
     span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = WordTable(shared.value)
         for batch in batches:
-            texts = strings(batch.column(place))
-            found = []
-            for low, high in runs(map(len, texts), CHARS_AT_ONCE):
-                found += label(shared.value, texts[low:high], switch)
+            found = label(shared.value, strings(batch.column(place)), switch, table)
             spans = [[{"first": a, "end": b, "lang": x} for a, b, x in s] for _, _, s in found]
             yield with_columns(
                 batch,
