@@ -133,6 +133,27 @@ def test_of_two_runs_one_publishes(spark, tmp_path):
     assert snapshots.open_snapshot(spark, root, 1).tables == layers
 
 
+def test_expired_versions_go_with_the_folders_that_only_they_name(spark, tmp_path):
+    rows = _daily("GDP", date(2020, 1, 1), 5)
+    root, catalogue = str(tmp_path / "gold"), default_catalogue(spark)
+    incremental.build_version(spark, root, _frame(spark, rows), catalogue, NOW)
+    for i in range(2):
+        new = [_row("GDP", date(2020, 2, 1 + i), float(i))]
+        rows += new
+        staged = _staged(spark, tmp_path / f"staged{i}", rows)
+        incremental.refresh_version(spark, root, staged, _frame(spark, new), _frame(spark, []), catalogue, NOW)
+    newest = snapshots.open_snapshot(spark, root)
+    before = _content(newest)
+    (Path(root) / "data" / "fct_observations-unpublished").mkdir()
+    assert snapshots.expire(spark, root, 1, unused_for_hours=24)[:2] == [f"{n:020d}.json" for n in (1, 2)]
+    assert len(list(Path(root).glob("data/*"))) == 12 and _content(newest) == before
+    gone = snapshots.expire(spark, root, 1, unused_for_hours=0)
+    assert sorted(n.partition("-")[0] for n in gone) == ["dim_indicators"] * 2 + ["dim_time"] * 2 + ["fct_observations"]
+    assert snapshots.versions(spark, root) == [3] and _content(snapshots.open_snapshot(spark, root)) == before
+    with pytest.raises(ValueError):
+        snapshots.expire(spark, root, 0)
+
+
 def test_nothing_changed_publishes_nothing(spark, tmp_path):
     rows = _daily("GDP", date(2020, 1, 1), 5)
     root, catalogue = str(tmp_path / "gold"), default_catalogue(spark)

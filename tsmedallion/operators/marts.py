@@ -157,20 +157,20 @@ def yoy_calendar(staged: DataFrame) -> DataFrame:
 
     29 February looks up 28 February. A range frame of exactly twelve months
     shares the fact's exchange and sort, where a self-join would shuffle twice.
-    A row without a date has no date to look up and takes no part in the window.
+    A row without a date has no date to look up; it is a window partition of its own.
     """
     year_ago = F.expr(
         """first_value(value) OVER (
-             PARTITION BY series_id ORDER BY observation_date
+             PARTITION BY series_id, undated_row ORDER BY observation_date
              RANGE BETWEEN INTERVAL '1' YEAR PRECEDING AND INTERVAL '1' YEAR PRECEDING)"""
     )
     value = F.col("value")
     observations = staged.select(
         "series_id", "observation_date", "value", "data_as_of_date", "ingested_at"
     )
-    dated, undated = _by_date(observations)
-    looked_up = dated.withColumn("value_12_months_ago", year_ago).unionByName(
-        undated.withColumn("value_12_months_ago", F.lit(None).cast("double"))
+    undated = F.when(F.col("observation_date").isNull(), F.monotonically_increasing_id())
+    looked_up = current_vintage(observations).withColumn("undated_row", undated).withColumn(
+        "value_12_months_ago", F.when(F.col("observation_date").isNotNull(), year_ago)
     )
     return looked_up.select(
         F.col("series_id").alias("indicator_id"),

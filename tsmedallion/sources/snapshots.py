@@ -16,6 +16,7 @@ run date that it was made from, so that it is known what a repeated run replaces
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -186,3 +187,37 @@ def publish(
             raise
         raise VersionTaken(f"version {number} of {root} is there already") from error
     return number
+
+
+def _named(tables: dict[str, list[Layer]], runs: dict[str, str]) -> set[str]:
+    """The last parts of all folders that a version names."""
+    folders = [x[k] for layers in tables.values() for x in layers for k in ("rows", "cuts") if x.get(k)]
+    return {f.rstrip("/").rpartition("/")[2] for f in (*folders, *runs.values())}
+
+
+def expire(spark: SparkSession, root: str, keep: int, unused_for_hours: float = 24.0) -> list[str]:
+    """Delete all but the newest ``keep`` versions and the folders that none of these names.
+
+    Folders younger than ``unused_for_hours`` stay: a run that has not published yet may have written
+    them. Returns the names of what was deleted. Versions go first, so that none ever names a folder that is gone.
+    """
+    if keep < 1:
+        raise ValueError("at least one version must be kept")
+    numbers = versions(spark, root)
+    held = [open_snapshot(spark, root, n) for n in numbers[-keep:]]
+    used = set().union(*(_named(s.tables, s.runs) for s in held))
+    gone = []
+    conf = spark._jsc.hadoopConfiguration()
+    for n in numbers[:-keep]:
+        path = _hadoop_path(spark, f"{root}/versions/{n:020d}.json")
+        path.getFileSystem(conf).delete(path, False)
+        gone.append(path.getName())
+    folder = _hadoop_path(spark, f"{root}/data")
+    files = folder.getFileSystem(conf)
+    before = time.time() * 1000 - unused_for_hours * 3_600_000
+    for status in files.listStatus(folder) if held and files.exists(folder) else []:
+        name = status.getPath().getName()
+        if name not in used and status.getModificationTime() <= before:
+            files.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
