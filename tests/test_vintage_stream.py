@@ -54,15 +54,6 @@ def test_an_older_vintage_is_not_emitted(spark, tmp_path):
     assert [r.value_text for r in spark.read.parquet(target).collect()] == ["2.0"]
 
 
-def test_state_may_be_dropped_after_a_time(spark, tmp_path):
-    source, target, state = (str(tmp_path / n) for n in ("bronze", "changes", "state"))
-    for run in sorted({r[6] for r in ROWS}, reverse=True):
-        bronze.write_bronze(spark.createDataFrame([r for r in ROWS if r[6] == run], BRONZE_AT_REST), source)
-        vintage_stream.stream_current_vintage(spark, source, target, state, ttl_ms=1).awaitTermination()
-    batch = staging.current_vintage(staging.stage(silver.clean(spark.createDataFrame(ROWS, BRONZE_AT_REST))))
-    assert _found(vintage_stream.read_current(spark, target)) == _found(batch)
-
-
 def test_ages_sort_as_in_the_batch():
     ages = [(None, None, None, None), (None, 1, "1.0", "x"), ("2024-01-01", None, "1.0", "x"), ("2024-01-01", 1, None, "x"), ("2024-01-01", 1, "-2.5", "x"),
             ("2024-01-01", 1, "10.0", None), ("2024-01-01", 1, "10.0", "x"), ("2024-01-01", 1, "Infinity", "x"), ("2024-01-01", 1, "NaN", "x"), ("2024-01-01", 2, "0.0", "x")]

@@ -67,7 +67,9 @@ def newest_vintages(staged: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """A stream of staging rows as a stream of changes: a row per (series, date) that got a newer vintage.
 
     With ``ttl_ms`` a key's state is dropped so long after its last change. A vintage of that key that
-    arrives later counts as new, even an older one; ``read_current`` still chooses right.
+    arrives later counts as new, even an older one; ``read_current`` still chooses right. This is
+    for a query that runs on: Spark then makes batches without data as well, so that one that is
+    to stop when all is read (``availableNow``) never would.
     Rows without a date are no vintages of anything and pass as they are.
     """
     rows = staged.select(
@@ -92,7 +94,6 @@ def stream_current_vintage(
     bronze_path: str,
     target: str,
     checkpoint: str,
-    ttl_ms: int | None = None,
     max_bytes_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Bring the changes under ``target`` up to date with bronze, then stop.
@@ -104,7 +105,7 @@ def stream_current_vintage(
 
     staged = staging.stage(silver.clean(bronze_stream(spark, bronze_path, max_bytes_per_trigger)))
     writer = (
-        newest_vintages(staged, ttl_ms)
+        newest_vintages(staged)
         .writeStream.foreachBatch(write)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
