@@ -262,6 +262,23 @@ def test_chunks_follow_the_size_of_the_input(spark, monkeypatch, tmp_path):
     assert many > 20
 
 
+def test_no_task_sorts_more_rows_than_a_chunk_has(spark, monkeypatch):
+    """Rows that compress to next to nothing are still many rows in a sort; AQE is on."""
+    kept = []
+    chunks = lagging.sorted_chunks
+    monkeypatch.setattr(lagging, "sorted_chunks", lambda *a: kept.append(chunks(*a)) or kept[-1])
+    staged = _staged(spark, [("S", _month(i % 24), float(i % 50)) for i in range(600)]).crossJoin(spark.range(20)).drop("id")
+    shown = lambda df: sorted((tuple(r) for r in df.drop("created_at").collect()), key=str)
+    whole = shown(marts.fct_observations(staged, "all"))
+    monkeypatch.setattr(lagging, "CHUNK_ROWS", 1000, raising=False)
+    fact = marts.fct_observations(staged, "all")
+    assert shown(fact) == whole
+    written = [r["count"] for r in kept[1].groupBy("chunk").count().collect()]
+    windowed = [r["count"] for r in fact.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    for sizes in (written, windowed):
+        assert sum(sizes) == 12_000 and len(sizes) >= 10 and max(sizes) < 2_000
+
+
 def test_calendar_yoy(spark):
     rows = [
         ("S", date(2023, 2, 28), 100.0),

@@ -86,6 +86,19 @@ def test_a_group_of_copies_does_not_stay_in_one_chunk(spark, monkeypatch):
     assert len(sizes) > 1 and max(sizes) < 3_000
 
 
+def test_chunks_follow_the_rows_of_both_sides(spark, monkeypatch):
+    kept = []
+    chunks = lagging.sorted_chunks
+    monkeypatch.setattr(temporal, "sorted_chunks", lambda *a: kept.append(chunks(*a)) or kept[-1])
+    monkeypatch.setattr(lagging, "CHUNK_ROWS", 100, raising=False)
+    day = date(2024, 1, 1)
+    vintages = [("HOT", day, f"2024-{i // 28 + 1:02d}-{i % 28 + 1:02d}", NOW, float(i)) for i in range(200)]
+    probes = [(i, "HOT", day, f"2024-{i % 12 + 1:02d}-15") for i in range(800)]
+    assert _ask(spark, vintages, probes) == _by_hand(vintages, probes)
+    sizes = [r["count"] for r in kept[0].groupBy("chunk").count().collect()]
+    assert sum(sizes) == 1_000 and len(sizes) >= 8 and max(sizes) < 250
+
+
 # --- Names ------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsmedallion.operators.lagging import sorted_chunks
+from tsmedallion.operators.lagging import by_chunk, chunk_number, sorted_chunks
 from tsmedallion.operators.marts import name_intervals, names_by_date
 
 
@@ -45,7 +45,9 @@ def as_of_join(
         asked.withColumn("is_probe", F.lit(True)), allowMissingColumns=True
     )
     sorting = [F.col(c).asc_nulls_first() for c in (*keys, "at", "is_probe")]
-    chunked = sorted_chunks(merged, sorting)
+    # Of the vintages there are at most as many as rows; counting them so needs no shuffle.
+    number = chunk_number(merged, probes.count() + vintages.count())
+    chunked = sorted_chunks(merged, sorting, number)
 
     # One row per chunk: small enough for one window task and for a broadcast.
     seen = F.struct(*keys, "vintage")
@@ -58,7 +60,7 @@ def as_of_join(
     in_chunk = Window.partitionBy("chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     own = F.last(F.when(~F.col("is_probe"), seen), ignorenulls=True).over(in_chunk)
     found = (
-        chunked.withColumn("seen", own)
+        by_chunk(chunked, number).withColumn("seen", own)
         .filter("is_probe")
         .join(carried, "chunk", "left")
         .withColumn("seen", F.coalesce("seen", "carried"))
