@@ -8,12 +8,14 @@ from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsmedallion.operators import incremental, marts
+from tsmedallion.plans import fixtures
 from tsmedallion.plans.daily import DailyRun, DataTestError, run_daily, run_versions
-from tsmedallion.schemas import STAGING, default_catalogue
-from tsmedallion.sources import snapshots, tables
+from tsmedallion.schemas import BRONZE_AT_REST, STAGING, default_catalogue
+from tsmedallion.sources import landing, snapshots, tables
 
 NOW = datetime(2024, 2, 1, 6)
 BY_YEAR = T.StructType([*STAGING.fields, T.StructField("year", T.IntegerType())])
@@ -228,6 +230,35 @@ def test_only_the_years_of_a_run_are_transformed_again(spark, tmp_path):
     assert [p.name for p in Path(layers["fct_observations"][-1]["rows"]).glob("year=*")] == ["year=2024"]
 
 
+def test_raw_rows_of_a_run_are_written_once(spark, tmp_path, monkeypatch):
+    """The audit reads the folder that the version names; nothing holds the rows a second time."""
+    written = []
+    writer = type(_frame(spark, []).write)
+    parquet = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path, *a, **k: written.append((self._df.columns, path)) or parquet(self, path, *a, **k))
+    _land(tmp_path, "2024-02-01", GDP=[("2024-01-01", "5"), ("2024-01-02", ".")])
+    assert run_versions(spark, _run(tmp_path, "2024-02-01"))["quality"]["total_records"] == 2
+    (raw,) = [path for columns, path in written if columns == BRONZE_AT_REST.names]
+    found = snapshots.open_snapshot(spark, str(tmp_path / "lake" / "versions"))
+    assert found.runs == {"2024-02-01": raw}
+    assert sorted((r["date"], r["value"]) for r in found.run("2024-02-01").collect()) == [("2024-01-01", "5"), ("2024-01-02", ".")]
+
+
+def test_landed_documents_are_small_and_read_back_whole(spark, tmp_path):
+    day, columns = F.expr("cast(date_add(date'2020-01-01', cast(id % 900 as int)) as string)"), ["series_id", "realtime_start", "realtime_end", "date", "value"]
+    raw = spark.range(9_000).select(
+        day.alias("realtime_start"), F.lit("9999-12-31").alias("realtime_end"), day.alias("date"),
+        F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("value"),
+        F.when(F.col("id") % 3 > 0, "GDP").alias("series_id"), F.floor(F.col("id") / 500).alias("page"),
+    )
+    docs = fixtures.documents(raw, "2024-02-01")
+    path = fixtures.land(docs, str(tmp_path / "landing"))
+    back = landing.explode_documents(landing.read_documents(spark, path, "2024-02-01", multi_line=False))
+    assert sorted(map(str, back.select(*columns).collect())) == sorted(map(str, raw.select(*columns).collect()))
+    plain = docs.select(F.sum(F.length(F.to_json("observations")))).first()[0]
+    assert sum(p.stat().st_size for p in Path(path).rglob("part-*")) < plain / 3
+
+
 def test_a_version_that_fails_its_tests_is_not_published(spark, tmp_path):
     _land(tmp_path, "2024-02-01", GDP=[("2024-01-01", "5")])
     run_versions(spark, _run(tmp_path, "2024-02-01"))

@@ -274,17 +274,19 @@ def refresh_from_run(
     at: datetime,
     check: Callable[[Snapshot], list[str]] | None = None,
     max_layers: int = MAX_LAYERS,
+    folder: str | None = None,
 ) -> Snapshot:
     """Publish the version that has these raw rows as those of the run date; returns it.
 
     What the run adds, and of a repeated run what it withdraws, follows from the raw rows that the
     newest version names for that date. Only the years of these rows are transformed again. The
     version is published if ``check`` finds no failure in it; else nothing has changed, and a
-    later run starts from the version that there is.
+    later run starts from the version that there is. ``folder`` is where ``write_run`` has put these
+    rows already; without it they are written here.
     """
     numbers = versions(spark, root)
     snapshot = open_snapshot(spark, root, numbers[-1]) if numbers else None
-    folder = write_run(bronze, root)
+    folder = folder or write_run(bronze, root)
     with scratch_scope(spark):
         clean = lambda rows: staging.stage(silver.clean(rows), at).select(*STAGED_COLUMNS)
         now = clean(spark.read.schema(BRONZE_AT_REST).parquet(folder))

@@ -16,7 +16,7 @@ from tsmedallion.schemas import (
     check_at_rest,
     default_catalogue,
 )
-from tsmedallion.session import materialise, require_utc, scratch_scope
+from tsmedallion.session import require_utc, scratch_scope
 from tsmedallion.sources import bronze, landing, snapshots, tables
 
 
@@ -164,12 +164,14 @@ def run_versions(spark: SparkSession, run: DailyRun) -> dict[str, Any]:
         documents = readable_documents(spark, run)
         rows = landing.explode_documents(documents, run.observation_start)
         raw = landing.to_bronze(rows, catalogue, run.ingestion_timestamp)
-        raw = materialise(raw.select(*BRONZE_AT_REST.names), "raw")
+        # Written once: what the audit reads is what the version will name.
+        folder = snapshots.write_run(raw, run.path("versions"))
+        raw = spark.read.schema(BRONZE_AT_REST).parquet(folder)
         audited = bronze.require_any_series(bronze.audit(raw, catalogue))
         summary = silver.quality_summary(silver.clean(raw)).first().asDict()
         try:
             made = incremental.refresh_from_run(
-                spark, run.path("versions"), raw, run.ingest_date, catalogue, run.run_at, version_tests
+                spark, run.path("versions"), raw, run.ingest_date, catalogue, run.run_at, version_tests, folder=folder
             )
         except incremental.CheckFailed as error:
             raise DataTestError(str(error)) from error
